@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -70,18 +69,22 @@ def text_range_to_number(
     first; otherwise, if it holds ``sep``, every ``unit`` is removed and a
     string with exactly two numeric parts gives their midpoint.  Anything else
     (null, no separator, other part counts, non-numbers) is null.  The result
-    is a 32-bit float.  Built from cheap string functions plus one regex
-    test per part.
+    is a 32-bit float.  Only plain string functions plus one regex test per
+    part: the parts come from ``split_part`` and the part count from the
+    number of separators.
     """
+    if not sep:
+        raise ValueError("sep must not be empty")
     text = F.lower(py_strip(c))
-    parts = F.split(F.replace(text, F.lit(unit), F.lit("")), re.escape(sep), -1)
-    low_ok, low = _float_part(F.get(parts, 0))
-    high_ok, high = _float_part(F.get(parts, 1))
+    rest = F.replace(text, F.lit(unit), F.lit(""))
+    n_sep = (F.length(rest) - F.length(F.replace(rest, F.lit(sep), F.lit("")))) / F.lit(len(sep))
+    low_ok, low = _float_part(F.split_part(rest, F.lit(sep), F.lit(1)))
+    high_ok, high = _float_part(F.split_part(rest, F.lit(sep), F.lit(2)))
     out = None
     for phrase, value in phrases.items():
         cond = text == F.lit(phrase)
         out = F.when(cond, F.lit(float(value))) if out is None else out.when(cond, F.lit(float(value)))
-    ranged = text.contains(sep) & (F.size(parts) == 2) & low_ok & high_ok
+    ranged = text.contains(sep) & (n_sep == F.lit(1)) & low_ok & high_ok
     midpoint = (low + high) / F.lit(2.0)
     out = F.when(ranged, midpoint) if out is None else out.when(ranged, midpoint)
     return out.cast("float")

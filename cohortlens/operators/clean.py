@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from cohortlens import schema as S
 from cohortlens.functions.text import text_range_to_number, try_float
@@ -33,8 +34,9 @@ def clean_survey(
        the text (``"7"`` → 7.0, anything else null);
     3. keep ``lo <= sleep <= hi`` (null and NaN are dropped) and ``age > min_age``.
 
-    Everything is one projection and one filter; the age test reaches the
-    Parquet/CSV scan as a pushed filter.
+    The null and age tests reach the Parquet/CSV scan as pushed filters; the
+    sleep text is parsed once per remaining row and only its range test runs
+    after the parse.
     """
     require_columns(df, [sleep, age])
     if mode == "ranges":
@@ -44,5 +46,25 @@ def clean_survey(
     else:
         raise ValueError(f"mode must be 'ranges' or 'numeric', not {mode!r}")
     lo, hi = sleep_range
-    out = drop_null_rows(df, [sleep, age]).withColumns({sleep: parsed})
-    return out.where(safe_col(sleep).between(lo, hi) & (safe_col(age) > min_age))
+    base = drop_null_rows(df, [sleep, age]).where(safe_col(age) > F.lit(min_age))
+    bound = bind_once(base, parsed, _PARSED)
+    kept = bound.where((F.col(_PARSED) >= F.lit(lo)) & (F.col(_PARSED) <= F.lit(hi)))
+    return kept.select(*[F.col(_PARSED).alias(c) if c == sleep else safe_col(c) for c in df.columns])
+
+
+_PARSED = "__cohortlens_parsed"
+
+
+def bind_once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add ``value`` as column ``name``, evaluated exactly once per row.
+
+    A filter on a plain projected column is pushed below the projection by
+    copying the expression into the filter, so an expensive expression runs
+    once per use.  The value is computed in a projection (where generated
+    code shares common subexpressions) and passed through a one-element
+    ``explode``: predicates on the generator's output stay above it, while
+    predicates on other columns still reach the scan.
+    """
+    computed = df.withColumn(name, value)
+    others = [safe_col(c) for c in df.columns if c != name]
+    return computed.select(*others, F.explode(F.array(F.col(name))).alias(name))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import schema as S
@@ -87,3 +87,58 @@ def aggregations(df: DataFrame) -> dict[str, DataFrame]:
         "demographic_stress": stress_by_demographics(df),
         "sleep_performance": sleep_performance(df),
     }
+
+
+# (output name, keys, measures) of the five survey summaries.
+SURVEY_SUMMARIES = (
+    ("depression_by_demographics", ("age_group", S.PROFESSION), {"avg_depression": ("avg", S.DEPRESSION)}),
+    ("academic_performance", ("sleep_category",), {"avg_cgpa": ("avg", S.CGPA), "stddev_cgpa": ("stddev", S.CGPA)}),
+    (
+        "city_degree_stats",
+        (S.CITY, S.DEGREE),
+        {"avg_depression": ("avg", S.DEPRESSION), "count_students": ("count", "*")},
+    ),
+    ("demographic_stress", ("age_group", S.GENDER), {"avg_stress_index": ("avg", "stress_index")}),
+    (
+        "sleep_performance",
+        ("sleep_category",),
+        {"avg_cgpa": ("avg", S.CGPA), "avg_academic_score": ("avg", S.ACADEMIC_PRESSURE)},
+    ),
+)
+
+
+def combined_summaries(df: DataFrame, specs=SURVEY_SUMMARIES) -> DataFrame:
+    """All summaries of ``specs`` from one scan: a grouping-sets aggregate.
+
+    Rows carry ``grouping_id`` (which key set they belong to); measures of all
+    specs are computed for every set and picked apart by ``split_summaries``.
+    Materialize the (small) result once before splitting it.
+    """
+    keys: list[str] = []
+    for _, ks, _ in specs:
+        keys += [k for k in ks if k not in keys]
+    measures: dict[str, Column] = {}
+    for _, _, ms in specs:
+        for fn, col in ms.values():
+            name = f"{fn}({col})"
+            if name not in measures:
+                expr = F.count(F.lit(1)) if (fn, col) == ("count", "*") else _AGGS[fn](safe_col(col))
+                measures[name] = expr.alias(name)
+    unique_sets = list(dict.fromkeys(tuple(ks) for _, ks, _ in specs))
+    sets = [[safe_col(k) for k in ks] for ks in unique_sets]
+    grouped = df.groupingSets(sets, *[safe_col(k) for k in keys])
+    return grouped.agg(*measures.values(), F.grouping_id().alias("grouping_id"))
+
+
+def split_summaries(combined: DataFrame, specs=SURVEY_SUMMARIES) -> dict[str, DataFrame]:
+    """Named summaries out of a ``combined_summaries`` result (small; no further scans of the data)."""
+    keys: list[str] = []
+    for _, ks, _ in specs:
+        keys += [k for k in ks if k not in keys]
+    out = {}
+    for name, ks, ms in specs:
+        # grouping_id bit i (from the left, most significant first) is 1 when key i is aggregated away.
+        gid = sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in ks)
+        rows = combined.where(F.col("grouping_id") == gid)
+        out[name] = rows.select(*[safe_col(k) for k in ks], *[F.col(f"`{fn}({col})`").alias(m) for m, (fn, col) in ms.items()])
+    return out
