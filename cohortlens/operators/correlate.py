@@ -2,42 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import schema as S
-from cohortlens.schema import SURVEY_NUMERIC, columns_of_types, require_columns, safe_col
+from cohortlens.schema import SURVEY_NUMERIC, columns_of_types, require_columns
+from cohortlens.sqltext import dbl, ident, lit
 
 PAIR_SCHEMA = "column1 string, column2 string, correlation double"
-# Aggregate expressions per Spark job; wider column sets are split into
-# several one-pass jobs so a single generated aggregate stays compilable.
-MAX_PAIRS_PER_PASS = 500
-
-
-def _pair_corr(x: Column, y: Column, nulls: str) -> Column:
-    """Correlation aggregate of one pair, safe under ANSI mode.
-
-    ``nulls="zero"``: nulls count as 0.0 and a zero variance gives NaN, as
-    ``DataFrame.stat.corr`` did before ANSI mode.  ``nulls="pairwise"``: rows
-    with a null in either column are skipped and zero variance or fewer than
-    two rows give null, as the ``corr`` aggregate does without ANSI mode.
-    Both are central-moment aggregates (numerically stable, mergeable).
-    """
-    x, y = x.cast("double"), y.cast("double")
-    if nulls == "zero":
-        x, y = F.coalesce(x, F.lit(0.0)), F.coalesce(y, F.lit(0.0))
-        denom = F.sqrt(F.var_pop(x) * F.var_pop(y))
-        return F.when(denom == 0.0, F.lit(float("nan"))).otherwise(
-            F.coalesce(F.covar_pop(x, y) / denom, F.lit(float("nan")))
-        )
-    if nulls == "pairwise":
-        both = x.isNotNull() & y.isNotNull()
-        xs, ys = F.when(both, x), F.when(both, y)
-        denom = F.sqrt(F.var_pop(xs) * F.var_pop(ys))
-        return F.when((F.count(xs) >= 2) & (denom != 0.0), F.covar_pop(xs, ys) / denom)
-    raise ValueError("nulls must be 'zero' or 'pairwise'")
+_MOMENTS = "__cohortlens_moments"
 
 
 def _columns(df: DataFrame, columns: Sequence[str] | None, types: Sequence[str]) -> list[str]:
@@ -50,6 +25,84 @@ def _pairs(cols: Sequence[str]) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
 
 
+def _pair_statistics(df: DataFrame, cols: Sequence[str], nulls: str) -> tuple[DataFrame, Callable[[int, int], str]]:
+    """One-row frame of centered sums for every pair, and a function giving a pair's correlation as SQL.
+
+    Pass 1 (a scalar subquery, attached once): per column mean, min and max.
+    Pass 2 (one aggregate of plain sums): with d = x - mean,
+    ``S_xy - S_x S_y / n`` over ``sqrt((S_xx - S_x^2/n)(S_yy - S_y^2/n))``.
+    Centering on the exact mean keeps the sums well conditioned; a column
+    whose min equals its max has zero variance exactly (NaN for
+    ``nulls="zero"``, null for ``nulls="pairwise"``).
+
+    ``nulls="zero"``: nulls count as 0.0, as ``DataFrame.stat.corr`` did.
+    ``nulls="pairwise"``: each pair uses the rows where both are non-null
+    (fewer than two rows → null), as the ``corr`` aggregate does.
+
+    The many expressions are written as SQL text and sent in one call each.
+    """
+    if nulls not in ("zero", "pairwise"):
+        raise ValueError("nulls must be 'zero' or 'pairwise'")
+    k = len(cols)
+    if nulls == "zero":
+        xs = [f"coalesce(CAST({ident(c)} AS DOUBLE), CAST(0 AS DOUBLE)) AS x{i}" for i, c in enumerate(cols)]
+    else:
+        xs = [f"CAST({ident(c)} AS DOUBLE) AS x{i}" for i, c in enumerate(cols)]
+    base = df.selectExpr(*xs)
+    moments = base.selectExpr(
+        "struct(" + ", ".join(f"avg(x{i}) AS m{i}, min(x{i}) AS lo{i}, max(x{i}) AS hi{i}" for i in range(k)) + ") AS m"
+    ).scalar()
+    centered = base.withColumn(_MOMENTS, moments).selectExpr(
+        *[f"x{i} - {_MOMENTS}.m{i} AS d{i}" for i in range(k)], f"{_MOMENTS} AS mm"
+    )
+    pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
+    if nulls == "zero":
+        aggs = ["count(1) AS n", "first(mm) AS mm"]
+        aggs += [f"sum(d{i}) AS s{i}" for i in range(k)]
+        aggs += [f"sum(d{i} * d{i}) AS ss{i}" for i in range(k)]
+        aggs += [f"sum(d{i} * d{j}) AS p{i}_{j}" for i, j in pairs]
+    else:
+        aggs = []
+        for i, j in pairs:
+            di = f"CASE WHEN d{j} IS NOT NULL THEN d{i} END"
+            dj = f"CASE WHEN d{i} IS NOT NULL THEN d{j} END"
+            aggs += [
+                f"count(d{i} * d{j}) AS n{i}_{j}",
+                f"sum({di}) AS a{i}_{j}",
+                f"sum({dj}) AS b{i}_{j}",
+                f"sum({di} * {di}) AS aa{i}_{j}",
+                f"sum({dj} * {dj}) AS bb{i}_{j}",
+                f"sum(d{i} * d{j}) AS ab{i}_{j}",
+                f"min({di}) AS ilo{i}_{j}",
+                f"max({di}) AS ihi{i}_{j}",
+                f"min({dj}) AS jlo{i}_{j}",
+                f"max({dj}) AS jhi{i}_{j}",
+            ]
+    row = centered.selectExpr(*aggs)
+
+    def flat(lo: str, hi: str) -> str:
+        return f"(coalesce({lo} = {hi}, true) AND NOT coalesce(isnan({lo}), false))"
+
+    def ratio(sxy: str, sxx: str, syy: str) -> str:
+        return f"try_divide({sxy}, sqrt(({sxx}) * ({syy})))"
+
+    def corr(i: int, j: int) -> str:
+        if nulls == "zero":
+            n = "CAST(n AS DOUBLE)"
+            value = ratio(
+                f"p{i}_{j} - s{i} * s{j} / {n}", f"ss{i} - s{i} * s{i} / {n}", f"ss{j} - s{j} * s{j} / {n}"
+            )
+            is_flat = f"{flat(f'mm.lo{i}', f'mm.hi{i}')} OR {flat(f'mm.lo{j}', f'mm.hi{j}')}"
+            return f"CASE WHEN n = 0 OR {is_flat} THEN {dbl(float('nan'))} ELSE coalesce({value}, {dbl(float('nan'))}) END"
+        q = f"{i}_{j}"
+        n = f"CAST(n{q} AS DOUBLE)"
+        value = ratio(f"ab{q} - a{q} * b{q} / {n}", f"aa{q} - a{q} * a{q} / {n}", f"bb{q} - b{q} * b{q} / {n}")
+        is_flat = f"{flat(f'ilo{q}', f'ihi{q}')} OR {flat(f'jlo{q}', f'jhi{q}')}"
+        return f"CASE WHEN n{q} >= 2 AND NOT ({is_flat}) THEN {value} END"
+
+    return row, corr
+
+
 def correlation_pairs(
     df: DataFrame,
     columns: Sequence[str] | None = None,
@@ -59,27 +112,21 @@ def correlation_pairs(
     """(column1, column2, correlation) for every pair i < j of the chosen columns.
 
     Columns default to those of the given ``types`` (32-bit int and float, as
-    the survey code picks them), in schema order.  All pairs come out of one
-    aggregate over the data (several when there are very many pairs), then a
-    projection unpivots the single result row.
+    the survey code picks them), in schema order.  All pairs come from two
+    aggregate passes (means, then centered sums) whatever the number of
+    pairs; a projection unpivots the single result row, so no shuffle beyond
+    the aggregates' one-row exchanges.
     """
     cols = _columns(df, columns, types)
-    pairs = _pairs(cols)
-    if not pairs:
+    if len(cols) < 2:
         return df.sparkSession.createDataFrame([], PAIR_SCHEMA)
-    parts = []
-    for start in range(0, len(pairs), MAX_PAIRS_PER_PASS):
-        chunk = pairs[start : start + MAX_PAIRS_PER_PASS]
-        row = df.agg(*[_pair_corr(safe_col(a), safe_col(b), nulls).alias(f"r{k}") for k, (a, b) in enumerate(chunk)])
-        structs = [
-            F.struct(F.lit(a).alias("column1"), F.lit(b).alias("column2"), F.col(f"r{k}").alias("correlation"))
-            for k, (a, b) in enumerate(chunk)
-        ]
-        parts.append(row.select(F.inline(F.array(*structs))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    row, corr = _pair_statistics(df, cols, nulls)
+    structs = [
+        f"named_struct('column1', {lit(cols[i])}, 'column2', {lit(cols[j])}, 'correlation', {corr(i, j)})"
+        for i in range(len(cols))
+        for j in range(i + 1, len(cols))
+    ]
+    return row.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def strongest_with(pairs: DataFrame, target: str = S.DEPRESSION, k: int = 5, digits: int = 9) -> DataFrame:
@@ -105,25 +152,27 @@ def correlation_matrix(
 ) -> DataFrame:
     """Square correlation matrix: one row per column (sorted by name), one field per column, diagonal 1.0.
 
-    Built from the same single aggregate as ``correlation_pairs``; the
-    matrix is a projection of that one row, so there is no pivot shuffle.
+    Built from the same two passes as ``correlation_pairs``; the matrix is a
+    projection of the one-row result, so there is no pivot shuffle.
     """
     cols = _columns(df, columns, types)
-    labels = sorted(cols)
-    pairs = _pairs(cols)
-    if not pairs:
+    if len(cols) < 2:
         return df.sparkSession.createDataFrame([], "column string")
-    index = {p: k for k, p in enumerate(pairs)}
-    row = df.agg(*[_pair_corr(safe_col(a), safe_col(b), nulls).alias(f"r{k}") for k, (a, b) in enumerate(pairs)])
+    pos = {c: i for i, c in enumerate(cols)}
+    labels = sorted(cols)
+    row, corr = _pair_statistics(df, cols, nulls)
 
-    def cell(a: str, b: str) -> Column:
+    def cell(a: str, b: str) -> str:
         if a == b:
-            return F.lit(1.0)
-        k = index.get((a, b), index.get((b, a)))
-        return F.col(f"r{k}")
-
-    structs = [F.struct(F.lit(a).alias("column"), *[cell(a, b).alias(b) for b in labels]) for a in labels]
-    return row.select(F.inline(F.array(*structs)))
+            return dbl(1.0)
+        i, j = sorted((pos[a], pos[b]))
+        return corr(i, j)
+
+    structs = [
+        "named_struct('column', " + lit(a) + ", " + ", ".join(f"{lit(b)}, {cell(a, b)}" for b in labels) + ")"
+        for a in labels
+    ]
+    return row.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def correlation_analysis(df: DataFrame, target: str = S.DEPRESSION, k: int = 5) -> dict[str, DataFrame]:

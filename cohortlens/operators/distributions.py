@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.schema import require_columns, safe_col
+from cohortlens.sqltext import dbl
 
 
 def _finite(df: DataFrame, col: str) -> DataFrame:
@@ -59,44 +60,30 @@ def gaussian_kde(
     Bandwidth defaults to Scott's rule, ``stddev_samp · n^(-1/5)``; the grid
     spans [min − cut·h, max + cut·h].  The density is exact (every value
     contributes to every grid point) and is computed as ``grid_size`` sums in
-    one aggregate pass — no row is duplicated per grid point.
+    one aggregate pass — no row is duplicated per grid point.  The grid
+    expressions are generated as SQL text (one call each, not one per term).
     """
     require_columns(df, [col])
     if grid_size < 2:
         raise ValueError("grid_size must be at least 2")
     data = _finite(df, col)
-    st = data.agg(
-        F.struct(
-            F.min("x").alias("lo"),
-            F.max("x").alias("hi"),
-            F.stddev_samp("x").alias("sd"),
-            F.count(F.lit(1)).alias("n"),
-        ).alias("st")
+    st = data.selectExpr(
+        "struct(min(x) AS lo, max(x) AS hi, stddev_samp(x) AS sd, count(1) AS n) AS st"
     ).scalar()
-    h = F.lit(float(bandwidth)) if bandwidth is not None else st.sd * F.pow(st.n.cast("double"), F.lit(-0.2))
-    start = st.lo - F.lit(float(cut)) * h
+    h = dbl(bandwidth) if bandwidth is not None else "st.sd * pow(CAST(st.n AS DOUBLE), CAST(-0.2 AS DOUBLE))"
+    c = dbl(cut)
     # Grid start, step, bandwidth and normalizer as one struct, attached once.
-    params = F.struct(
-        start.alias("start"),
-        ((st.hi + F.lit(float(cut)) * h - start) / F.lit(float(grid_size - 1))).alias("step"),
-        h.alias("h"),
-        (st.n.cast("double") * h * F.lit(math.sqrt(2.0 * math.pi))).alias("norm"),
+    params = (
+        f"named_struct('start', st.lo - {c} * ({h}), "
+        f"'step', (st.hi + {c} * ({h}) - (st.lo - {c} * ({h}))) / {dbl(grid_size - 1)}, "
+        f"'h', {h}, "
+        f"'norm', CAST(st.n AS DOUBLE) * ({h}) * {dbl(math.sqrt(2.0 * math.pi))}) AS p"
     )
-    p = F.col("p")
-    x = F.col("x")
-    kernels = data.withColumn("p", params).select(
-        *[
-            F.exp(F.lit(-0.5) * F.pow((p.start + F.lit(float(i)) * p.step - x) / p.h, 2)).alias(f"k{i}")
-            for i in range(grid_size)
-        ]
+    kernels = data.withColumn("st", st).selectExpr("x", params).selectExpr(
+        *[f"exp({dbl(-0.5)} * pow((p.start + {dbl(i)} * p.step - x) / p.h, 2)) AS k{i}" for i in range(grid_size)]
     )
-    sums = kernels.agg(*[F.sum(f"k{i}").alias(f"d{i}") for i in range(grid_size)]).withColumn("p", params)
-    rows = [
-        F.struct(
-            F.lit(i).alias("point"),
-            (p.start + F.lit(float(i)) * p.step).alias("x"),
-            (F.col(f"d{i}") / p.norm).alias("density"),
-        )
-        for i in range(grid_size)
-    ]
-    return sums.select(F.inline(F.array(*rows)))
+    sums = kernels.selectExpr(*[f"sum(k{i}) AS d{i}" for i in range(grid_size)])
+    rows = ", ".join(
+        f"named_struct('point', {i}, 'x', p.start + {dbl(i)} * p.step, 'density', d{i} / p.norm)" for i in range(grid_size)
+    )
+    return sums.withColumn("st", st).selectExpr("*", params).selectExpr(f"inline(array({rows}))")

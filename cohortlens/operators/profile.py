@@ -9,43 +9,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens.schema import ALL_NUMERIC, SURVEY_NUMERIC, columns_of_types, safe_col
+from cohortlens.sqltext import ident, lit
 
 
-def _long_form(row_df: DataFrame, structs: list) -> DataFrame:
+def _long_form(row_df: DataFrame, structs: list[str]) -> DataFrame:
     """Unpivot a one-row aggregate into rows with ``inline`` (no shuffle)."""
-    return row_df.select(F.inline(F.array(*structs)))
+    return row_df.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, n_null) for every column, computed in a single aggregate."""
     cols = list(columns or df.columns)
-    agg = df.agg(*[F.count_if(safe_col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
-    return _long_form(
-        agg,
-        [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("n_null")) for i, c in enumerate(cols)],
-    )
+    agg = df.selectExpr(*[f"count_if({ident(c)} IS NULL) AS n{i}" for i, c in enumerate(cols)])
+    return _long_form(agg, [f"named_struct('column', {lit(c)}, 'n_null', n{i})" for i, c in enumerate(cols)])
 
 
-def _numeric_stats(i: int, c: str) -> list:
-    x = safe_col(c).cast("double")
+def _numeric_stats(i: int, c: str) -> list[str]:
+    x = f"CAST({ident(c)} AS DOUBLE)"
     return [
-        F.count(x).alias(f"c{i}"),
-        F.avg(x).alias(f"a{i}"),
-        F.stddev_samp(x).alias(f"s{i}"),
-        F.min(x).alias(f"lo{i}"),
-        F.max(x).alias(f"hi{i}"),
+        f"count({x}) AS c{i}",
+        f"avg({x}) AS a{i}",
+        f"stddev_samp({x}) AS s{i}",
+        f"min({x}) AS lo{i}",
+        f"max({x}) AS hi{i}",
     ]
 
 
-def _numeric_struct(i: int, c: str, extra: list | None = None):
-    return F.struct(
-        F.lit(c).alias("column"),
-        *(extra or []),
-        F.col(f"c{i}").alias("count"),
-        F.col(f"a{i}").alias("mean"),
-        F.col(f"s{i}").alias("stddev"),
-        F.col(f"lo{i}").alias("min"),
-        F.col(f"hi{i}").alias("max"),
+def _numeric_struct(i: int, c: str, n_null: bool = False) -> str:
+    nn = f"'n_null', n{i}, " if n_null else ""
+    return (
+        f"named_struct('column', {lit(c)}, {nn}'count', c{i}, 'mean', a{i}, 'stddev', s{i}, "
+        f"'min', lo{i}, 'max', hi{i})"
     )
 
 
@@ -63,7 +57,7 @@ def describe_numeric(
         return df.sparkSession.createDataFrame(
             [], "column string, count bigint, mean double, stddev double, min double, max double"
         )
-    agg = df.agg(*[e for i, c in enumerate(cols) for e in _numeric_stats(i, c)])
+    agg = df.selectExpr(*[e for i, c in enumerate(cols) for e in _numeric_stats(i, c)])
     return _long_form(agg, [_numeric_struct(i, c) for i, c in enumerate(cols)])
 
 
@@ -76,20 +70,17 @@ def quality_profile(df: DataFrame, types: Sequence[str] = ALL_NUMERIC) -> DataFr
     numeric = set(columns_of_types(df, types))
     aggs, structs = [], []
     for i, c in enumerate(df.columns):
-        aggs.append(F.count_if(safe_col(c).isNull()).alias(f"n{i}"))
+        aggs.append(f"count_if({ident(c)} IS NULL) AS n{i}")
         if c in numeric:
             aggs.extend(_numeric_stats(i, c))
-            structs.append(_numeric_struct(i, c, [F.col(f"n{i}").alias("n_null")]))
+            structs.append(_numeric_struct(i, c, n_null=True))
         else:
             structs.append(
-                F.struct(
-                    F.lit(c).alias("column"),
-                    F.col(f"n{i}").alias("n_null"),
-                    F.lit(None).cast("bigint").alias("count"),
-                    *[F.lit(None).cast("double").alias(k) for k in ("mean", "stddev", "min", "max")],
-                )
+                f"named_struct('column', {lit(c)}, 'n_null', n{i}, 'count', CAST(NULL AS BIGINT), "
+                "'mean', CAST(NULL AS DOUBLE), 'stddev', CAST(NULL AS DOUBLE), "
+                "'min', CAST(NULL AS DOUBLE), 'max', CAST(NULL AS DOUBLE))"
             )
-    return _long_form(df.agg(*aggs), structs)
+    return _long_form(df.selectExpr(*aggs), structs)
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -41,7 +41,7 @@ from cohortlens.functions import text_range_to_number
 from cohortlens.plans import columns as C
 from cohortlens.schema import ALL_NUMERIC, safe_col
 from cohortlens.session import scratch_path
-from cohortlens.sources import preview, read_csv, read_survey, write_csv, write_parquet
+from cohortlens.sources import materialize, preview, read_csv, read_survey, write_csv, write_parquet
 
 DIGITS = 9
 # Profile statistics cover columns up to ~1e6 in magnitude (ids), where
@@ -63,13 +63,19 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return engineer_features(cleaned(spark, sf_dir))
+    # Feature derivation reads its input three times (ranges, categories, rows).
+    return engineer_features(materialize(cleaned(spark, sf_dir), "cleaned"))
 
 
 def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return high_risk(features(spark, sf_dir))
 
 
+def flagged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagged rows written once, for summaries that read them twice (range, then counts)."""
+    return materialize(flagged(spark, sf_dir), "high-risk")
+
+
 def q_survey_load(spark, sf_dir):
     return survey(spark, sf_dir)
 
@@ -182,11 +188,11 @@ def q_risk_reasons(spark, sf_dir):
 
 
 def q_risk_histogram(spark, sf_dir):
-    return histogram(flagged(spark, sf_dir), "stress_index_normalized", bins=20)
+    return histogram(flagged_table(spark, sf_dir), "stress_index_normalized", bins=20)
 
 
 def q_risk_density(spark, sf_dir):
-    return _round(gaussian_kde(flagged(spark, sf_dir), "stress_index_normalized", grid_size=200), ["x", "density"])
+    return _round(gaussian_kde(flagged_table(spark, sf_dir), "stress_index_normalized", grid_size=200), ["x", "density"])
 
 
 def q_risk_count(spark, sf_dir):

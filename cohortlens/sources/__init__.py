@@ -1,9 +1,10 @@
 """Sources and sinks: CSV/Parquet files and the survey view over lineitem."""
 
-from cohortlens.sources.files import preview, read_csv, write_csv, write_outputs, write_parquet
+from cohortlens.sources.files import materialize, preview, read_csv, write_csv, write_outputs, write_parquet
 from cohortlens.sources.survey_view import read_survey, survey_from_lineitem
 
 __all__ = [
+    "materialize",
     "preview",
     "read_csv",
     "read_survey",

@@ -79,3 +79,18 @@ def preview(df: DataFrame, n: int = 20, order_by: Sequence[str | Column] | None
     if order_by:
         df = df.orderBy(*[safe_col(c) if isinstance(c, str) else c for c in order_by])
     return df.limit(n)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage before an operator that reads its input several times
+    (stats pass, category discovery, main pass): those passes then scan a
+    columnar table, pruned to the columns each needs, instead of recomputing
+    the input; a lost executor only re-runs tasks of the current step.
+    """
+    from cohortlens.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    write_parquet(df, path)
+    return df.sparkSession.read.parquet(path)
