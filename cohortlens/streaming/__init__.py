@@ -1,0 +1,5 @@
+"""Incremental ingest of survey files with Structured Streaming."""
+
+from cohortlens.streaming.ingest import clean_csv_stream
+
+__all__ = ["clean_csv_stream"]

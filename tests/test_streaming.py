@@ -1,0 +1,20 @@
+import os
+import tempfile
+
+from cohortlens.operators import clean_survey
+from cohortlens.sources import read_csv, read_survey, write_csv
+from cohortlens.streaming import clean_csv_stream
+from tests.conftest import SMALL_SF
+
+
+def test_stream_clean_equals_batch_clean(spark):
+    tmp = tempfile.mkdtemp(prefix="cohortlens-stream-")
+    src, out = os.path.join(tmp, "in"), os.path.join(tmp, "out")
+    write_csv(read_survey(spark, SMALL_SF).repartition(3), src)
+    q = clean_csv_stream(spark, src, out, checkpoint=os.path.join(tmp, "ckpt"))
+    q.awaitTermination(300)
+    assert q.exception() is None
+    streamed = spark.read.parquet(out)
+    batch = clean_survey(read_csv(spark, src))
+    assert streamed.count() == batch.count() > 0
+    assert streamed.exceptAll(batch).count() == 0
