@@ -13,6 +13,9 @@ from cohortlens.sqltext import dbl, ident, lit
 
 PAIR_SCHEMA = "column1 string, column2 string, correlation double"
 _MOMENTS = "__cohortlens_moments"
+# Pairwise mode: a column counts as constant within a pair's rows when its
+# centered sum of squares is this small relative to its raw sum of squares.
+FLAT_TOLERANCE = 1e-12
 
 
 def _columns(df: DataFrame, columns: Sequence[str] | None, types: Sequence[str]) -> list[str]:
@@ -31,9 +34,10 @@ def _pair_statistics(df: DataFrame, cols: Sequence[str], nulls: str) -> tuple[Da
     Pass 1 (a scalar subquery, attached once): per column mean, min and max.
     Pass 2 (one aggregate of plain sums): with d = x - mean,
     ``S_xy - S_x S_y / n`` over ``sqrt((S_xx - S_x^2/n)(S_yy - S_y^2/n))``.
-    Centering on the exact mean keeps the sums well conditioned; a column
-    whose min equals its max has zero variance exactly (NaN for
-    ``nulls="zero"``, null for ``nulls="pairwise"``).
+    Centering on the exact mean keeps the sums well conditioned.  Zero
+    variance gives NaN for ``nulls="zero"`` (a column whose min equals its
+    max) and null for ``nulls="pairwise"`` (centered sum of squares within
+    the pair's rows at most ``FLAT_TOLERANCE`` of the raw one).
 
     ``nulls="zero"``: nulls count as 0.0, as ``DataFrame.stat.corr`` did.
     ``nulls="pairwise"``: each pair uses the rows where both are non-null
@@ -62,21 +66,22 @@ def _pair_statistics(df: DataFrame, cols: Sequence[str], nulls: str) -> tuple[Da
         aggs += [f"sum(d{i} * d{i}) AS ss{i}" for i in range(k)]
         aggs += [f"sum(d{i} * d{j}) AS p{i}_{j}" for i, j in pairs]
     else:
+        # Zero-filled centered values, their squares and non-null flags as
+        # plain columns: every pair then needs six sums of column products.
+        centered = centered.selectExpr(
+            *[f"coalesce(d{i}, CAST(0 AS DOUBLE)) AS z{i}" for i in range(k)],
+            *[f"coalesce(d{i} * d{i}, CAST(0 AS DOUBLE)) AS zz{i}" for i in range(k)],
+            *[f"CASE WHEN d{i} IS NULL THEN CAST(0 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS v{i}" for i in range(k)],
+        )
         aggs = []
         for i, j in pairs:
-            di = f"CASE WHEN d{j} IS NOT NULL THEN d{i} END"
-            dj = f"CASE WHEN d{i} IS NOT NULL THEN d{j} END"
             aggs += [
-                f"count(d{i} * d{j}) AS n{i}_{j}",
-                f"sum({di}) AS a{i}_{j}",
-                f"sum({dj}) AS b{i}_{j}",
-                f"sum({di} * {di}) AS aa{i}_{j}",
-                f"sum({dj} * {dj}) AS bb{i}_{j}",
-                f"sum(d{i} * d{j}) AS ab{i}_{j}",
-                f"min({di}) AS ilo{i}_{j}",
-                f"max({di}) AS ihi{i}_{j}",
-                f"min({dj}) AS jlo{i}_{j}",
-                f"max({dj}) AS jhi{i}_{j}",
+                f"sum(v{i} * v{j}) AS n{i}_{j}",
+                f"sum(z{i} * v{j}) AS a{i}_{j}",
+                f"sum(z{j} * v{i}) AS b{i}_{j}",
+                f"sum(zz{i} * v{j}) AS aa{i}_{j}",
+                f"sum(zz{j} * v{i}) AS bb{i}_{j}",
+                f"sum(z{i} * z{j}) AS ab{i}_{j}",
             ]
     row = centered.selectExpr(*aggs)
 
@@ -95,10 +100,12 @@ def _pair_statistics(df: DataFrame, cols: Sequence[str], nulls: str) -> tuple[Da
             is_flat = f"{flat(f'mm.lo{i}', f'mm.hi{i}')} OR {flat(f'mm.lo{j}', f'mm.hi{j}')}"
             return f"CASE WHEN n = 0 OR {is_flat} THEN {dbl(float('nan'))} ELSE coalesce({value}, {dbl(float('nan'))}) END"
         q = f"{i}_{j}"
-        n = f"CAST(n{q} AS DOUBLE)"
-        value = ratio(f"ab{q} - a{q} * b{q} / {n}", f"aa{q} - a{q} * a{q} / {n}", f"bb{q} - b{q} * b{q} / {n}")
-        is_flat = f"{flat(f'ilo{q}', f'ihi{q}')} OR {flat(f'jlo{q}', f'jhi{q}')}"
-        return f"CASE WHEN n{q} >= 2 AND NOT ({is_flat}) THEN {value} END"
+        n = f"n{q}"
+        sxx, syy = f"aa{q} - a{q} * a{q} / {n}", f"bb{q} - b{q} * b{q} / {n}"
+        value = ratio(f"ab{q} - a{q} * b{q} / {n}", sxx, syy)
+        # Zero spread within the pair's rows: exactly 0 up to float rounding.
+        is_flat = f"({sxx}) <= {dbl(FLAT_TOLERANCE)} * aa{q} OR ({syy}) <= {dbl(FLAT_TOLERANCE)} * bb{q}"
+        return f"CASE WHEN {n} >= 2 AND NOT ({is_flat}) THEN {value} END"
 
     return row, corr
 
