@@ -71,10 +71,11 @@ def run_survey_job(
     feats = spark.read.parquet(paths["features"])
 
     summaries_path = f"{root}/_summaries.parquet"
-    write_parquet(combined_summaries(feats).coalesce(1), summaries_path)
+    write_parquet(combined_summaries(feats), summaries_path)
     for name, df in split_summaries(spark.read.parquet(summaries_path), SURVEY_SUMMARIES).items():
-        write_parquet(df.coalesce(1), paths[name])
+        write_parquet(df, paths[name])
 
+    # k(k-1)/2 rows for k columns: one file.
     write_parquet(correlation_pairs(feats).coalesce(1), paths["correlation_matrix"])
     pairs = spark.read.parquet(paths["correlation_matrix"])
     write_parquet(strongest_with(pairs, DEPRESSION, 5), paths["depression_correlations"])

@@ -9,9 +9,9 @@ The DuckDB text of the same mapping lives in ``cohortlens.plans.oracle``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohortlens import schema as S
+from cohortlens.sqltext import ident, lit
 
 # How the sleep answer is chosen from l_orderkey % 7.
 SLEEP_ANSWERS = {
@@ -26,43 +26,39 @@ SLEEP_ANSWERS = {
 DIET_ANSWERS = ("Healthy", "Moderate", "Unhealthy")
 
 
+def _sleep_case() -> str:
+    whens = [f"WHEN {k} THEN {'NULL' if v is None else lit(v)}" for k, v in SLEEP_ANSWERS.items()]
+    whens.append("WHEN 4 THEN CASE WHEN l_linenumber % 2 = 0 THEN '7' ELSE 'Others' END")
+    return "CAST(CASE l_orderkey % 7 " + " ".join(whens) + " END AS STRING)"
+
+
 def survey_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    """Map each lineitem row to one survey row with the 18 survey columns."""
-    ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
-    ln, qty = F.col("l_linenumber"), F.col("l_quantity")
-    rflag, lstatus = F.col("l_returnflag"), F.col("l_linestatus")
-
-    sleep_mod = ok % 7
-    sleep = F.when(sleep_mod == 4, F.when(ln % 2 == 0, F.lit("7")).otherwise(F.lit("Others")))
-    for k, v in SLEEP_ANSWERS.items():
-        sleep = sleep.when(sleep_mod == k, F.lit(v).cast("string"))
-
-    diet = F.when(ok % 3 == 0, F.lit(DIET_ANSWERS[0])).when(ok % 3 == 1, F.lit(DIET_ANSWERS[1])).otherwise(
-        F.lit(DIET_ANSWERS[2])
-    )
-    return lineitem.select(
-        (ok * 8 + ln).alias(S.ID),
-        F.when(lstatus == "O", F.lit("Male")).otherwise(F.lit("Female")).alias(S.GENDER),
-        F.nullif(qty, F.lit(13.0)).alias(S.AGE),
-        F.concat(F.lit("City"), (sk % 7).cast("string")).alias(S.CITY),
-        F.when(pk % 10 == 0, F.lit(None).cast("string"))
-        .when(pk % 3 == 0, F.lit("Intern"))
-        .otherwise(F.lit("Student"))
-        .alias(S.PROFESSION),
-        (ok % 6).cast("double").alias(S.ACADEMIC_PRESSURE),
-        (pk % 6).cast("double").alias(S.WORK_PRESSURE),
-        F.nullif(sk % 11, F.lit(10)).cast("double").alias(S.CGPA),
-        (pk % 5 + 1).cast("double").alias(S.STUDY_SATISFACTION),
-        (sk % 5 + 1).cast("double").alias(S.JOB_SATISFACTION),
-        sleep.alias(S.SLEEP),
-        diet.alias(S.DIET),
-        F.concat(F.lit("D"), (pk % 5).cast("string")).alias(S.DEGREE),
-        F.when(rflag == "A", F.lit("Yes")).otherwise(F.lit("No")).alias(S.SUICIDAL),
-        (pk % 12).cast("double").alias(S.HOURS),
-        (ln + 1).cast("double").alias(S.FINANCIAL_STRESS),
-        F.when(sk % 2 == 0, F.lit("Yes")).otherwise(F.lit("No")).alias(S.FAMILY_HISTORY),
-        F.when(rflag == "R", F.lit(1)).otherwise(F.lit(0)).cast("int").alias(S.DEPRESSION),
+    """Map each lineitem row to one survey row with the 18 survey columns (one projection)."""
+    diet = (
+        f"CASE l_orderkey % 3 WHEN 0 THEN {lit(DIET_ANSWERS[0])} WHEN 1 THEN {lit(DIET_ANSWERS[1])} "
+        f"ELSE {lit(DIET_ANSWERS[2])} END"
     )
+    exprs = {
+        S.ID: "l_orderkey * 8 + l_linenumber",
+        S.GENDER: "CASE WHEN l_linestatus = 'O' THEN 'Male' ELSE 'Female' END",
+        S.AGE: "nullif(l_quantity, CAST(13 AS DOUBLE))",
+        S.CITY: "concat('City', CAST(l_suppkey % 7 AS STRING))",
+        S.PROFESSION: "CASE WHEN l_partkey % 10 = 0 THEN CAST(NULL AS STRING) WHEN l_partkey % 3 = 0 THEN 'Intern' ELSE 'Student' END",
+        S.ACADEMIC_PRESSURE: "CAST(l_orderkey % 6 AS DOUBLE)",
+        S.WORK_PRESSURE: "CAST(l_partkey % 6 AS DOUBLE)",
+        S.CGPA: "CAST(nullif(l_suppkey % 11, 10) AS DOUBLE)",
+        S.STUDY_SATISFACTION: "CAST(l_partkey % 5 + 1 AS DOUBLE)",
+        S.JOB_SATISFACTION: "CAST(l_suppkey % 5 + 1 AS DOUBLE)",
+        S.SLEEP: _sleep_case(),
+        S.DIET: diet,
+        S.DEGREE: "concat('D', CAST(l_partkey % 5 AS STRING))",
+        S.SUICIDAL: "CASE WHEN l_returnflag = 'A' THEN 'Yes' ELSE 'No' END",
+        S.HOURS: "CAST(l_partkey % 12 AS DOUBLE)",
+        S.FINANCIAL_STRESS: "CAST(l_linenumber + 1 AS DOUBLE)",
+        S.FAMILY_HISTORY: "CASE WHEN l_suppkey % 2 = 0 THEN 'Yes' ELSE 'No' END",
+        S.DEPRESSION: "CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS INT)",
+    }
+    return lineitem.selectExpr(*[f"{e} AS {ident(name)}" for name, e in exprs.items()])
 
 
 def spread_small_input(df: DataFrame) -> DataFrame:
