@@ -1,10 +1,10 @@
-"""Pearson correlation of all column pairs in one pass, strongest pairs, full matrix."""
+"""Pearson correlation of all column pairs from two aggregate passes, strongest pairs, full matrix."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import schema as S
@@ -24,10 +24,6 @@ def _columns(df: DataFrame, columns: Sequence[str] | None, types: Sequence[str])
     return cols
 
 
-def _pairs(cols: Sequence[str]) -> list[tuple[str, str]]:
-    return [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
-
-
 def _pair_statistics(df: DataFrame, cols: Sequence[str], nulls: str) -> tuple[DataFrame, Callable[[int, int], str]]:
     """One-row frame of centered sums for every pair, and a function giving a pair's correlation as SQL.
 
