@@ -316,8 +316,10 @@ def oracle_queries() -> dict[str, str]:
         "risk_histogram": with_base(HISTOGRAM),
         "risk_density": with_base(DENSITY),
         "risk_count": with_base("SELECT count(*) AS n_high_risk FROM high_risk"),
-        "csv_declared": with_base("SELECT * FROM clean_ranges"),
-        "csv_inferred": with_base("SELECT * FROM survey"),
+        # The declared survey schema types id as INT.
+        "csv_declared": with_base('SELECT * REPLACE (CAST("id" AS INTEGER) AS "id") FROM clean_ranges'),
+        # Schema inference types a column of small whole numbers as INT.
+        "csv_inferred": with_base('SELECT * REPLACE (CAST("id" AS INTEGER) AS "id") FROM survey'),
         "parquet_roundtrip": with_base("SELECT * FROM features"),
         "parquet_partitioned": with_base("SELECT * FROM features"),
         "preview_sorted": with_base(f"SELECT * FROM clean_ranges ORDER BY {order} LIMIT 20"),
