@@ -27,7 +27,8 @@ def _columns(df: DataFrame, columns: Sequence[str] | None, types: Sequence[str])
 def _pair_statistics(df: DataFrame, cols: Sequence[str], nulls: str) -> tuple[DataFrame, Callable[[int, int], str]]:
     """One-row frame of centered sums for every pair, and a function giving a pair's correlation as SQL.
 
-    Pass 1 (a scalar subquery, attached once): per column mean, min and max.
+    Pass 1: per column mean, min and max (a scalar subquery attached once;
+    for ``nulls="pairwise"`` see ``_pairwise_statistics``).
     Pass 2 (one aggregate of plain sums): with d = x - mean,
     ``S_xy - S_x S_y / n`` over ``sqrt((S_xx - S_x^2/n)(S_yy - S_y^2/n))``.
     Centering on the exact mean keeps the sums well conditioned.  Zero
@@ -49,6 +50,8 @@ def _pair_statistics(df: DataFrame, cols: Sequence[str], nulls: str) -> tuple[Da
     else:
         xs = [f"CAST({ident(c)} AS DOUBLE) AS x{i}" for i, c in enumerate(cols)]
     base = df.selectExpr(*xs)
+    if nulls == "pairwise":
+        return _pairwise_statistics(base, k)
     moments = base.selectExpr(
         "struct(" + ", ".join(f"avg(x{i}) AS m{i}, min(x{i}) AS lo{i}, max(x{i}) AS hi{i}" for i in range(k)) + ") AS m"
     ).scalar()
@@ -56,29 +59,10 @@ def _pair_statistics(df: DataFrame, cols: Sequence[str], nulls: str) -> tuple[Da
         *[f"x{i} - {_MOMENTS}.m{i} AS d{i}" for i in range(k)], f"{_MOMENTS} AS mm"
     )
     pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
-    if nulls == "zero":
-        aggs = ["count(1) AS n", "first(mm) AS mm"]
-        aggs += [f"sum(d{i}) AS s{i}" for i in range(k)]
-        aggs += [f"sum(d{i} * d{i}) AS ss{i}" for i in range(k)]
-        aggs += [f"sum(d{i} * d{j}) AS p{i}_{j}" for i, j in pairs]
-    else:
-        # Zero-filled centered values, their squares and non-null flags as
-        # plain columns: every pair then needs six sums of column products.
-        centered = centered.selectExpr(
-            *[f"coalesce(d{i}, CAST(0 AS DOUBLE)) AS z{i}" for i in range(k)],
-            *[f"coalesce(d{i} * d{i}, CAST(0 AS DOUBLE)) AS zz{i}" for i in range(k)],
-            *[f"CASE WHEN d{i} IS NULL THEN CAST(0 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS v{i}" for i in range(k)],
-        )
-        aggs = []
-        for i, j in pairs:
-            aggs += [
-                f"sum(v{i} * v{j}) AS n{i}_{j}",
-                f"sum(z{i} * v{j}) AS a{i}_{j}",
-                f"sum(z{j} * v{i}) AS b{i}_{j}",
-                f"sum(zz{i} * v{j}) AS aa{i}_{j}",
-                f"sum(zz{j} * v{i}) AS bb{i}_{j}",
-                f"sum(z{i} * z{j}) AS ab{i}_{j}",
-            ]
+    aggs = ["count(1) AS n", "first(mm) AS mm"]
+    aggs += [f"sum(d{i}) AS s{i}" for i in range(k)]
+    aggs += [f"sum(d{i} * d{i}) AS ss{i}" for i in range(k)]
+    aggs += [f"sum(d{i} * d{j}) AS p{i}_{j}" for i, j in pairs]
     row = centered.selectExpr(*aggs)
 
     def flat(lo: str, hi: str) -> str:
@@ -88,20 +72,69 @@ def _pair_statistics(df: DataFrame, cols: Sequence[str], nulls: str) -> tuple[Da
         return f"try_divide({sxy}, sqrt(({sxx}) * ({syy})))"
 
     def corr(i: int, j: int) -> str:
-        if nulls == "zero":
-            n = "CAST(n AS DOUBLE)"
-            value = ratio(
-                f"p{i}_{j} - s{i} * s{j} / {n}", f"ss{i} - s{i} * s{i} / {n}", f"ss{j} - s{j} * s{j} / {n}"
-            )
-            is_flat = f"{flat(f'mm.lo{i}', f'mm.hi{i}')} OR {flat(f'mm.lo{j}', f'mm.hi{j}')}"
-            return f"CASE WHEN n = 0 OR {is_flat} THEN {dbl(float('nan'))} ELSE coalesce({value}, {dbl(float('nan'))}) END"
-        q = f"{i}_{j}"
-        n = f"n{q}"
-        sxx, syy = f"aa{q} - a{q} * a{q} / {n}", f"bb{q} - b{q} * b{q} / {n}"
-        value = ratio(f"ab{q} - a{q} * b{q} / {n}", sxx, syy)
+        n = "CAST(n AS DOUBLE)"
+        value = ratio(f"p{i}_{j} - s{i} * s{j} / {n}", f"ss{i} - s{i} * s{i} / {n}", f"ss{j} - s{j} * s{j} / {n}")
+        is_flat = f"{flat(f'mm.lo{i}', f'mm.hi{i}')} OR {flat(f'mm.lo{j}', f'mm.hi{j}')}"
+        return f"CASE WHEN n = 0 OR {is_flat} THEN {dbl(float('nan'))} ELSE coalesce({value}, {dbl(float('nan'))}) END"
+
+    return row, corr
+
+
+def _pairwise_statistics(base: DataFrame, k: int) -> tuple[DataFrame, Callable[[int, int], str]]:
+    """Pairwise-complete statistics: each pair over the rows where both values are present.
+
+    Pass 1 reads one row (means and null counts per column; bounded by the
+    number of columns).  Columns without nulls share column-level sums, so
+    only pairs with a nullable column need sums masked by the other column's
+    presence: with z = centered value or 0, zz = z², v = 1 if present,
+    ``n = Σ v_i v_j``, ``S_i = Σ z_i v_j``, ``S_ii = Σ zz_i v_j``, ``S_ij = Σ z_i z_j``.
+    """
+    first = base.selectExpr(
+        "count(1) AS n", *[f"avg(x{i}) AS m{i}" for i in range(k)], *[f"count_if(x{i} IS NULL) AS u{i}" for i in range(k)]
+    ).first()
+    full = {i for i in range(k) if first[f"u{i}"] == 0}
+    mean = [first[f"m{i}"] for i in range(k)]
+    centered = base.selectExpr(
+        *[
+            f"coalesce(x{i} - {dbl(mean[i]) if mean[i] is not None else 'CAST(NULL AS DOUBLE)'}, CAST(0 AS DOUBLE)) AS z{i}"
+            for i in range(k)
+        ],
+        *[f"CASE WHEN x{i} IS NULL THEN CAST(0 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS v{i}" for i in range(k)],
+    ).selectExpr("*", *[f"z{i} * z{i} AS zz{i}" for i in range(k)])
+    aggs = ["count(1) AS n"]
+    aggs += [f"sum(v{i}) AS c{i}" for i in range(k)]
+    aggs += [f"sum(z{i}) AS s{i}" for i in range(k)]
+    aggs += [f"sum(zz{i}) AS ss{i}" for i in range(k)]
+    terms: dict[tuple[int, int], tuple[str, str, str, str, str]] = {}
+    for i in range(k):
+        for j in range(i + 1, k):
+            q = f"{i}_{j}"
+            aggs.append(f"sum(z{i} * z{j}) AS ab{q}")
+            if i in full and j in full:
+                terms[(i, j)] = ("n", f"s{i}", f"ss{i}", f"s{j}", f"ss{j}")
+                continue
+            if j in full:
+                n, a, aa = f"c{i}", f"s{i}", f"ss{i}"
+            else:
+                n, a, aa = f"n{q}", f"a{q}", f"aa{q}"
+                aggs += [f"sum(z{i} * v{j}) AS {a}", f"sum(zz{i} * v{j}) AS {aa}"]
+            if i in full:
+                n, b, bb = f"c{j}", f"s{j}", f"ss{j}"
+            else:
+                b, bb = f"b{q}", f"bb{q}"
+                aggs += [f"sum(z{j} * v{i}) AS {b}", f"sum(zz{j} * v{i}) AS {bb}"]
+            if i not in full and j not in full:
+                aggs.append(f"sum(v{i} * v{j}) AS {n}")
+            terms[(i, j)] = (n, a, aa, b, bb)
+    row = centered.selectExpr(*aggs)
+
+    def corr(i: int, j: int) -> str:
+        n, a, aa, b, bb = terms[(i, j)]
+        sxx, syy = f"{aa} - {a} * {a} / {n}", f"{bb} - {b} * {b} / {n}"
+        value = f"try_divide(ab{i}_{j} - {a} * {b} / {n}, sqrt(({sxx}) * ({syy})))"
         # Zero spread within the pair's rows: exactly 0 up to float rounding.
-        is_flat = f"({sxx}) <= {dbl(FLAT_TOLERANCE)} * aa{q} OR ({syy}) <= {dbl(FLAT_TOLERANCE)} * bb{q}"
-        return f"CASE WHEN {n} >= 2 AND NOT ({is_flat}) THEN {value} END"
+        flat = f"({sxx}) <= {dbl(FLAT_TOLERANCE)} * {aa} OR ({syy}) <= {dbl(FLAT_TOLERANCE)} * {bb}"
+        return f"CASE WHEN {n} >= 2 AND NOT ({flat}) THEN {value} END"
 
     return row, corr
 

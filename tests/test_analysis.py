@@ -77,20 +77,22 @@ def test_correlation_pair_fixture(feats):
 
 def test_correlation_against_numpy(spark):
     rng = np.random.default_rng(7)
-    data = rng.normal(size=(500, 4)) * [1, 10, 1e6, 0.1] + [0, 5, 1e9, 3]
+    data = rng.normal(size=(500, 6)) * [1, 10, 1e6, 0.1, 2, 1] + [0, 5, 1e9, 3, 7, -1]
     data[:, 1] += data[:, 0]
+    data[:, 5] += data[:, 2] * 1e-6
     nulls = rng.random(size=data.shape) < 0.1
-    pdf_rows = [tuple(None if nulls[i, j] else float(data[i, j]) for j in range(4)) for i in range(500)]
-    df = spark.createDataFrame(pdf_rows, "a double, b double, c double, d double")
+    nulls[:, 4:] = False  # two columns without nulls
+    pdf_rows = [tuple(None if nulls[i, j] else float(data[i, j]) for j in range(6)) for i in range(500)]
+    df = spark.createDataFrame(pdf_rows, "a double, b double, c double, d double, e double, f double")
     zero = np.where(nulls, 0.0, data)
     got = {(r[0], r[1]): r[2] for r in correlation_pairs(df, types=("double",)).collect()}
-    names = "abcd"
-    for i in range(4):
-        for j in range(i + 1, 4):
+    names = "abcdef"
+    for i in range(6):
+        for j in range(i + 1, 6):
             assert got[(names[i], names[j])] == pytest.approx(np.corrcoef(zero[:, i], zero[:, j])[0, 1], abs=1e-9)
     pw = {(r[0], r[1]): r[2] for r in correlation_pairs(df, types=("double",), nulls="pairwise").collect()}
-    for i in range(4):
-        for j in range(i + 1, 4):
+    for i in range(6):
+        for j in range(i + 1, 6):
             keep = ~(nulls[:, i] | nulls[:, j])
             want = np.corrcoef(data[keep, i], data[keep, j])[0, 1]
             assert pw[(names[i], names[j])] == pytest.approx(want, abs=1e-9)
