@@ -64,3 +64,42 @@ def test_clean_pushes_age_filter_into_parquet(spark, tmp_path):
     write_parquet(read_survey(spark, SMALL_SF), path)
     plan = _plan(clean_survey(spark.read.parquet(path)))
     assert "PushedFilters: [IsNotNull(Age), GreaterThan(Age,0.0)]" in plan
+
+
+def _partial_before_exchange(plan: str) -> bool:
+    """Every hash/single-partition exchange in the plan is fed by a partial aggregate."""
+    lines = plan.split("\n")
+    for n, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line or "Exchange SinglePartition" in line:
+            below = "\n".join(lines[n + 1 : n + 3])
+            if "partial_" not in below:
+                return False
+    return True
+
+
+@pytest.mark.parametrize("name", ["sleep_cgpa", "city_degree", "value_counts", "corr_pairs", "null_counts"])
+def test_aggregates_combine_before_shuffle(spark, name):
+    """A key holding a third of all rows costs one partial row per task, never a hot reducer input."""
+    plan = _plan(E.queries()[name](spark, SMALL_SF))
+    assert _partial_before_exchange(plan), plan
+
+
+def test_no_cross_or_nested_loop_joins(spark):
+    for name in NAMES:
+        plan = _plan(E.queries()[name](spark, SMALL_SF))
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_hot_key_summary(spark):
+    """One group with a third of the rows still aggregates exactly."""
+    from pyspark.sql import functions as F
+
+    from cohortlens.operators import summarize
+
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 97).cast("string"))).alias("k"),
+        (F.col("id") % 5).cast("double").alias("v"),
+    )
+    out = {r["k"]: r for r in summarize(df, ["k"], {"n": ("count", "*"), "s": ("sum", "v")}).collect()}
+    assert out["hot"]["n"] == 10000
+    assert sum(r["n"] for r in out.values()) == 30000
