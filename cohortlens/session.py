@@ -48,6 +48,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def checkpoint_base(spark: SparkSession) -> str:
+    """The configured checkpoint folder itself, stable across applications.
+
+    ``getCheckpointDir()`` adds a random folder per SparkContext; state that
+    must survive a restart (a stream's progress) belongs directly under the
+    configured folder instead.
+    """
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    return checkpoint_root(spark).rsplit("/", 1)[0]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder for an intermediate table."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")

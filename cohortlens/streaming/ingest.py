@@ -8,13 +8,15 @@ stay batch jobs over the cleaned table this writes.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cohortlens.operators.clean import clean_survey
 from cohortlens.schema import SURVEY_SCHEMA
-from cohortlens.session import checkpoint_root
+from cohortlens.session import checkpoint_base
 
 
 def clean_csv_stream(
@@ -30,7 +32,9 @@ def clean_csv_stream(
     """Start a stream that cleans every new survey CSV file in ``input_dir`` into Parquet.
 
     The checkpoint (progress and file log, so restarts neither skip nor
-    repeat files) defaults to a folder under ``spark.checkpoint.dir``.
+    repeat files) defaults to a folder named after the input and output
+    directly under ``spark.checkpoint.dir``, so a restarted application
+    finds it again.
     ``available_now`` processes what is there and stops; otherwise the query
     keeps polling for new files.
     """
@@ -38,7 +42,9 @@ def clean_csv_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     cleaned = clean_survey(reader.csv(input_dir), mode=mode)
-    ckpt = checkpoint or f"{checkpoint_root(spark)}/stream-clean-{abs(hash((input_dir, output_dir)))}"
+    # A stable name (Python's hash() changes per process): a restart finds its progress.
+    key = hashlib.sha1(f"{input_dir}\n{output_dir}".encode()).hexdigest()[:16]
+    ckpt = checkpoint or f"{checkpoint_base(spark)}/stream-clean-{key}"
     writer = cleaned.writeStream.format("parquet").option("path", output_dir).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.outputMode("append").start()

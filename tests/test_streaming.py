@@ -18,3 +18,14 @@ def test_stream_clean_equals_batch_clean(spark):
     batch = clean_survey(read_csv(spark, src))
     assert streamed.count() == batch.count() > 0
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_stream_restart_resumes_from_default_checkpoint(spark):
+    """A second run with the same folders finds the progress and adds nothing twice."""
+    tmp = tempfile.mkdtemp(prefix="cohortlens-stream2-")
+    src, out = os.path.join(tmp, "in"), os.path.join(tmp, "out")
+    write_csv(read_survey(spark, SMALL_SF), src)
+    clean_csv_stream(spark, src, out).awaitTermination(300)
+    first = spark.read.parquet(out).count()
+    clean_csv_stream(spark, src, out).awaitTermination(300)
+    assert spark.read.parquet(out).count() == first > 0
