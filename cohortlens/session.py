@@ -9,10 +9,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cohortlens") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cohortlens", extra_conf: dict | None = None
+) -> SparkSession:
     """Local session for tests, benches and examples (UI off, AQE on, UTC)."""
+    builder = SparkSession.builder
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder
+        .master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
