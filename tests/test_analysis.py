@@ -176,3 +176,15 @@ def test_kde_matches_brute_force(spark):
     want = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / h) ** 2).sum(axis=1) / (len(x) * h * math.sqrt(2 * math.pi))
     assert [r["x"] for r in got] == pytest.approx(list(grid))
     assert [r["density"] for r in got] == pytest.approx(list(want), rel=1e-9)
+
+
+def test_odd_column_names(spark):
+    """Names with dots, spaces, `?` and backticks go through the SQL-text and Column paths."""
+    from cohortlens.operators import one_hot, summarize
+
+    df = spark.createDataFrame([("x", 1, 2.0), ("y", 2, 4.0), ("x", 3, 7.0)], "`g.k ?` string, `a``b` int, `c.d` double")
+    assert {(r[0], r[1]) for r in summarize(df, ["g.k ?"], {"s": ("sum", "c.d")}).collect()} == {("x", 9.0), ("y", 4.0)}
+    want = np.corrcoef([1, 2, 3], [2.0, 4.0, 7.0])[0, 1]
+    assert [r[2] for r in correlation_pairs(df, types=("int", "double")).collect()] == [pytest.approx(want)]
+    assert one_hot(df, "g.k ?").columns[-2:] == ["g.k ?_x", "g.k ?_y"]
+    assert {r["column"] for r in quality_profile(df).collect()} == {"g.k ?", "a`b", "c.d"}
