@@ -55,15 +55,15 @@ def _pair_statistics(df: DataFrame, cols: Sequence[str], nulls: str) -> tuple[Da
     moments = base.selectExpr(
         "struct(" + ", ".join(f"avg(x{i}) AS m{i}, min(x{i}) AS lo{i}, max(x{i}) AS hi{i}" for i in range(k)) + ") AS m"
     ).scalar()
-    centered = base.withColumn(_MOMENTS, moments).selectExpr(
-        *[f"x{i} - {_MOMENTS}.m{i} AS d{i}" for i in range(k)], f"{_MOMENTS} AS mm"
-    )
+    centered = base.withColumn(_MOMENTS, moments).selectExpr(*[f"x{i} - {_MOMENTS}.m{i} AS d{i}" for i in range(k)])
     pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
-    aggs = ["count(1) AS n", "first(mm) AS mm"]
+    # Only numeric sums in the aggregate (a hash aggregate); the min/max for
+    # the constant-column test come from the same subquery, re-attached below.
+    aggs = ["count(1) AS n"]
     aggs += [f"sum(d{i}) AS s{i}" for i in range(k)]
     aggs += [f"sum(d{i} * d{i}) AS ss{i}" for i in range(k)]
     aggs += [f"sum(d{i} * d{j}) AS p{i}_{j}" for i, j in pairs]
-    row = centered.selectExpr(*aggs)
+    row = centered.selectExpr(*aggs).withColumn("mm", moments)
 
     def flat(lo: str, hi: str) -> str:
         return f"(coalesce({lo} = {hi}, true) AND NOT coalesce(isnan({lo}), false))"

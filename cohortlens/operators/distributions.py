@@ -29,20 +29,24 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
         raise ValueError("bins must be positive")
     data = _finite(df, col)
     r = data.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("r")).scalar()
-    # The range and bin width as one struct: attached once to each side.
-    edges = F.struct(
-        F.when(r.lo == r.hi, r.lo - 0.5).otherwise(r.lo).alias("lo"),
-        F.when(r.lo == r.hi, r.hi + 0.5).otherwise(r.hi).alias("hi"),
-    )
+
+    def with_edges(frame: DataFrame) -> DataFrame:
+        # The range subquery attached once; equal min and max widen to ± 0.5.
+        return frame.withColumn("r", r).withColumn(
+            "e",
+            F.struct(
+                F.when(F.col("r.lo") == F.col("r.hi"), F.col("r.lo") - 0.5).otherwise(F.col("r.lo")).alias("lo"),
+                F.when(F.col("r.lo") == F.col("r.hi"), F.col("r.hi") + 0.5).otherwise(F.col("r.hi")).alias("hi"),
+            ),
+        )
+
     lo, hi = F.col("e.lo"), F.col("e.hi")
     width = (hi - lo) / F.lit(float(bins))
     idx = F.least(F.floor((F.col("x") - lo) / width), F.lit(bins - 1)).cast("int")
-    counts = (
-        data.withColumn("e", edges).select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
-    )
+    counts = with_edges(data).select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     # All bins, empty ones included: a grid of ``bins`` rows (bounded by the
     # argument) joined with at most ``bins`` counted rows.
-    grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).withColumn("e", edges)
+    grid = with_edges(df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")))
     out = grid.join(F.broadcast(counts), "bin", "left")
     return out.select(
         "bin",

@@ -54,3 +54,18 @@ def test_survey_job_writes_every_output(spark):
     assert counts["depression_correlations"] <= 5
     assert counts["correlation_matrix"] == 6
     assert counts["profile"] == 18
+
+
+def test_survey_job_partitioned_outputs(spark):
+    out = tempfile.mkdtemp(prefix="cohortlens-job-part-")
+    paths = run_survey_job(read_survey(spark, SMALL_SF), out, partition_by="Gender")
+    feats = spark.read.parquet(paths["features"])
+    assert feats.columns[-1] == "Gender"
+    assert sorted(d for d in os.listdir(paths["features"]) if d.startswith("Gender=")) == ["Gender=Female", "Gender=Male"]
+    unpartitioned = run_survey_job(read_survey(spark, SMALL_SF), tempfile.mkdtemp(prefix="cohortlens-job-flat-"))
+    a = spark.read.parquet(paths["high_risk"])
+    b = spark.read.parquet(unpartitioned["high_risk"]).select(*a.columns)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
+    s1 = spark.read.parquet(paths["city_degree_stats"])
+    s2 = spark.read.parquet(unpartitioned["city_degree_stats"])
+    assert s1.exceptAll(s2).count() == 0 and s2.exceptAll(s1).count() == 0
