@@ -25,6 +25,7 @@ from cohortlens.operators import (
 )
 from cohortlens.operators.summaries import SURVEY_SUMMARIES, combined_summaries, split_summaries
 from cohortlens.schema import DEPRESSION
+from cohortlens.session import scratch_path
 from cohortlens.sources import write_parquet
 
 # Output layout (fixed values: relative paths of the job's results).
@@ -70,7 +71,8 @@ def run_survey_job(
     # Read back by name; a partition column comes back as the last column.
     feats = spark.read.parquet(paths["features"])
 
-    summaries_path = f"{root}/_summaries.parquet"
+    # The combined summaries are an intermediate: written under the shared checkpoint folder.
+    summaries_path = scratch_path(spark, "survey-summaries")
     write_parquet(combined_summaries(feats), summaries_path)
     for name, df in split_summaries(spark.read.parquet(summaries_path), SURVEY_SUMMARIES).items():
         write_parquet(df, paths[name])
