@@ -69,3 +69,16 @@ def test_survey_job_partitioned_outputs(spark):
     s1 = spark.read.parquet(paths["city_degree_stats"])
     s2 = spark.read.parquet(unpartitioned["city_degree_stats"])
     assert s1.exceptAll(s2).count() == 0 and s2.exceptAll(s1).count() == 0
+
+
+def test_write_outputs_and_preview(spark):
+    from cohortlens.sources import preview, write_outputs
+
+    tmp = tempfile.mkdtemp(prefix="cohortlens-outs-")
+    df = survey_rows(spark, ANALYSIS_PAIR + [{**ANALYSIS_PAIR[0], "id": 3}])
+    paths = write_outputs({"a": df, "nested/b": df.select("id")}, tmp)
+    assert set(paths) == {"a", "nested/b"}
+    assert spark.read.parquet(paths["nested/b"]).count() == 3
+    first = preview(df, 2, order_by=["id"]).collect()
+    assert [r["id"] for r in first] == [1, 2]
+    assert [r["id"] for r in preview(df, 2, order_by=[df["id"].desc()]).collect()] == [3, 2]
