@@ -96,3 +96,58 @@ def test_empty_separator_rejected(sep):
         return
     with pytest.raises(ValueError):
         text_range_to_number(F.col("x"), sep=sep)
+
+
+def test_parse_property_random_strings(spark):
+    """Random strings over the characters that matter, checked in one Spark job."""
+    import numpy as np
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    alphabet = st.sampled_from(list("0123456789.-+_eE hoursHOURSxinf\t　 "))
+    token = st.one_of(
+        st.from_regex(r"[0-9]{1,3}(\.[0-9]{0,2})?", fullmatch=True),
+        st.sampled_from(["", ".5", "1_0", "1e1", "1E+1", "inf", "NaN", "x", "5d", "+2", "1__0", "_1", "1e", "e1", "0x1"]),
+    )
+    part = st.tuples(
+        st.sampled_from(["", " ", "\t"]), token, st.sampled_from(["", " ", " hours", " HOURS", "hours"])
+    ).map("".join)
+    structured = st.tuples(
+        st.sampled_from(["", " ", "　"]),
+        st.lists(part, min_size=1, max_size=3).map("-".join),
+        st.sampled_from(["", " ", "\n"]),
+    ).map("".join)
+    samples: list[str] = []
+
+    @settings(max_examples=600, database=None, derandomize=True)
+    @given(st.one_of(structured, st.text(alphabet=alphabet, max_size=14)))
+    def collect(s):
+        samples.append(s)
+
+    collect()
+
+    def python_rule(raw):
+        raw = raw.strip().lower()
+        if raw == "less than 5 hours":
+            return 4.0
+        if raw == "more than 8 hours":
+            return 9.0
+        if "-" in raw:
+            parts = raw.replace(" hours", "").split("-")
+            if len(parts) == 2:
+                try:
+                    return (float(parts[0]) + float(parts[1])) / 2.0
+                except ValueError:
+                    return None
+        return None
+
+    got = _parse(spark, samples)
+    assert sum(v is not None for v in got) > len(samples) // 10  # many parseable ranges, not just nulls
+    for raw, value in zip(samples, got):
+        want = python_rule(raw)
+        if want is not None:
+            want = float(np.float32(want))
+        if want is not None and value is not None and np.isnan(want):
+            assert np.isnan(value), raw
+        else:
+            assert value == want, (raw, value, want)
