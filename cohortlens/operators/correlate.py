@@ -13,6 +13,10 @@ from cohortlens.sqltext import dbl, ident, lit
 
 PAIR_SCHEMA = "column1 string, column2 string, correlation double"
 _MOMENTS = "__cohortlens_moments"
+# Up to this many pairs (10 columns), ``nulls="zero"`` uses one pass of
+# mergeable moment aggregates (small enough for fused code generation);
+# wider sets use two passes of plain sums, which are cheaper per row.
+ONE_PASS_MAX_PAIRS = 45
 # Pairwise mode: a column counts as constant within a pair's rows when its
 # centered sum of squares is this small relative to its raw sum of squares.
 FLAT_TOLERANCE = 1e-12
@@ -52,6 +56,8 @@ def _pair_statistics(df: DataFrame, cols: Sequence[str], nulls: str) -> tuple[Da
     base = df.selectExpr(*xs)
     if nulls == "pairwise":
         return _pairwise_statistics(base, k)
+    if k * (k - 1) // 2 <= ONE_PASS_MAX_PAIRS:
+        return _one_pass_statistics(base, k)
     moments = base.selectExpr(
         "struct(" + ", ".join(f"avg(x{i}) AS m{i}, min(x{i}) AS lo{i}, max(x{i}) AS hi{i}" for i in range(k)) + ") AS m"
     ).scalar()
@@ -80,6 +86,26 @@ def _pair_statistics(df: DataFrame, cols: Sequence[str], nulls: str) -> tuple[Da
     return row, corr
 
 
+def _one_pass_statistics(base: DataFrame, k: int) -> tuple[DataFrame, Callable[[int, int], str]]:
+    """``nulls="zero"`` in a single pass: ``var_pop`` per column and ``covar_pop`` per pair.
+
+    These are Spark's streaming (Welford-style), mergeable central moments:
+    numerically stable, exactly 0 for a constant column (→ NaN correlation),
+    and they never divide by zero under ANSI mode.
+    """
+    aggs = ["count(1) AS n"]
+    aggs += [f"var_pop(x{i}) AS v{i}" for i in range(k)]
+    aggs += [f"covar_pop(x{i}, x{j}) AS c{i}_{j}" for i in range(k) for j in range(i + 1, k)]
+    row = base.selectExpr(*aggs)
+
+    def corr(i: int, j: int) -> str:
+        nan = dbl(float("nan"))
+        value = f"try_divide(c{i}_{j}, sqrt(v{i} * v{j}))"
+        return f"CASE WHEN n = 0 OR v{i} = 0 OR v{j} = 0 THEN {nan} ELSE coalesce({value}, {nan}) END"
+
+    return row, corr
+
+
 def _pairwise_statistics(base: DataFrame, k: int) -> tuple[DataFrame, Callable[[int, int], str]]:
     """Pairwise-complete statistics: each pair over the rows where both values are present.
 
@@ -148,10 +174,11 @@ def correlation_pairs(
     """(column1, column2, correlation) for every pair i < j of the chosen columns.
 
     Columns default to those of the given ``types`` (32-bit int and float, as
-    the survey code picks them), in schema order.  All pairs come from two
-    aggregate passes (means, then centered sums) whatever the number of
-    pairs; a projection unpivots the single result row, so no shuffle beyond
-    the aggregates' one-row exchanges.
+    the survey code picks them), in schema order.  All pairs come from one
+    aggregate pass (up to ``ONE_PASS_MAX_PAIRS`` pairs) or two (means, then
+    centered sums) whatever the number of pairs; a projection unpivots the
+    single result row, so no shuffle beyond the aggregates' one-row
+    exchanges.
     """
     cols = _columns(df, columns, types)
     if len(cols) < 2:

@@ -188,3 +188,30 @@ def test_odd_column_names(spark):
     assert [r[2] for r in correlation_pairs(df, types=("int", "double")).collect()] == [pytest.approx(want)]
     assert one_hot(df, "g.k ?").columns[-2:] == ["g.k ?_x", "g.k ?_y"]
     assert {r["column"] for r in quality_profile(df).collect()} == {"g.k ?", "a`b", "c.d"}
+
+
+def test_wide_correlation_uses_two_pass_path(spark):
+    """More than ONE_PASS_MAX_PAIRS pairs: centered sums, same results as numpy."""
+    from cohortlens.operators.correlate import ONE_PASS_MAX_PAIRS
+
+    rng = np.random.default_rng(11)
+    k = 11
+    assert k * (k - 1) // 2 > ONE_PASS_MAX_PAIRS
+    data = rng.normal(size=(400, k)) * rng.uniform(0.1, 1e5, size=k) + rng.uniform(-1e8, 1e8, size=k)
+    data[:, 3] = 0.1  # constant column
+    nulls = rng.random(size=data.shape) < 0.05
+    names = [f"c{i}" for i in range(k)]
+    df = spark.createDataFrame(
+        [tuple(None if nulls[r, c] else float(data[r, c]) for c in range(k)) for r in range(400)],
+        ", ".join(f"{n} double" for n in names),
+    )
+    zero = np.where(nulls, 0.0, data)
+    got = {(r[0], r[1]): r[2] for r in correlation_pairs(df, types=("double",)).collect()}
+    assert len(got) == k * (k - 1) // 2
+    for i in range(k):
+        for j in range(i + 1, k):
+            if np.ptp(zero[:, i]) == 0 or np.ptp(zero[:, j]) == 0:
+                assert math.isnan(got[(names[i], names[j])])
+            else:
+                want = np.corrcoef(zero[:, i], zero[:, j])[0, 1]
+                assert got[(names[i], names[j])] == pytest.approx(want, abs=1e-9)
