@@ -28,18 +28,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import add_columns, documents, pick
-from cohortlens.llm.pieces import WorkerCache, pieces
+from cohortlens.llm.pieces import WorkerCache, by_blocks, pieces
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Longest pre-token, in bytes, that is merged by scanning.
 SHORT = 256
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 #: Longest piece of text that is memoised, in characters.
 CACHED_PIECE = 64
 _NEVER = (1 << 31) - 1
 #: Fewer words of one length than this are merged one by one.
 _FEW = 24
 _SLOTS = 1 << 20
+_DECODED_AT_ONCE = 1 << 16
 
 
 def byte_characters() -> dict[str, int]:
@@ -70,6 +71,7 @@ class BytePairModel:
             self.rank[vocab[left] << 32 | vocab[right]] = r
             self.merged.append(vocab[left + right])
         self._pair_keys, self._pair_ranks = self._pair_table()
+        self._token_bytes, self._token_start, self._token_length = self._byte_table()
         self._byte_ids, self._merged_ids = np.array(self.byte_id), np.array(self.merged)
         self._pre_token = regex.compile(public_tokenizers.PATTERN)
         self._special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
@@ -211,9 +213,29 @@ class BytePairModel:
         ids_of = self.merge_many(words) | {i: array("i", [i]).tobytes() for i in self.specials.values()}
         return [ids_of[c] if isinstance(c, bytes) else b"".join([ids_of[w] for w in c]) for c in cut]
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of ids, special tokens included; unknown ids give nothing, invalid UTF-8 the replacement character."""
-        return b"".join([self.bytes_of.get(i, b"") for i in ids]).decode("utf-8", "replace")
+    def _byte_table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All tokens' bytes in one array; start and length by id."""
+        tokens = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
+        length = np.array([len(t) for t in tokens])
+        return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(length) - length, length
+
+    def decode_many(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of all rows of ids (row i: ``offsets[i]`` to ``offsets[i + 1]``), and the rows' byte offsets.
+
+        Special tokens are included; ids outside the vocabulary give nothing.
+        """
+        parts, bytes_before = [np.empty(0, np.uint8)], np.zeros(len(ids) + 1, np.int64)
+        for start in range(0, len(ids), _DECODED_AT_ONCE):
+            some = ids[start : start + _DECODED_AT_ONCE]
+            known = (some >= 0) & (some < len(self._token_length))
+            at = np.where(known, some, 0)
+            length = np.where(known, self._token_length[at], 0)
+            ends = np.cumsum(length)
+            places = np.repeat(self._token_start[at] - (ends - length), length)
+            places += np.arange(len(places))
+            parts.append(self._token_bytes[places])
+            bytes_before[start + 1 : start + 1 + len(some)] = bytes_before[start] + ends
+        return np.concatenate(parts), bytes_before[offsets]
 
 
 @functools.lru_cache(maxsize=2)
@@ -223,12 +245,7 @@ def _worker_model(spec: str) -> tuple[BytePairModel, WorkerCache]:
     return model, WorkerCache(lambda piece: model.encode_many([piece])[0], CACHE_ENTRIES)
 
 
-def encode_texts(texts: list[str], model: BytePairModel, cache: WorkerCache) -> list[bytes]:
-    """Ids of whole texts, packed as 32-bit integers.
-
-    Texts are cut at white space; pieces the worker has not met are encoded
-    together.  Long pieces, and texts with other white space, are not memoised.
-    """
+def _encode_blocks(texts: list[str], model: BytePairModel, cache: WorkerCache) -> list[bytes]:
     cuts = [pieces(t) or [t] for t in texts]
     distinct = set().union(*cuts)
     new = [p for p in cache.unknown(distinct) if len(p) <= CACHED_PIECE]
@@ -241,6 +258,15 @@ def encode_texts(texts: list[str], model: BytePairModel, cache: WorkerCache) ->
     return [b"".join([once[p] if p in once else cache[p] for p in cut]) for cut in cuts]
 
 
+def encode_texts(texts: list[str], model: BytePairModel, cache: WorkerCache) -> list[bytes]:
+    """Ids of whole texts, packed as 32-bit integers.
+
+    Texts are cut at white space; pieces the worker has not met are encoded
+    together.  Long pieces, and texts with other white space, are not memoised.
+    """
+    return [b"".join(parts) for parts in by_blocks(texts, lambda held: _encode_blocks(held, model, cache))]
+
+
 def _encode_column(texts: pa.Array, spec: str) -> pa.ListArray:
     packed = encode_texts([t or "" for t in texts.to_pylist()], *_worker_model(spec))
     offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int32)
@@ -248,9 +274,22 @@ def _encode_column(texts: pa.Array, spec: str) -> pa.ListArray:
 
 
 def _decode_column(ids: pa.ListArray, spec: str) -> pa.Array:
+    """Decoded texts; bytes that are not UTF-8 become replacement characters, null ids an empty text."""
     model, _ = _worker_model(spec)
-    # Null ids decode to nothing.
-    return pa.array([model.decode(row) for row in (r or [] for r in ids.to_pylist())], pa.string())
+    counts = np.array(ids.value_lengths().fill_null(0))
+    rows = np.concatenate([[0], np.cumsum(counts)])
+    data, offsets = model.decode_many(ids.flatten().to_numpy(zero_copy_only=False), rows)
+    raw = data.tobytes()
+    starts = data[offsets[:-1][offsets[:-1] < len(data)]]
+    try:
+        if ((starts & 0xC0) == 0x80).any():  # a row begins inside a character
+            raise UnicodeDecodeError("utf-8", b"", 0, 1, "row")
+        raw.decode("utf-8")
+    except UnicodeDecodeError:
+        return pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets, offsets[1:])], pa.string())
+    return pa.StringArray.from_buffers(
+        len(counts), pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(raw)
+    )
 
 
 def tokenizer_spec(path: str | None = None) -> str:

@@ -22,7 +22,7 @@ HOT_SHARE = 256
 BROADCAST_ROWS = 100_000
 
 #: Rows handed to a Python function at once.
-ROWS = 512
+ROWS = 1024
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _shipped: set[str] = set()

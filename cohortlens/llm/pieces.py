@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 #: White space followed by the word it leads, or white space at the end.  A byte-level
 #: pre-token never runs from a word into white space, so encoding piece by piece equals
@@ -20,6 +20,44 @@ def pieces(text: str) -> list[str] | None:
     return _PIECE.findall(text)
 
 
+#: Characters worked on at once; longer texts are cut, so memory does not follow the longest text.
+BLOCK = 1 << 21
+_CUT = re.compile(r"(?<=\S)(?=[ \t-\r])")
+
+
+def blocks(text: str) -> Iterator[str]:
+    """The text in blocks of about BLOCK characters, cut between a word and the white space after it."""
+    start = 0
+    while len(text) - start > BLOCK and (cut := _CUT.search(text, start + BLOCK)):
+        yield text[start : cut.start()]
+        start = cut.start()
+    yield text[start:]
+
+
+def by_blocks(texts: list[str], work: Callable[[list[str]], list]) -> list[list]:
+    """Per text the results of ``work`` for its blocks; ``work`` gets blocks of at most about BLOCK characters in all."""
+    out: list[list] = [[] for _ in texts]
+    owners: list[int] = []
+    held: list[str] = []
+    size = 0
+
+    def flush() -> None:
+        for owner, result in zip(owners, work(held)):
+            out[owner].append(result)
+
+    for i, text in enumerate(texts):
+        for block in blocks(text):
+            owners.append(i)
+            held.append(block)
+            size += len(block)
+            if size >= BLOCK:
+                flush()
+                owners, held, size = [], [], 0
+    if held:
+        flush()
+    return out
+
+
 class WorkerCache(dict):
     """Bounded memo of ``compute`` for one Python worker.
 

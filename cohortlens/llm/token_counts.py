@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm.bpe import tokenizer_spec
 from cohortlens.llm.common import add_columns, documents, pick, ship_package
-from cohortlens.llm.pieces import WorkerCache, pieces
+from cohortlens.llm.pieces import WorkerCache, blocks, by_blocks, pieces
 from cohortlens.schema import safe_col
 
 TABLE_ENTRIES = 65_536
@@ -60,7 +60,8 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
     for batch in batches:
         for text in batch.column(0).to_pylist():
-            counts.update(p for p in pieces(text or "") or [] if len(p) <= PIECE_CHARS)
+            for block in blocks(text or ""):
+                counts.update(p for p in pieces(block) or [] if len(p) <= PIECE_CHARS)
             if len(counts) > 8 * TABLE_ENTRIES:
                 counts = Counter(dict(counts.most_common(4 * TABLE_ENTRIES)))
     top = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:TABLE_ENTRIES]
@@ -90,9 +91,8 @@ def _worker_tiers(shared: tuple[str, str, bytes]) -> tuple[object, dict[str, int
     return tokenizer, table, WorkerCache(lambda p: _lengths(tokenizer, [p])[0], CACHE_ENTRIES)
 
 
-def _count_column(texts: pa.Array, shared: tuple[str, str, bytes]) -> pa.Array:
-    tokenizer, table, cache = _worker_tiers(shared)
-    cuts = [pieces(t or "") for t in texts.to_pylist()]
+def _count_blocks(texts: list[str], tokenizer, table: dict[str, int], cache: WorkerCache) -> list[int]:
+    cuts = [pieces(t) for t in texts]
     distinct = set().union(*[c for c in cuts if c]).difference(table)
     new = [p for p in cache.unknown(distinct) if len(p) <= 2 * PIECE_CHARS]
     for piece, n in zip(new, _lengths(tokenizer, new)):
@@ -102,13 +102,19 @@ def _count_column(texts: pa.Array, shared: tuple[str, str, bytes]) -> pa.Array:
     tier_one = table.get
     out = []
     for cut, text in zip(cuts, texts):
-        if cut is None:  # other white space: the whole text at once
-            out.append(_lengths(tokenizer, [text.as_py()])[0])
+        if cut is None:  # other white space: the whole block at once
+            out.append(_lengths(tokenizer, [text])[0])
         elif once:
             out.append(sum([tier_one(p) or once.get(p) or cache[p] for p in cut]))
         else:
             out.append(sum([tier_one(p) or cache[p] for p in cut]))
-    return pa.array(out, pa.int64())
+    return out
+
+
+def _count_column(texts: pa.Array, shared: tuple[str, str, bytes]) -> pa.Array:
+    tiers = _worker_tiers(shared)
+    counts = by_blocks([t or "" for t in texts.to_pylist()], lambda held: _count_blocks(held, *tiers))
+    return pa.array([sum(c) for c in counts], pa.int64())
 
 
 def token_counts(
