@@ -1,11 +1,16 @@
 """Operators for building language-model training data, and their named queries."""
 
-from cohortlens.llm import bpe, exact, mixing, sharding, token_counts
+from cohortlens.llm import bpe, exact, langid, line_crf, mixing, prefix_hash, sharding, simhash, substring, token_counts
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_language_mixture": langid.op2_language_mixture,
+    "op3_substring_dedup": substring.op3_substring_dedup,
+    "op4_line_quality": line_crf.op4_line_quality,
     "op5_exact_dedup": exact.op5_exact_dedup,
+    "op6_prefix_fingerprints": prefix_hash.op6_prefix_fingerprints,
     "op7_token_counts": token_counts.op7_token_counts,
+    "op8_simhash": simhash.op8_simhash,
     "op9_bpe": bpe.op9_bpe,
     "op10_sharding": sharding.op10_sharding,
 }

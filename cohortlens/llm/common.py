@@ -21,8 +21,9 @@ HOT_SHARE = 256
 #: A small side of at most this many rows may be broadcast; above it the join shuffles.
 BROADCAST_ROWS = 100_000
 
-#: Rows handed to a Python function at once.
+#: Rows handed to a Python function at once, and about how many bytes of them.
 ROWS = 1024
+BATCH_BYTES = 8 << 20
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _shipped: set[str] = set()
@@ -120,8 +121,9 @@ def add_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
+            each = max(1, min(ROWS, BATCH_BYTES * batch.num_rows // max(1, batch.nbytes)))
+            for at in range(0, batch.num_rows, each):
+                part = batch.slice(at, each)
                 made = [part.column(0)]
                 for f in functions:
                     made.append(f(made[-1], sent.value))

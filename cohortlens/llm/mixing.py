@@ -191,10 +191,11 @@ def mix_sources(
 def repeat_rows(mixed: DataFrame) -> DataFrame:
     """The mix itself: every row as often as ``copies`` says, without the operator's columns."""
     kept = without(mixed, OUTPUTS).columns
-    times = F.when(F.col("copies") > 0, F.array_repeat(F.lit(0), F.col("copies"))).otherwise(
-        F.array().cast("array<int>")
+    rows = mixed.select(
+        *[safe_col(c).alias(f"c{i}") for i, c in enumerate(kept)],
+        F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy"),
     )
-    return mixed.select(*[safe_col(c) for c in kept], F.explode(times).alias("__copy")).drop("__copy")
+    return rows.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)])
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ SEED = 42
 #: Words hashed at once, so memory does not follow the longest text.
 WORDS = 1 << 17
 _BIT_SUMS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
-OUTPUTS = ("fingerprint", "component_id")
+OUTPUTS = ("fingerprint", "component_id", "first")
 
 
 def _bits_set(hashes: np.ndarray) -> np.ndarray:
@@ -130,7 +130,9 @@ def near_duplicates(
     radius: int = RADIUS,
     carry: list[str] | None = None,
 ) -> DataFrame:
-    """Every row with ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id its fingerprint reaches.
+    """Every row with fingerprint (16 hex digits), component_id (smallest id its fingerprint reaches) and first.
+
+    ``first`` marks one row of each component, one with the smallest id.
 
     ``carry`` names the columns to return (default: all); the outputs replace
     input columns of the same names.  Null and empty texts and texts without
@@ -147,11 +149,14 @@ def near_duplicates(
     )
     names = [f"k{i}" for i in range(len(kept))]
     prints = stage(
-        add_columns(inner, "text", ["id", *names], [lambda col, s: _simhash_column(col, s)], {"fp": "bigint"}, shingle),
+        add_columns(inner, "text", ["id", *names], [_simhash_column], {"fp": "bigint"}, shingle).withColumn(
+            "row", F.monotonically_increasing_id()
+        ),
         "simhash-fingerprints",
     )
+    rank = F.struct(F.col("id").isNull().alias("unknown"), "id", "row")
     distinct = stage(
-        prints.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")), "simhash-distinct"
+        prints.groupBy("fp").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")), "simhash-distinct"
     )
     roots = components(fingerprint_links(distinct.select("fp"), radius))
     rooted = stage(
@@ -160,16 +165,17 @@ def near_duplicates(
         ),
         "simhash-roots",
     )
-    firsts = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("members"))
-    per_print = lookup(rooted, firsts, ["root"], "members", rooted.count()).select("fp", "n", "component_id")
+    firsts = rooted.groupBy("root").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("members"))
+    per_print = lookup(rooted, firsts, ["root"], "members", rooted.count()).select("fp", "n", "least")
     return lookup(prints, per_print, ["fp"], "n", prints.count()).select(
         *[F.col(f"k{i}").alias(c) for i, c in enumerate(kept)],
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id",
+        F.col("least.id").alias("component_id"),
+        (F.col("least.row") == F.col("row")).alias("first"),
     )
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and component."""
     docs = pick(documents(spark, sf_dir), doc_id="doc_id", text="text")
-    return near_duplicates(docs, carry=["doc_id"])
+    return near_duplicates(docs, carry=["doc_id"]).select("doc_id", "fingerprint", "component_id")
