@@ -21,6 +21,8 @@ HOT_SHARE = 256
 #: A small side of at most this many rows may be broadcast; above it the join shuffles.
 BROADCAST_ROWS = 100_000
 
+#: Rows of a narrow scratch table that one task writes, at least.
+STAGE_ROWS = 50_000
 #: Rows handed to a Python function at once, and about how many bytes of them.
 ROWS = 1024
 BATCH_BYTES = 8 << 20
@@ -44,9 +46,15 @@ def without(df: DataFrame, outputs: Iterable[str]) -> DataFrame:
     return df.select(*[safe_col(c) for c in df.columns if c.lower() not in taken])
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write under the shared checkpoint folder and read back: cuts the lineage, survives lost executors."""
+def stage(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write under the shared checkpoint folder and read back: cuts the lineage, survives lost executors.
+
+    ``rows``, if known, is about how many rows of a narrow table there are: no
+    more tasks write it than STAGE_ROWS each make sense for.
+    """
     path = scratch_path(df.sparkSession, name)
+    if rows is not None:
+        df = df.coalesce(1 + rows // STAGE_ROWS)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

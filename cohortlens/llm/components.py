@@ -2,47 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import stage
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One contraction: every node hands its smallest neighbour (itself included) to its larger or smaller neighbours."""
-    if large:
-        both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    else:
-        both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    smallest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root"))
-    out = both.join(smallest, "a")
-    if large:
-        out = out.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("root").alias("b"))
-    else:
-        out = out.select(F.col("b").alias("a"), F.col("root").alias("b")).unionByName(
-            smallest.select("a", F.col("root").alias("b"))
-        )
-    return out.filter(F.col("a") != F.col("b")).distinct()
-
-
-def components(links: DataFrame) -> DataFrame:
+def _round(edges: DataFrame) -> DataFrame:
+    """A large and a small star: three exchanges.
+
+    Large: every node hands the smallest of its neighbours and itself to its
+    larger neighbours.  Small: every node links its smaller neighbours, and
+    itself, to the smallest of them.
+    """
+    mine = Window.partitionBy("a")
+    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    large = both.select("a", "b", F.least(F.min("b").over(mine), F.col("a")).alias("root"))
+    large = large.filter("b > a").select(F.col("b").alias("a"), F.col("root").alias("b"))
+    small = large.select("a", "b", F.min("b").over(mine).alias("root"))
+    ends = F.explode(F.array("a", "b")).alias("a")
+    return small.select(ends, "root").filter("a > root").select("a", F.col("root").alias("b")).distinct()
+
+
+def components(links: DataFrame, rows: int | None = None) -> DataFrame:
     """(node, root) for every node of the links (a, b): root is the smallest node of its component.
 
     Alternates large and small stars until the links no longer change, a number
     of rounds that grows with the logarithm of the longest path; every round is
     written to the shared scratch folder, so lineage stays short.  Two numbers a
-    round reach the driver.
+    round reach the driver.  ``rows``: about how many links there are, if known.
     """
     edges = stage(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(),
         "links",
+        rows,
     )
     seen = None
     while True:
         state = edges.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long"))).first()
         if state == seen or not state[0]:
-            return edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node").unionByName(
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
             )
         seen = state
-        edges = stage(_star(stage(_star(edges, True), "links-large"), False), "links-small")
+        edges = stage(_round(edges), "links", state[0])

@@ -96,8 +96,9 @@ def fingerprint_links(fingerprints: DataFrame, radius: int = RADIUS) -> DataFram
         ),
         "simhash-keys",
     )
+    n_keys = keyed.count()
     buckets = keyed.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = lookup(keyed, buckets, ["table", "key"], "n", keyed.count())
+    shared = lookup(keyed, buckets, ["table", "key"], "n", n_keys)
     flips = F.array(
         *[
             F.array(F.lit(0).cast("long"), *[F.lit(_signed(b)) for b in range(64) if not (m >> b) & 1])
@@ -111,7 +112,7 @@ def fingerprint_links(fingerprints: DataFrame, radius: int = RADIUS) -> DataFram
         met = met.select("fp", "table", F.col("value"), F.explode(flips[F.col("table")]).alias("flip")).select(
             "fp", F.col("value").bitwiseXOR(F.col("flip")).alias("value"), "table"
         )
-    met = stage(met.select("fp", "value").distinct(), "simhash-values")
+    met = stage(met.select("fp", "value").distinct(), "simhash-values", n_keys)
     if radius % 2 == 0:  # two flips of radius / 2 bits each are within the radius
         smallest = met.groupBy("value").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1")
         return met.join(smallest, "value").select(F.col("fp").alias("a"), "b").filter("a <> b").distinct()
@@ -154,20 +155,22 @@ def near_duplicates(
         ),
         "simhash-fingerprints",
     )
+    n_rows = prints.count()
     rank = F.struct(F.col("id").isNull().alias("unknown"), "id", "row")
     distinct = stage(
-        prints.groupBy("fp").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")), "simhash-distinct"
+        prints.groupBy("fp").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")), "simhash-distinct", n_rows
     )
-    roots = components(fingerprint_links(distinct.select("fp"), radius))
+    roots = components(fingerprint_links(distinct.select("fp"), radius), n_rows)
     rooted = stage(
         distinct.join(roots, distinct.fp == roots.node, "left").select(
             "fp", "n", "first", F.coalesce("root", "fp").alias("root")
         ),
         "simhash-roots",
+        n_rows,
     )
     firsts = rooted.groupBy("root").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("members"))
     per_print = lookup(rooted, firsts, ["root"], "members", rooted.count()).select("fp", "n", "least")
-    return lookup(prints, per_print, ["fp"], "n", prints.count()).select(
+    return lookup(prints, per_print, ["fp"], "n", n_rows).select(
         *[F.col(f"k{i}").alias(c) for i, c in enumerate(kept)],
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("least.id").alias("component_id"),
