@@ -5,21 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import stage
+from cohortlens.llm.common import lookup, stage
 
 
-def _round(edges: DataFrame) -> DataFrame:
-    """A large and a small star: three exchanges.
+def _round(edges: DataFrame, n_edges: int) -> DataFrame:
+    """A large and a small star.
 
     Large: every node hands the smallest of its neighbours and itself to its
-    larger neighbours.  Small: every node links its smaller neighbours, and
-    itself, to the smallest of them.
+    larger neighbours.  A hub may hold most of the links, so the smallest are
+    found by partial aggregation and handed back by the skew-safe lookup.
+    Small: every node links its smaller neighbours, and itself, to the smallest
+    of them; the large star leaves a node few smaller neighbours.
     """
-    mine = Window.partitionBy("a")
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    large = both.select("a", "b", F.least(F.min("b").over(mine), F.col("a")).alias("root"))
-    large = large.filter("b > a").select(F.col("b").alias("a"), F.col("root").alias("b"))
-    small = large.select("a", "b", F.min("b").over(mine).alias("root"))
+    smallest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root"), F.count(F.lit(1)).alias("n"))
+    large = lookup(both, smallest, ["a"], "n", 2 * n_edges).filter("b > a")
+    large = large.select(F.col("b").alias("a"), F.col("root").alias("b"))
+    small = large.select("a", "b", F.min("b").over(Window.partitionBy("a")).alias("root"))
     ends = F.explode(F.array("a", "b")).alias("a")
     return small.select(ends, "root").filter("a > root").select("a", F.col("root").alias("b")).distinct()
 
@@ -45,4 +47,4 @@ def components(links: DataFrame, rows: int | None = None) -> DataFrame:
                 edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
             )
         seen = state
-        edges = stage(_round(edges), "links", state[0])
+        edges = stage(_round(edges, state[0]), "links", state[0])
