@@ -20,7 +20,8 @@ PY_WHITESPACE = (
 # A Python float() literal after stripping, as far as it can occur in one part
 # of a text split on "-": digits with single underscores, optional fraction,
 # optional exponent without a minus sign, or inf/infinity/nan.
-_DIGITS = r"[0-9](?:_?[0-9])*"
+# Possessive, so a long number is matched by a loop and not by recursion.
+_DIGITS = r"[0-9](?:_?[0-9])*+"
 PY_FLOAT_PART = rf"^[+]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+]?{_DIGITS})?|inf|infinity|nan)$"
 
 # Phrases of the survey's sleep answers that map to a number.

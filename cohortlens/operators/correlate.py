@@ -1,25 +1,23 @@
-"""Pearson correlation of all column pairs from two aggregate passes, strongest pairs, full matrix."""
+"""Pearson correlation of all column pairs in one pass, strongest pairs, full matrix."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import schema as S
-from cohortlens.schema import SURVEY_NUMERIC, columns_of_types, require_columns
-from cohortlens.sqltext import dbl, ident, lit
+from cohortlens.schema import SURVEY_NUMERIC, columns_of_types, require_columns, safe_col
+from cohortlens.session import ship_package
 
 PAIR_SCHEMA = "column1 string, column2 string, correlation double"
-_MOMENTS = "__cohortlens_moments"
-# Up to this many pairs (10 columns), ``nulls="zero"`` uses one pass of
-# mergeable moment aggregates (small enough for fused code generation);
-# wider sets use two passes of plain sums, which are cheaper per row.
-ONE_PASS_MAX_PAIRS = 45
-# Pairwise mode: a column counts as constant within a pair's rows when its
-# centered sum of squares is this small relative to its raw sum of squares.
-FLAT_TOLERANCE = 1e-12
+_PARTIAL = "first int, stats binary"
+_ROWS = 4096
+# Statistics of a pair over its rows: row i of a block holds column i against every column.
+_N, _MEAN_X, _MEAN_Y, _M2_X, _M2_Y, _C, _LO_X, _HI_X, _LO_Y, _HI_Y = range(10)
 
 
 def _columns(df: DataFrame, columns: Sequence[str] | None, types: Sequence[str]) -> list[str]:
@@ -28,141 +26,62 @@ def _columns(df: DataFrame, columns: Sequence[str] | None, types: Sequence[str])
     return cols
 
 
-def _pair_statistics(df: DataFrame, cols: Sequence[str], nulls: str) -> tuple[DataFrame, Callable[[int, int], str]]:
-    """One-row frame of centered sums for every pair, and a function giving a pair's correlation as SQL.
-
-    Pass 1: per column mean, min and max (a scalar subquery attached once;
-    for ``nulls="pairwise"`` see ``_pairwise_statistics``).
-    Pass 2 (one aggregate of plain sums): with d = x - mean,
-    ``S_xy - S_x S_y / n`` over ``sqrt((S_xx - S_x^2/n)(S_yy - S_y^2/n))``.
-    Centering on the exact mean keeps the sums well conditioned.  Zero
-    variance gives NaN for ``nulls="zero"`` (a column whose min equals its
-    max) and null for ``nulls="pairwise"`` (centered sum of squares within
-    the pair's rows at most ``FLAT_TOLERANCE`` of the raw one).
-
-    ``nulls="zero"``: nulls count as 0.0, as ``DataFrame.stat.corr`` did.
-    ``nulls="pairwise"``: each pair uses the rows where both are non-null
-    (fewer than two rows → null), as the ``corr`` aggregate does.
-
-    The many expressions are written as SQL text and sent in one call each.
-    """
-    if nulls not in ("zero", "pairwise"):
-        raise ValueError("nulls must be 'zero' or 'pairwise'")
-    k = len(cols)
-    if nulls == "zero":
-        xs = [f"coalesce(CAST({ident(c)} AS DOUBLE), CAST(0 AS DOUBLE)) AS x{i}" for i, c in enumerate(cols)]
-    else:
-        xs = [f"CAST({ident(c)} AS DOUBLE) AS x{i}" for i, c in enumerate(cols)]
-    base = df.selectExpr(*xs)
-    if nulls == "pairwise":
-        return _pairwise_statistics(base, k)
-    if k * (k - 1) // 2 <= ONE_PASS_MAX_PAIRS:
-        return _one_pass_statistics(base, k)
-    moments = base.selectExpr(
-        "struct(" + ", ".join(f"avg(x{i}) AS m{i}, min(x{i}) AS lo{i}, max(x{i}) AS hi{i}" for i in range(k)) + ") AS m"
-    ).scalar()
-    centered = base.withColumn(_MOMENTS, moments).selectExpr(*[f"x{i} - {_MOMENTS}.m{i} AS d{i}" for i in range(k)])
-    pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
-    # Only numeric sums in the aggregate (a hash aggregate); the min/max for
-    # the constant-column test come from the same subquery, re-attached below.
-    aggs = ["count(1) AS n"]
-    aggs += [f"sum(d{i}) AS s{i}" for i in range(k)]
-    aggs += [f"sum(d{i} * d{i}) AS ss{i}" for i in range(k)]
-    aggs += [f"sum(d{i} * d{j}) AS p{i}_{j}" for i, j in pairs]
-    row = centered.selectExpr(*aggs).withColumn("mm", moments)
-
-    def flat(lo: str, hi: str) -> str:
-        return f"(coalesce({lo} = {hi}, true) AND NOT coalesce(isnan({lo}), false))"
-
-    def ratio(sxy: str, sxx: str, syy: str) -> str:
-        return f"try_divide({sxy}, sqrt(({sxx}) * ({syy})))"
-
-    def corr(i: int, j: int) -> str:
-        n = "CAST(n AS DOUBLE)"
-        value = ratio(f"p{i}_{j} - s{i} * s{j} / {n}", f"ss{i} - s{i} * s{i} / {n}", f"ss{j} - s{j} * s{j} / {n}")
-        is_flat = f"{flat(f'mm.lo{i}', f'mm.hi{i}')} OR {flat(f'mm.lo{j}', f'mm.hi{j}')}"
-        return f"CASE WHEN n = 0 OR {is_flat} THEN {dbl(float('nan'))} ELSE coalesce({value}, {dbl(float('nan'))}) END"
-
-    return row, corr
-
-
-def _one_pass_statistics(base: DataFrame, k: int) -> tuple[DataFrame, Callable[[int, int], str]]:
-    """``nulls="zero"`` in a single pass: ``var_pop`` per column and ``covar_pop`` per pair.
-
-    These are Spark's streaming (Welford-style), mergeable central moments:
-    numerically stable, exactly 0 for a constant column (→ NaN correlation),
-    and they never divide by zero under ANSI mode.
-    """
-    aggs = ["count(1) AS n"]
-    aggs += [f"var_pop(x{i}) AS v{i}" for i in range(k)]
-    aggs += [f"covar_pop(x{i}, x{j}) AS c{i}_{j}" for i in range(k) for j in range(i + 1, k)]
-    row = base.selectExpr(*aggs)
-
-    def corr(i: int, j: int) -> str:
-        nan = dbl(float("nan"))
-        value = f"try_divide(c{i}_{j}, sqrt(v{i} * v{j}))"
-        return f"CASE WHEN n = 0 OR v{i} = 0 OR v{j} = 0 THEN {nan} ELSE coalesce({value}, {nan}) END"
-
-    return row, corr
-
-
-def _pairwise_statistics(base: DataFrame, k: int) -> tuple[DataFrame, Callable[[int, int], str]]:
-    """Pairwise-complete statistics: each pair over the rows where both values are present.
-
-    Pass 1 reads one row (means and null counts per column; bounded by the
-    number of columns).  Columns without nulls share column-level sums, so
-    only pairs with a nullable column need sums masked by the other column's
-    presence: with z = centered value or 0, zz = z², v = 1 if present,
-    ``n = Σ v_i v_j``, ``S_i = Σ z_i v_j``, ``S_ii = Σ zz_i v_j``, ``S_ij = Σ z_i z_j``.
-    """
-    first = base.selectExpr(
-        "count(1) AS n", *[f"avg(x{i}) AS m{i}" for i in range(k)], *[f"count_if(x{i} IS NULL) AS u{i}" for i in range(k)]
-    ).first()
-    full = {i for i in range(k) if first[f"u{i}"] == 0}
-    mean = [first[f"m{i}"] for i in range(k)]
-    centered = base.selectExpr(
-        *[
-            f"coalesce(x{i} - {dbl(mean[i]) if mean[i] is not None else 'CAST(NULL AS DOUBLE)'}, CAST(0 AS DOUBLE)) AS z{i}"
-            for i in range(k)
-        ],
-        *[f"CASE WHEN x{i} IS NULL THEN CAST(0 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS v{i}" for i in range(k)],
-    ).selectExpr("*", *[f"z{i} * z{i} AS zz{i}" for i in range(k)])
-    aggs = ["count(1) AS n"]
-    aggs += [f"sum(v{i}) AS c{i}" for i in range(k)]
-    aggs += [f"sum(z{i}) AS s{i}" for i in range(k)]
-    aggs += [f"sum(zz{i}) AS ss{i}" for i in range(k)]
-    terms: dict[tuple[int, int], tuple[str, str, str, str, str]] = {}
-    for i in range(k):
-        for j in range(i + 1, k):
-            q = f"{i}_{j}"
-            aggs.append(f"sum(z{i} * z{j}) AS ab{q}")
-            if i in full and j in full:
-                terms[(i, j)] = ("n", f"s{i}", f"ss{i}", f"s{j}", f"ss{j}")
-                continue
-            if j in full:
-                n, a, aa = f"c{i}", f"s{i}", f"ss{i}"
-            else:
-                n, a, aa = f"n{q}", f"a{q}", f"aa{q}"
-                aggs += [f"sum(z{i} * v{j}) AS {a}", f"sum(zz{i} * v{j}) AS {aa}"]
-            if i in full:
-                n, b, bb = f"c{j}", f"s{j}", f"ss{j}"
-            else:
-                b, bb = f"b{q}", f"bb{q}"
-                aggs += [f"sum(z{j} * v{i}) AS {b}", f"sum(zz{j} * v{i}) AS {bb}"]
-            if i not in full and j not in full:
-                aggs.append(f"sum(v{i} * v{j}) AS {n}")
-            terms[(i, j)] = (n, a, aa, b, bb)
-    row = centered.selectExpr(*aggs)
-
-    def corr(i: int, j: int) -> str:
-        n, a, aa, b, bb = terms[(i, j)]
-        sxx, syy = f"{aa} - {a} * {a} / {n}", f"{bb} - {b} * {b} / {n}"
-        value = f"try_divide(ab{i}_{j} - {a} * {b} / {n}, sqrt(({sxx}) * ({syy})))"
-        # Zero spread within the pair's rows: exactly 0 up to float rounding.
-        flat = f"({sxx}) <= {dbl(FLAT_TOLERANCE)} * {aa} OR ({syy}) <= {dbl(FLAT_TOLERANCE)} * {bb}"
-        return f"CASE WHEN {n} >= 2 AND NOT ({flat}) THEN {value} END"
-
-    return row, corr
+def _empty(k: int) -> np.ndarray:
+    stats = np.zeros((10, k))
+    stats[[_LO_X, _LO_Y]], stats[[_HI_X, _HI_Y]] = np.inf, -np.inf
+    return stats
+
+
+def _of_rows(values: np.ndarray, present: np.ndarray, i: int) -> np.ndarray:
+    """Statistics of column i with every column, over the rows where both are present, centred on those rows' means."""
+    rows = present[:, i]
+    both, y = present[rows], values[rows]
+    x = y[:, i : i + 1]
+    n = both.sum(0)
+    out = _empty(values.shape[1])
+    some = np.maximum(n, 1)
+    out[_N] = n
+    out[_MEAN_X] = np.where(both, x, 0).sum(0) / some
+    out[_MEAN_Y] = np.where(both, y, 0).sum(0) / some
+    dx, dy = np.where(both, x - out[_MEAN_X], 0), np.where(both, y - out[_MEAN_Y], 0)
+    out[_M2_X], out[_M2_Y], out[_C] = (dx * dx).sum(0), (dy * dy).sum(0), (dx * dy).sum(0)
+    if len(y):
+        out[_LO_X], out[_HI_X] = np.where(both, x, np.inf).min(0), np.where(both, x, -np.inf).max(0)
+        out[_LO_Y], out[_HI_Y] = np.where(both, y, np.inf).min(0), np.where(both, y, -np.inf).max(0)
+    return out
+
+
+def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Statistics of two sets of rows together (pairwise update of means and central moments)."""
+    out = np.empty_like(a)
+    n = a[_N] + b[_N]
+    share = b[_N] / np.maximum(n, 1)
+    weight = a[_N] * share
+    dx = np.where(a[_N] * b[_N] > 0, b[_MEAN_X] - a[_MEAN_X], 0)
+    dy = np.where(a[_N] * b[_N] > 0, b[_MEAN_Y] - a[_MEAN_Y], 0)
+    out[_N] = n
+    out[_MEAN_X] = np.where(a[_N] > 0, a[_MEAN_X] + dx * share, b[_MEAN_X])
+    out[_MEAN_Y] = np.where(a[_N] > 0, a[_MEAN_Y] + dy * share, b[_MEAN_Y])
+    out[_M2_X] = a[_M2_X] + b[_M2_X] + dx * dx * weight
+    out[_M2_Y] = a[_M2_Y] + b[_M2_Y] + dy * dy * weight
+    out[_C] = a[_C] + b[_C] + dx * dy * weight
+    for low, high in ((_LO_X, _HI_X), (_LO_Y, _HI_Y)):
+        out[low], out[high] = np.minimum(a[low], b[low]), np.maximum(a[high], b[high])
+    return out
+
+
+def _correlations(stats: np.ndarray, zero: bool) -> list[float | None]:
+    """Correlation of each pair; without spread NaN (``zero``) or null, decided exactly by min = max."""
+    out: list[float | None] = []
+    for s in stats.T:
+        flat = s[_LO_X] == s[_HI_X] or s[_LO_Y] == s[_HI_Y]
+        if s[_N] < (1 if zero else 2) or flat:
+            out.append(float("nan") if zero else None)
+            continue
+        scale = float(np.sqrt(s[_M2_X]) * np.sqrt(s[_M2_Y]))
+        value = float(s[_C]) / scale if scale else float("nan")
+        out.append(max(-1.0, min(1.0, value)) if value == value else value)
+    return out
 
 
 def correlation_pairs(
@@ -174,22 +93,66 @@ def correlation_pairs(
     """(column1, column2, correlation) for every pair i < j of the chosen columns.
 
     Columns default to those of the given ``types`` (32-bit int and float, as
-    the survey code picks them), in schema order.  All pairs come from one
-    aggregate pass (up to ``ONE_PASS_MAX_PAIRS`` pairs) or two (means, then
-    centered sums) whatever the number of pairs; a projection unpivots the
-    single result row, so no shuffle beyond the aggregates' one-row
-    exchanges.
+    the survey code picks them), in schema order.
+
+    ``nulls="zero"``: nulls count as 0.0, as ``DataFrame.stat.corr`` did; a
+    column whose min equals its max, or an empty table, gives NaN.
+    ``nulls="pairwise"``: each pair uses the rows where both are present, as the
+    ``corr`` aggregate does; fewer than two rows, or no spread, give null.
+    A NaN or infinite value in a pair's rows gives NaN.  Results lie in [-1, 1].
+
+    One method for any number of columns and rows, in one pass: every task keeps,
+    for each pair, count, means, central moments, min and max over the pair's own
+    rows, merged batch by batch; each column's statistics are then merged over
+    the tasks, in as many tasks as there are columns.
     """
+    if nulls not in ("zero", "pairwise"):
+        raise ValueError("nulls must be 'zero' or 'pairwise'")
     cols = _columns(df, columns, types)
-    if len(cols) < 2:
-        return df.sparkSession.createDataFrame([], PAIR_SCHEMA)
-    row, corr = _pair_statistics(df, cols, nulls)
-    structs = [
-        f"named_struct('column1', {lit(cols[i])}, 'column2', {lit(cols[j])}, 'correlation', {corr(i, j)})"
-        for i in range(len(cols))
-        for j in range(i + 1, len(cols))
-    ]
-    return row.selectExpr(f"inline(array({', '.join(structs)}))")
+    spark, k, zero = df.sparkSession, len(cols), nulls == "zero"
+    if k < 2:
+        return spark.createDataFrame([], PAIR_SCHEMA)
+    ship_package(spark)
+    base = df.select(*[safe_col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    if zero:
+        base = base.select(*[F.coalesce(F.col(f"x{i}"), F.lit(0.0)).alias(f"x{i}") for i in range(k)])
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [_empty(k) for _ in range(k)]
+        with np.errstate(invalid="ignore", over="ignore"):
+            for batch in batches:
+                for at in range(0, batch.num_rows, _ROWS):
+                    part = batch.slice(at, _ROWS)
+                    present = np.stack([np.asarray(c.is_valid()) for c in part.columns], 1)
+                    values = np.stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in part.columns], 1)
+                    held = [_merged(h, _of_rows(values, present, i)) for i, h in enumerate(held)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(k), pa.int32()), pa.array([h.tobytes() for h in held], pa.binary())], ["first", "stats"]
+        )
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        with np.errstate(invalid="ignore", over="ignore"):
+            for batch in batches:
+                for i, stats in zip(*[c.to_pylist() for c in batch.columns]):
+                    stats = np.frombuffer(stats).reshape(10, k)
+                    held[i] = _merged(held[i], stats) if i in held else stats
+        for i, stats in held.items():
+            found = _correlations(stats, zero)[i + 1 :]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i] * len(found), pa.int32()), pa.array(range(i + 1, k), pa.int32()), pa.array(found, pa.float64())],
+                ["i", "j", "correlation"],
+            )
+
+    # No rows at all still give every pair.
+    none = spark.createDataFrame([(i, bytearray(_empty(k).tobytes())) for i in range(k)], _PARTIAL)
+    found = (
+        base.mapInArrow(partial, _PARTIAL).unionByName(none)
+        .repartition(k, "first")
+        .mapInArrow(merge, "i int, j int, correlation double")
+    )
+    names = F.array(*[F.lit(c) for c in cols])
+    return found.select(names[F.col("i")].alias("column1"), names[F.col("j")].alias("column2"), "correlation")
 
 
 def strongest_with(pairs: DataFrame, target: str = S.DEPRESSION, k: int = 5, digits: int = 9) -> DataFrame:
@@ -215,27 +178,25 @@ def correlation_matrix(
 ) -> DataFrame:
     """Square correlation matrix: one row per column (sorted by name), one field per column, diagonal 1.0.
 
-    Built from the same two passes as ``correlation_pairs``; the matrix is a
-    projection of the one-row result, so there is no pivot shuffle.
+    A pivot of the pairs, so of k * k numbers for k columns.
     """
     cols = _columns(df, columns, types)
     if len(cols) < 2:
         return df.sparkSession.createDataFrame([], "column string")
-    pos = {c: i for i, c in enumerate(cols)}
-    labels = sorted(cols)
-    row, corr = _pair_statistics(df, cols, nulls)
-
-    def cell(a: str, b: str) -> str:
-        if a == b:
-            return dbl(1.0)
-        i, j = sorted((pos[a], pos[b]))
-        return corr(i, j)
-
-    structs = [
-        "named_struct('column', " + lit(a) + ", " + ", ".join(f"{lit(b)}, {cell(a, b)}" for b in labels) + ")"
-        for a in labels
-    ]
-    return row.selectExpr(f"inline(array({', '.join(structs)}))")
+    pairs = correlation_pairs(df, cols, nulls=nulls)
+    # Every pair both ways from one read, and the diagonal with the pairs of the first column.
+    cells = pairs.select(
+        F.explode(
+            F.array(
+                F.struct(F.col("column1").alias("column"), F.col("column2").alias("other"), F.col("correlation").alias("r")),
+                F.struct(F.col("column2").alias("column"), F.col("column1").alias("other"), F.col("correlation").alias("r")),
+                F.struct(F.col("column1").alias("column"), F.col("column1").alias("other"), F.lit(1.0).alias("r")),
+                F.struct(F.col("column2").alias("column"), F.col("column2").alias("other"), F.lit(1.0).alias("r")),
+            )
+        ).alias("cell")
+    ).select("cell.*")
+    fields = [F.max(F.when(F.col("other") == c, F.col("r"))).alias(c) for c in sorted(cols)]
+    return cells.groupBy("column").agg(*fields)
 
 
 def correlation_analysis(df: DataFrame, target: str = S.DEPRESSION, k: int = 5) -> dict[str, DataFrame]:

@@ -19,6 +19,7 @@ from cohortlens.functions.columns import (
 )
 from cohortlens.schema import require_columns, safe_col
 
+# Inputs of the stress index and the columns that are scaled.
 STRESS_INPUTS = (S.ACADEMIC_PRESSURE, S.WORK_PRESSURE, S.FINANCIAL_STRESS)
 SCALED_COLUMNS = (S.CGPA, S.DEPRESSION, "stress_index")
 
@@ -51,7 +52,8 @@ def column_ranges(df: DataFrame, cols: Sequence[str]) -> Column:
     """
     fields = []
     for i, c in enumerate(cols):
-        fields += [F.min(safe_col(c)).alias(f"min{i}"), F.max(safe_col(c)).alias(f"max{i}")]
+        x = safe_col(c).cast("double")  # the width of an integer range may not fit the integer type
+        fields += [F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
     return df.agg(F.struct(*fields).alias("ranges")).scalar()
 
 
@@ -110,8 +112,9 @@ def one_hot(
     Categories are taken as given, or discovered with one bounded distinct
     query.  A null value matches no category (all zeros); the always-zero
     ``<prefix>_None`` column is only added with ``null_category=True``.
-    Names that would collide case-insensitively raise instead of silently
-    replacing each other.
+    Names that would collide, in any case, with each other or with a column of
+    ``df`` raise.  ``max_categories`` bounds discovery only; for a column with
+    more values give ``categories``.
     """
     require_columns(df, [col])
     prefix = col if prefix is None else prefix
@@ -119,7 +122,7 @@ def one_hot(
     if not null_category:
         cats = [c for c in cats if c is not None]
     names = [f"{prefix}_{c}" for c in cats]
-    seen: dict[str, str] = {}
+    seen: dict[str, str] = {c.lower(): c for c in df.columns}
     for n in names:
         if n.lower() in seen:
             raise ValueError(f"one-hot columns {seen[n.lower()]!r} and {n!r} collide (names are case-insensitive)")

@@ -45,66 +45,62 @@ def summarize(df: DataFrame, keys: Sequence[str], measures: Mapping[str, tuple[s
     return df.groupBy(*[safe_col(k) for k in keys]).agg(*exprs)
 
 
+# Output name, keys and measures of the five survey summaries.
+SURVEY_SUMMARIES = (
+    ("depression_by_demographics", ("age_group", S.PROFESSION), {"avg_depression": ("avg", S.DEPRESSION)}),
+    ("academic_performance", ("sleep_category",), {"avg_cgpa": ("avg", S.CGPA), "stddev_cgpa": ("stddev", S.CGPA)}),
+    (
+        "city_degree_stats",
+        (S.CITY, S.DEGREE),
+        {"avg_depression": ("avg", S.DEPRESSION), "count_students": ("count", "*")},
+    ),
+    ("demographic_stress", ("age_group", S.GENDER), {"avg_stress_index": ("avg", "stress_index")}),
+    (
+        "sleep_performance",
+        ("sleep_category",),
+        {"avg_cgpa": ("avg", S.CGPA), "avg_academic_score": ("avg", S.ACADEMIC_PRESSURE)},
+    ),
+)
+
+
+_SPECS = {name: (keys, measures) for name, keys, measures in SURVEY_SUMMARIES}
+
+
+def _survey_summary(df: DataFrame, name: str) -> DataFrame:
+    return summarize(df, *_SPECS[name])
+
+
 def depression_by_demographics(df: DataFrame) -> DataFrame:
     """Average depression per (age group, profession)."""
-    return summarize(df, ["age_group", S.PROFESSION], {"avg_depression": ("avg", S.DEPRESSION)})
+    return _survey_summary(df, "depression_by_demographics")
 
 
 def cgpa_by_sleep(df: DataFrame) -> DataFrame:
     """Average and sample standard deviation of CGPA per sleep category."""
-    return summarize(df, ["sleep_category"], {"avg_cgpa": ("avg", S.CGPA), "stddev_cgpa": ("stddev", S.CGPA)})
+    return _survey_summary(df, "academic_performance")
 
 
 def city_degree_stats(df: DataFrame) -> DataFrame:
     """Average depression and row count per (city, degree)."""
-    return summarize(
-        df, [S.CITY, S.DEGREE], {"avg_depression": ("avg", S.DEPRESSION), "count_students": ("count", "*")}
-    )
+    return _survey_summary(df, "city_degree_stats")
 
 
 def stress_by_demographics(df: DataFrame) -> DataFrame:
     """Average stress index per (age group, gender)."""
-    return summarize(df, ["age_group", S.GENDER], {"avg_stress_index": ("avg", "stress_index")})
+    return _survey_summary(df, "demographic_stress")
 
 
 def sleep_performance(df: DataFrame) -> DataFrame:
     """Average CGPA and average academic pressure per sleep category."""
-    return summarize(
-        df, ["sleep_category"], {"avg_cgpa": ("avg", S.CGPA), "avg_academic_score": ("avg", S.ACADEMIC_PRESSURE)}
-    )
+    return _survey_summary(df, "sleep_performance")
 
 
 def distribution_analysis(df: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "depression_by_demographics": depression_by_demographics(df),
-        "academic_performance": cgpa_by_sleep(df),
-    }
+    return {name: _survey_summary(df, name) for name in ("depression_by_demographics", "academic_performance")}
 
 
 def aggregations(df: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "city_degree_stats": city_degree_stats(df),
-        "demographic_stress": stress_by_demographics(df),
-        "sleep_performance": sleep_performance(df),
-    }
-
-
-# (output name, keys, measures) of the five survey summaries.
-SURVEY_SUMMARIES = (
-    ("depression_by_demographics", ("age_group", S.PROFESSION), {"avg_depression": ("avg", S.DEPRESSION)}),
-    ("academic_performance", ("sleep_category",), {"avg_cgpa": ("avg", S.CGPA), "stddev_cgpa": ("stddev", S.CGPA)}),
-    (
-        "city_degree_stats",
-        (S.CITY, S.DEGREE),
-        {"avg_depression": ("avg", S.DEPRESSION), "count_students": ("count", "*")},
-    ),
-    ("demographic_stress", ("age_group", S.GENDER), {"avg_stress_index": ("avg", "stress_index")}),
-    (
-        "sleep_performance",
-        ("sleep_category",),
-        {"avg_cgpa": ("avg", S.CGPA), "avg_academic_score": ("avg", S.ACADEMIC_PRESSURE)},
-    ),
-)
+    return {name: _survey_summary(df, name) for name in ("city_degree_stats", "demographic_stress", "sleep_performance")}
 
 
 def combined_summaries(df: DataFrame, specs=SURVEY_SUMMARIES) -> DataFrame:

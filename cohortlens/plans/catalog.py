@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlens import schema as S
 from cohortlens.operators import (
@@ -38,7 +39,10 @@ from cohortlens.operators import (
     with_risk_reasons,
 )
 from cohortlens.functions import text_range_to_number
+from cohortlens.operators.summaries import SURVEY_SUMMARIES
 from cohortlens.plans import columns as C
+from cohortlens.plans import edge_views as E
+from cohortlens.plans.survey_job import run_survey_job
 from cohortlens.schema import ALL_NUMERIC, safe_col
 from cohortlens.session import scratch_path
 from cohortlens.sources import materialize, preview, read_csv, read_survey, write_csv, write_parquet
@@ -62,18 +66,31 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_survey(survey(spark, sf_dir))
 
 
+def row_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return add_row_features(cleaned(spark, sf_dir))
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Feature derivation reads its input three times (ranges, categories, rows).
-    return engineer_features(materialize(cleaned(spark, sf_dir), "cleaned"))
+    # Ranges, categories and rows each scan the columns they need; row expressions are cheaper than a copy.
+    return engineer_features(cleaned(spark, sf_dir))
+
+
+def stress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with the scaled stress index, all that the risk rules need."""
+    return minmax_scale(row_features(spark, sf_dir), ["stress_index"])
 
 
 def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return high_risk(features(spark, sf_dir))
 
 
-def flagged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagged rows written once, for summaries that read them twice (range, then counts)."""
-    return materialize(flagged(spark, sf_dir), "high-risk")
+def flagged_stress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scaled stress of the flagged rows, written once (one column) for summaries that read it twice."""
+    return materialize(high_risk(stress(spark, sf_dir)).select("stress_index_normalized"), "risk-stress")
+
+
+def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
 
 
 def q_survey_load(spark, sf_dir):
@@ -96,7 +113,7 @@ def q_clean_numeric(spark, sf_dir):
 
 
 def q_row_features(spark, sf_dir):
-    return add_row_features(cleaned(spark, sf_dir)).select(S.ID, *C.ROW_FEATURE_COLUMNS)
+    return row_features(spark, sf_dir).select(S.ID, *C.ROW_FEATURE_COLUMNS)
 
 
 def q_minmax_scale(spark, sf_dir):
@@ -138,31 +155,31 @@ def q_value_counts(spark, sf_dir):
 
 
 def q_age_profession(spark, sf_dir):
-    return depression_by_demographics(features(spark, sf_dir))
+    return depression_by_demographics(row_features(spark, sf_dir))
 
 
 def q_sleep_cgpa(spark, sf_dir):
-    return _round(cgpa_by_sleep(features(spark, sf_dir)), ["stddev_cgpa"])
+    return _round(cgpa_by_sleep(row_features(spark, sf_dir)), ["stddev_cgpa"])
 
 
 def q_city_degree(spark, sf_dir):
-    return city_degree_stats(features(spark, sf_dir))
+    return city_degree_stats(row_features(spark, sf_dir))
 
 
 def q_stress_by_demo(spark, sf_dir):
-    return _round(stress_by_demographics(features(spark, sf_dir)), ["avg_stress_index"])
+    return _round(stress_by_demographics(row_features(spark, sf_dir)), ["avg_stress_index"])
 
 
 def q_sleep_performance(spark, sf_dir):
-    return sleep_performance(features(spark, sf_dir))
+    return sleep_performance(row_features(spark, sf_dir))
 
 
 def q_corr_pairs(spark, sf_dir):
-    return _round(correlation_pairs(features(spark, sf_dir)), ["correlation"])
+    return _round(correlation_pairs(features(spark, sf_dir), C.SURVEY_NUMERIC_WITH_ID), ["correlation"])
 
 
 def q_corr_top5(spark, sf_dir):
-    return _round(strongest_with(correlation_pairs(features(spark, sf_dir)), S.DEPRESSION, 5), ["correlation", "abs_corr"])
+    return _round(strongest_with(correlation_pairs(features(spark, sf_dir), C.SURVEY_NUMERIC_WITH_ID), S.DEPRESSION, 5), ["correlation", "abs_corr"])
 
 
 def q_corr_pairs_all(spark, sf_dir):
@@ -174,8 +191,8 @@ def q_corr_pairs_pairwise(spark, sf_dir):
 
 
 def q_corr_matrix(spark, sf_dir):
-    m = correlation_matrix(features(spark, sf_dir))
-    return _round(m, sorted(C.SURVEY_NUMERIC_FEATURES))
+    m = correlation_matrix(features(spark, sf_dir), C.SURVEY_NUMERIC_WITH_ID)
+    return _round(m, sorted(C.SURVEY_NUMERIC_WITH_ID))
 
 
 def q_high_risk(spark, sf_dir):
@@ -183,26 +200,28 @@ def q_high_risk(spark, sf_dir):
 
 
 def q_risk_reasons(spark, sf_dir):
-    out = with_risk_reasons(features(spark, sf_dir))
+    out = with_risk_reasons(stress(spark, sf_dir))
     return out.select(S.ID, F.concat_ws(",", "risk_reasons").alias("risk_reasons"))
 
 
 def q_risk_histogram(spark, sf_dir):
-    return histogram(flagged_table(spark, sf_dir), "stress_index_normalized", bins=20)
+    return histogram(flagged_stress(spark, sf_dir), "stress_index_normalized", bins=20)
 
 
 def q_risk_density(spark, sf_dir):
-    return _round(gaussian_kde(flagged_table(spark, sf_dir), "stress_index_normalized", grid_size=200), ["x", "density"])
+    return _round(gaussian_kde(flagged_stress(spark, sf_dir), "stress_index_normalized", grid_size=200), ["x", "density"])
 
 
 def q_risk_count(spark, sf_dir):
-    return count_rows(flagged(spark, sf_dir), "n_high_risk")
+    return count_rows(high_risk(stress(spark, sf_dir)), "n_high_risk")
 
 
 def q_csv_declared(spark, sf_dir):
     path = scratch_path(spark, "survey-csv")
     write_csv(survey(spark, sf_dir), path)
-    return clean_survey(read_csv(spark, path))
+    # The view's id is a bigint: an int column would turn large ids into nulls.
+    fields = [T.StructField(f.name, T.LongType() if f.name == S.ID else f.dataType) for f in S.SURVEY_SCHEMA.fields]
+    return clean_survey(read_csv(spark, path, T.StructType(fields)))
 
 
 def q_csv_inferred(spark, sf_dir):
@@ -228,6 +247,47 @@ def q_preview_sorted(spark, sf_dir):
     return preview(cleaned(spark, sf_dir), 20, order_by=C.SURVEY_COLUMNS)
 
 
+def q_text_range_answers(spark, sf_dir):
+    return E.answers(lineitem(spark, sf_dir)).withColumn("parsed", text_range_to_number("raw"))
+
+
+def q_corr_constant(spark, sf_dir):
+    return _round(correlation_pairs(E.view(lineitem(spark, sf_dir), E.CONSTANT), list(E.CONSTANT)), ["correlation"])
+
+
+def q_corr_pairwise_masked(spark, sf_dir):
+    table = E.view(lineitem(spark, sf_dir), E.MASKED)
+    return _round(correlation_pairs(table, list(E.MASKED), nulls="pairwise"), ["correlation"])
+
+
+def q_minmax_constant(spark, sf_dir):
+    out = minmax_scale(E.view(lineitem(spark, sf_dir), E.RANGES), list(E.RANGES))
+    return out.select("id", *[f"{c}_normalized" for c in E.RANGES])
+
+
+def q_job_results(spark, sf_dir):
+    """The batch job's five summaries and its correlations, read back from its outputs in one long table."""
+    paths = run_survey_job(survey(spark, sf_dir), scratch_path(spark, "survey-job"))
+    parts = [(name, list(keys), list(measures)) for name, keys, measures in SURVEY_SUMMARIES]
+    parts.append(("correlation_matrix", ["column1", "column2"], ["correlation"]))
+    out = None
+    for name, keys, measures in parts:
+        key = [safe_col(k).cast("string") for k in keys] + [F.lit(None).cast("string")]
+        value = [F.round(safe_col(m).cast("double"), DIGITS) for m in measures] + [F.lit(None).cast("double")]
+        rows = spark.read.parquet(paths[name]).select(
+            F.lit(name).alias("output"), key[0].alias("key1"), key[1].alias("key2"), value[0].alias("value1"), value[1].alias("value2")
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_job_features_partitioned(spark, sf_dir):
+    """The feature table the batch job wrote partitioned by degree, in the features' own types and order."""
+    paths = run_survey_job(survey(spark, sf_dir), scratch_path(spark, "survey-job"), partition_by=S.DEGREE)
+    schema = features(spark, sf_dir).schema
+    return spark.read.schema(schema).parquet(paths["features"]).select(*[safe_col(c) for c in C.FEATURE_COLUMNS])
+
+
 QUERIES: dict[str, Query] = {
     "clean_ranges": q_clean_ranges,
     "sleep_cgpa": q_sleep_cgpa,
@@ -263,4 +323,10 @@ QUERIES: dict[str, Query] = {
     "parquet_roundtrip": q_parquet_roundtrip,
     "parquet_partitioned": q_parquet_partitioned,
     "preview_sorted": q_preview_sorted,
+    "text_range_answers": q_text_range_answers,
+    "corr_constant": q_corr_constant,
+    "corr_pairwise_masked": q_corr_pairwise_masked,
+    "minmax_constant": q_minmax_constant,
+    "job_results": q_job_results,
+    "job_features_partitioned": q_job_features_partitioned,
 }

@@ -11,6 +11,8 @@ FEATURE_COLUMNS = SURVEY_COLUMNS + ROW_FEATURE_COLUMNS + SCALED + GENDER_DUMMIES
 
 # Columns the survey's type rule (32-bit int or float) picks from the feature table.
 SURVEY_NUMERIC_FEATURES = [S.SLEEP, S.DEPRESSION, *GENDER_DUMMIES]
+# The same with the id, which the survey's own schema types as int.
+SURVEY_NUMERIC_WITH_ID = [S.ID, *SURVEY_NUMERIC_FEATURES]
 # Every numeric column of the feature table, in schema order.
 ALL_NUMERIC_FEATURES = [
     S.ID,

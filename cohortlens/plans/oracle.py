@@ -6,7 +6,9 @@ and each analysis are plain SQL over the pre-registered ``lineitem`` view.
 
 from __future__ import annotations
 
+from cohortlens.operators.summaries import SURVEY_SUMMARIES
 from cohortlens.plans import columns as C
+from cohortlens.plans import edge_views as E
 
 SURVEY = """
 survey AS (
@@ -257,6 +259,62 @@ FROM features
 WHERE stress_index_normalized > 0.7 OR "Sleep Duration" < 5 OR "Financial Stress" > 7"""
 
 
+def _edge_pairs_sql(columns: dict[str, str], zero: bool) -> str:
+    """Pairs of edge columns: no spread gives NaN or null, NaN in a pair's rows gives NaN."""
+    pairs = _pairs(list(columns))
+    parts = []
+    for a, b in pairs:
+        x, y = (f"coalesce({c}, 0.0)" if zero else c for c in (a, b))
+        there = f"FILTER (WHERE {x} IS NOT NULL AND {y} IS NOT NULL)"
+        clean = f"FILTER (WHERE {x} IS NOT NULL AND {y} IS NOT NULL AND NOT isnan({x}) AND NOT isnan({y}))"
+        parts.append(
+            f"SELECT '{a}' AS column1, '{b}' AS column2, round(CASE WHEN count(*) {there} < 2 "
+            f"OR min({x}) {there} = max({x}) {there} OR min({y}) {there} = max({y}) {there} "
+            f"THEN {E.NAN if zero else 'NULL'} WHEN count(*) {there} > count(*) {clean} THEN {E.NAN} "
+            f"ELSE corr({x}, {y}) {clean} END, 9) AS correlation FROM e"
+        )
+    return f"WITH e AS (SELECT {', '.join(E.columns_sql(columns))} FROM lineitem)\n" + _union(parts)
+
+
+def _answers_sql() -> str:
+    def text(pattern: str) -> str:
+        out = "'" + pattern.replace("\t", "' || chr(9) || '").replace("\n", "' || chr(10) || '") + "'"
+        return out.replace("{a}", "' || CAST(a AS VARCHAR) || '").replace("{b}", "' || CAST(b AS VARCHAR) || '")
+
+    raw = " ".join(f"WHEN {i} THEN {text(t)}" for i, (t, _) in enumerate(E.ANSWERS))
+    value = " ".join(f"WHEN {i} THEN CAST({v} AS REAL)" for i, (_, v) in enumerate(E.ANSWERS))
+    return (
+        f"WITH e AS (SELECT l_orderkey * 8 + l_linenumber AS id, (l_orderkey + l_partkey) % {len(E.ANSWERS)} AS i, "
+        f"l_linenumber AS a, l_partkey % 50 AS b FROM lineitem)\n"
+        f"SELECT id, CASE i {raw} END AS raw, CASE i {value} END AS parsed FROM e"
+    )
+
+
+MINMAX_CONSTANT = f"""SELECT l_orderkey * 8 + l_linenumber AS id,
+  CAST(0.0 AS DOUBLE) AS flat_normalized, CAST(0.0 AS DOUBLE) AS nothing_normalized, {E.NAN} AS not_number_normalized,
+  (CAST({E.RANGES['wide']} AS DOUBLE) + 2000000000.0) / 4000000000.0 AS wide_normalized
+FROM lineitem"""
+
+
+def _job_results_sql() -> str:
+    aggregate = {"avg": "avg", "stddev": "stddev_samp", "count": "count"}
+    parts = []
+    for name, keys, measures in SURVEY_SUMMARIES:
+        key = [f"CAST({q(k)} AS VARCHAR)" for k in keys] + ["CAST(NULL AS VARCHAR)"]
+        value = [
+            f"round(CAST({aggregate[f]}({'*' if c == '*' else q(c)}) AS DOUBLE), 9)" for f, c in measures.values()
+        ] + ["CAST(NULL AS DOUBLE)"]
+        parts.append(
+            f"SELECT '{name}' AS output, {key[0]} AS key1, {key[1]} AS key2, {value[0]} AS value1, {value[1]} AS value2 "
+            f"FROM features GROUP BY {', '.join(q(k) for k in keys)}"
+        )
+    parts += [
+        f"SELECT 'correlation_matrix', '{a}', '{b}', round({_corr_expr(a, b, 'zero')}, 9), CAST(NULL AS DOUBLE) FROM features"
+        for a, b in _pairs(C.SURVEY_NUMERIC_FEATURES)
+    ]
+    return with_base(_union(parts))
+
+
 def oracle_queries() -> dict[str, str]:
     minmax_cols = ["CGPA", "Study Satisfaction", "Work/Study Hours", "Financial Stress"]
     cities = [f"City{i}" for i in range(7)]
@@ -306,21 +364,26 @@ def oracle_queries() -> dict[str, str]:
             'SELECT sleep_category, avg("CGPA") AS avg_cgpa, avg("Academic Pressure") AS avg_academic_score '
             "FROM features GROUP BY sleep_category"
         ),
-        "corr_pairs": corr_pairs_sql(C.SURVEY_NUMERIC_FEATURES),
-        "corr_top5": corr_top_sql(C.SURVEY_NUMERIC_FEATURES, "Depression", 5),
+        "corr_pairs": corr_pairs_sql(C.SURVEY_NUMERIC_WITH_ID),
+        "corr_top5": corr_top_sql(C.SURVEY_NUMERIC_WITH_ID, "Depression", 5),
         "corr_pairs_all": corr_pairs_sql(C.ALL_NUMERIC_FEATURES),
         "corr_pairs_pairwise": corr_pairs_sql(C.ALL_NUMERIC_FEATURES, nulls="pairwise"),
-        "corr_matrix": corr_matrix_sql(C.SURVEY_NUMERIC_FEATURES),
+        "corr_matrix": corr_matrix_sql(C.SURVEY_NUMERIC_WITH_ID),
         "high_risk": with_base("SELECT * FROM high_risk"),
         "risk_reasons": with_base(RISK_REASONS),
         "risk_histogram": with_base(HISTOGRAM),
         "risk_density": with_base(DENSITY),
         "risk_count": with_base("SELECT count(*) AS n_high_risk FROM high_risk"),
-        # The declared survey schema types id as INT.
-        "csv_declared": with_base('SELECT * REPLACE (CAST("id" AS INTEGER) AS "id") FROM clean_ranges'),
+        "csv_declared": with_base("SELECT * FROM clean_ranges"),
         # Schema inference types a column of small whole numbers as INT.
         "csv_inferred": with_base('SELECT * REPLACE (CAST("id" AS INTEGER) AS "id") FROM survey'),
         "parquet_roundtrip": with_base("SELECT * FROM features"),
         "parquet_partitioned": with_base("SELECT * FROM features"),
+        "text_range_answers": _answers_sql(),
+        "corr_constant": _edge_pairs_sql(E.CONSTANT, zero=True),
+        "corr_pairwise_masked": _edge_pairs_sql(E.MASKED, zero=False),
+        "minmax_constant": MINMAX_CONSTANT,
+        "job_results": _job_results_sql(),
+        "job_features_partitioned": with_base("SELECT * FROM features"),
         "preview_sorted": with_base(f"SELECT * FROM clean_ranges ORDER BY {order} LIMIT 20"),
     }

@@ -24,7 +24,7 @@ from cohortlens.operators import (
     value_counts,
 )
 from cohortlens.operators.summaries import SURVEY_SUMMARIES, combined_summaries, split_summaries
-from cohortlens.schema import DEPRESSION
+from cohortlens.schema import DEPRESSION, safe_col
 from cohortlens.session import scratch_path
 from cohortlens.sources import write_parquet
 
@@ -67,9 +67,11 @@ def run_survey_job(
     write_parquet(quality_profile(processed), paths["profile"])
     write_parquet(value_counts(processed), paths["value_counts"])
 
-    write_parquet(engineer_features(processed, categories=categories), paths["features"], partition_by=partition_by)
-    # Read back by name; a partition column comes back as the last column.
-    feats = spark.read.parquet(paths["features"])
+    engineered = engineer_features(processed, categories=categories)
+    write_parquet(engineered, paths["features"], partition_by=partition_by)
+    # Read back with the frame's own types and order: a partition column would come back last, its type guessed.
+    feats = spark.read.schema(engineered.schema).parquet(paths["features"])
+    feats = feats.select(*[safe_col(c) for c in engineered.columns])
 
     # The combined summaries are an intermediate: written under the shared checkpoint folder.
     summaries_path = scratch_path(spark, "survey-summaries")

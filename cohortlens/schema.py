@@ -60,11 +60,11 @@ _TYPE_NAMES = {
     "bigint": T.LongType,
     "float": T.FloatType,
     "double": T.DoubleType,
+    "decimal": T.DecimalType,
 }
 
-# Spark's own numeric types; decimals are left out on purpose (they are not
-# used by any survey column and would change result types).
-ALL_NUMERIC = ("byte", "short", "int", "bigint", "float", "double")
+# All numeric types; statistics of decimals are computed as doubles.
+ALL_NUMERIC = ("byte", "short", "int", "bigint", "float", "double", "decimal")
 # The survey code picks "numeric" columns as exactly 32-bit int or 32-bit
 # float, so 64-bit doubles and bigints are skipped.
 SURVEY_NUMERIC = ("int", "float")

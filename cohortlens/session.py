@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -54,19 +55,31 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
-def checkpoint_base(spark: SparkSession) -> str:
-    """The configured checkpoint folder itself, stable across applications.
-
-    ``getCheckpointDir()`` adds a random folder per SparkContext; state that
-    must survive a restart (a stream's progress) belongs directly under the
-    configured folder instead.
-    """
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    return checkpoint_root(spark).rsplit("/", 1)[0]
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder for an intermediate table."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers.
+
+    Nothing to do where the repository is on PYTHONPATH or is the working
+    folder; otherwise its sources go to the executors through ``addPyFile``.
+    """
+    on_path = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    app = spark.sparkContext.applicationId
+    if _ROOT in on_path or os.path.abspath(os.getcwd()) == _ROOT or app in _shipped:
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="cohortlens-src-"), "cohortlens_src.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(os.path.join(_ROOT, "cohortlens")):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, _ROOT))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)

@@ -61,20 +61,6 @@ def survey_from_lineitem(lineitem: DataFrame) -> DataFrame:
     return lineitem.selectExpr(*[f"{e} AS {ident(name)}" for name, e in exprs.items()])
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the session has cores.
-
-    A single-row-group file is read by one task however many cores there are;
-    one shuffle of its (pruned) columns lets the row-level work that follows
-    use them all.  Inputs that already have enough splits — every large input —
-    are returned unchanged, so no shuffle is added at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 _LINEITEM_COLUMNS = [
     "l_orderkey",
     "l_partkey",
@@ -86,7 +72,7 @@ _LINEITEM_COLUMNS = [
 ]
 
 
-def read_survey(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+def read_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Survey rows over ``<sf_dir>/lineitem.parquet`` (only the 7 needed columns are read)."""
     lineitem = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").select(*_LINEITEM_COLUMNS)
-    return survey_from_lineitem(spread_small_input(lineitem) if spread else lineitem)
+    return survey_from_lineitem(lineitem)
