@@ -23,31 +23,38 @@ from cohortlens.operators import (
     with_risk_reasons,
 )
 from cohortlens.operators.summaries import combined_summaries, split_summaries
-from tests.conftest import ANALYSIS_PAIR, survey_rows
 
 
 @pytest.fixture
-def feats(spark, analysis_pair):
-    return engineer_features(clean_survey(analysis_pair))
+def feats(cohort):
+    return engineer_features(clean_survey(cohort))
 
 
 def rows(df, key):
     return sorted((tuple(r) for r in df.collect()), key=key)
 
 
+HALF = math.sqrt(0.5)
+
+
 def test_distributions(feats):
     d = distribution_analysis(feats)
-    assert d["depression_by_demographics"].columns == ["age_group", "Profession", "avg_depression"]
-    assert rows(d["depression_by_demographics"], str) == [("18-21", "Student", 2.0), ("22-25", "Intern", 4.0)]
-    assert d["academic_performance"].columns == ["sleep_category", "avg_cgpa", "stddev_cgpa"]
-    assert rows(d["academic_performance"], str) == [("Low", 3.0, None), ("Normal", 3.5, None)]
+    assert rows(d["depression_by_demographics"], str) == sorted(
+        [("18-21", "Tutor", 0.5), ("22-25", "Nurse", 1.0), ("26-30", "Nurse", 1.0), ("26-30", None, 0.0), (">30", "Nurse", 1.0)],
+        key=str,
+    )
+    got = {r[0]: (r[1], r[2]) for r in d["academic_performance"].collect()}
+    assert got == {"Low": (8.5, pytest.approx(HALF)), "Normal": (5.5, pytest.approx(HALF)), "High": (7.0, None)}
 
 
 def test_aggregations(feats):
     a = aggregations(feats)
-    assert rows(a["city_degree_stats"], str) == [("CityA", "Bachelor", 2.0, 1), ("CityB", "Bachelor", 4.0, 1)]
-    assert rows(a["demographic_stress"], str) == [("18-21", "Male", 4.0), ("22-25", "Female", 10.0 / 3.0)]
-    assert rows(a["sleep_performance"], str) == [("Low", 3.0, 3.0), ("Normal", 3.5, 5.0)]
+    city = {(r[0], r[1]): (r[2], r[3]) for r in a["city_degree_stats"].collect()}
+    assert city == {("Arden", "BSc"): (pytest.approx(2 / 3), 3), ("Brook", "MSc"): (1.0, 2), ("Brook", "PhD"): (0.0, 1)}
+    stress = {(r[0], r[1]): r[2] for r in a["demographic_stress"].collect()}
+    assert stress == {("18-21", "Female"): 4.0, ("18-21", "Male"): 2.0, ("22-25", "Female"): 5.0, ("26-30", "Male"): 3.5, (">30", "Female"): 3.0}
+    sleep = {r[0]: (r[1], r[2]) for r in a["sleep_performance"].collect()}
+    assert sleep == {"Low": (8.5, 1.0), "Normal": (5.5, pytest.approx(8 / 3)), "High": (7.0, 5.0)}
 
 
 def test_combined_summaries_equal_separate(spark, feats):
@@ -59,20 +66,63 @@ def test_combined_summaries_equal_separate(spark, feats):
         assert rows(combined[name], str) == rows(df, str), name
 
 
-def test_correlation_pair_fixture(feats):
+def test_correlation_of_cohort(feats):
+    """32-bit int and float columns, against numpy on the values worked out by hand."""
+    data = {
+        "id": [11, 12, 13, 14, 15, 16],
+        "Sleep Duration": [4.5, 6.25, 9, 4, 8, 7],
+        "Depression": [0, 1, 1, 1, 0, 1],
+        "Gender_Female": [1, 0, 1, 0, 0, 1],
+        "Gender_Male": [0, 1, 0, 1, 1, 0],
+    }
     pairs = correlation_pairs(feats)
-    # 32-bit int and float columns: id, Sleep Duration, Depression, Gender_Female, Gender_Male.
-    assert pairs.count() == 10
     got = {(r[0], r[1]): r[2] for r in pairs.collect()}
-    assert all(abs(abs(v) - 1.0) < 1e-12 for v in got.values())
-    assert got[("id", "Sleep Duration")] == pytest.approx(-1.0)
-    assert got[("id", "Depression")] == pytest.approx(1.0)
-    assert got[("Sleep Duration", "Depression")] == pytest.approx(-1.0)
-    assert got[("Depression", "Gender_Male")] == pytest.approx(-1.0)
-    assert got[("Depression", "Gender_Female")] == pytest.approx(1.0)
-    top = strongest_with(pairs, "Depression", 5)
-    assert top.columns == ["column1", "column2", "correlation", "abs_corr"]
-    assert top.count() == 4
+    names = list(data)
+    assert set(got) == {(a, b) for i, a in enumerate(names) for b in names[i + 1 :]}
+    for (a, b), r in got.items():
+        assert r == pytest.approx(np.corrcoef(data[a], data[b])[0, 1], abs=1e-12)
+    top = [tuple(r) for r in strongest_with(pairs, "Depression", 3).collect()]
+    want = sorted((x for x in got.items() if "Depression" in x[0]), key=lambda x: (-round(abs(x[1]), 9), x[0]))[:3]
+    assert [(r[0], r[1]) for r in top] == [k for k, _ in want]
+
+
+@pytest.mark.parametrize("partitions", [1, 5, 64])
+@pytest.mark.parametrize("nulls", ["zero", "pairwise"])
+def test_correlation_does_not_depend_on_partitions_or_width(spark, partitions, nulls):
+    """A constant that is no binary fraction, NaN and an outlier only where the other column is missing."""
+    data = [(0.1, float(i % 7), None if i % 5 == 0 else float(i % 7 + i % 3), 1e9 if i % 5 == 0 else float(i % 11),
+             float("nan") if i % 5 == 0 else float(i % 4)) for i in range(55)]
+    df = spark.createDataFrame(data, "flat double, x double, y double, far double, odd double").repartition(partitions)
+    wide = df.select("*", *[(F.col("x") * k + F.col("far") % (k + 2)).alias(f"w{k}") for k in range(55)])
+    narrow = {(r[0], r[1]): r[2] for r in correlation_pairs(df, df.columns, nulls=nulls).collect()}
+    many = {(r[0], r[1]): r[2] for r in correlation_pairs(wide, wide.columns, nulls=nulls).collect()}
+    assert len(many) == 60 * 59 // 2
+    for key, value in narrow.items():
+        assert many[key] == pytest.approx(value, abs=1e-12, nan_ok=True) if value is not None else many[key] is None
+    assert all(v is None if nulls == "pairwise" else math.isnan(v) for k, v in narrow.items() if "flat" in k and "odd" not in k)
+    kept = [r for r in data if r[2] is not None]
+    if nulls == "pairwise":
+        assert narrow[("y", "far")] == pytest.approx(np.corrcoef([r[2] for r in kept], [r[3] for r in kept])[0, 1], abs=1e-12)
+        assert narrow[("y", "odd")] == pytest.approx(np.corrcoef([r[2] for r in kept], [r[4] for r in kept])[0, 1], abs=1e-12)
+        assert math.isnan(narrow[("x", "odd")])
+
+
+def test_correlation_masked_outlier_is_exactly_one(spark):
+    df = spark.createDataFrame([(float(i), float(i)) for i in range(100)] + [(1e9, None)], "x double, y double")
+    assert correlation_pairs(df, ["x", "y"], nulls="pairwise").first()[2] == pytest.approx(1.0, abs=1e-12)
+
+
+def test_correlation_of_empty_table(spark):
+    df = spark.createDataFrame([], "a double, b double, c double")
+    assert all(math.isnan(r[2]) for r in correlation_pairs(df, df.columns).collect())
+    assert [r[2] for r in correlation_pairs(df, df.columns, nulls="pairwise").collect()] == [None] * 3
+
+
+def test_correlation_of_many_dummies(spark):
+    df = spark.range(6000).select(*[(F.col("id") % 150 == k).cast("int").alias(f"d{k}") for k in range(150)])
+    got = correlation_pairs(df, types=("int",)).agg(F.count("*"), F.min("correlation"), F.max("correlation")).first()
+    assert got[0] == 150 * 149 // 2
+    assert got[1] == pytest.approx(-1 / 149) and got[2] == pytest.approx(-1 / 149)
 
 
 def test_correlation_against_numpy(spark):
@@ -119,26 +169,21 @@ def test_correlation_matrix(feats):
             assert got[a][b] == pytest.approx(got[b][a])
 
 
-def test_risk(spark):
-    risk_rows = [dict(r) for r in ANALYSIS_PAIR]
-    risk_rows[0]["Financial Stress"], risk_rows[1]["Financial Stress"] = 8.0, 10.0
-    feats = engineer_features(clean_survey(survey_rows(spark, risk_rows)))
+def test_risk(feats):
+    scaled = {r["id"]: r["stress_index_normalized"] for r in feats.collect()}
+    assert scaled == {11: pytest.approx(2 / 3), 12: 0.0, 13: 1.0, 14: pytest.approx(2 / 3), 15: pytest.approx(1 / 3), 16: pytest.approx(1 / 3)}
     flagged = high_risk(feats)
-    assert flagged.count() == 2
-    assert "risk_reason" in flagged.columns
-    r = {row["id"]: row for row in flagged.collect()}
-    assert r[1]["stress_index"] == pytest.approx(17 / 3) and r[2]["stress_index"] == pytest.approx(16 / 3)
-    assert (r[1]["stress_index_normalized"], r[2]["stress_index_normalized"]) == (1.0, 0.0)
+    assert sorted(r["id"] for r in flagged.collect()) == [11, 13, 14]
     reasons = {row["id"]: row["risk_reasons"] for row in with_risk_reasons(feats).collect()}
-    assert reasons == {1: ["high_stress", "financial_stress"], 2: ["financial_stress"]}
-    assert count_rows(flagged).collect()[0][0] == 2
+    assert reasons == {11: ["poor_sleep"], 13: ["high_stress"], 14: ["poor_sleep", "financial_stress"]}
+    assert count_rows(flagged).collect()[0][0] == 3
 
 
-def test_null_in_one_rule_does_not_hide_row(spark, feats):
+def test_null_in_one_rule_does_not_hide_row(feats):
     df = feats.withColumn("stress_index_normalized", F.lit(None).cast("double")).withColumn(
         "Financial Stress", F.lit(9.0)
     )
-    assert high_risk(df).count() == 2
+    assert high_risk(df).count() == 6
 
 
 def test_profile(spark):
@@ -190,28 +235,13 @@ def test_odd_column_names(spark):
     assert {r["column"] for r in quality_profile(df).collect()} == {"g.k ?", "a`b", "c.d"}
 
 
-def test_wide_correlation_uses_two_pass_path(spark):
-    """More than ONE_PASS_MAX_PAIRS pairs: centered sums, same results as numpy."""
-    from cohortlens.operators.correlate import ONE_PASS_MAX_PAIRS
-
-    rng = np.random.default_rng(11)
-    k = 11
-    assert k * (k - 1) // 2 > ONE_PASS_MAX_PAIRS
-    data = rng.normal(size=(400, k)) * rng.uniform(0.1, 1e5, size=k) + rng.uniform(-1e8, 1e8, size=k)
-    data[:, 3] = 0.1  # constant column
-    nulls = rng.random(size=data.shape) < 0.05
-    names = [f"c{i}" for i in range(k)]
-    df = spark.createDataFrame(
-        [tuple(None if nulls[r, c] else float(data[r, c]) for c in range(k)) for r in range(400)],
-        ", ".join(f"{n} double" for n in names),
-    )
-    zero = np.where(nulls, 0.0, data)
-    got = {(r[0], r[1]): r[2] for r in correlation_pairs(df, types=("double",)).collect()}
-    assert len(got) == k * (k - 1) // 2
-    for i in range(k):
-        for j in range(i + 1, k):
-            if np.ptp(zero[:, i]) == 0 or np.ptp(zero[:, j]) == 0:
-                assert math.isnan(got[(names[i], names[j])])
-            else:
-                want = np.corrcoef(zero[:, i], zero[:, j])[0, 1]
-                assert got[(names[i], names[j])] == pytest.approx(want, abs=1e-9)
+def test_infinities_are_left_out(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("inf"),), (float("-inf"),)], "x double")
+    assert [(r["bin_start"], r["count"]) for r in histogram(df, "x", bins=2).orderBy("bin").collect()] == [(1.0, 1), (1.5, 1)]
+    assert all(math.isfinite(r["density"]) for r in gaussian_kde(df, "x", grid_size=5).collect())
+
+
+def test_decimals_are_described(spark):
+    df = spark.createDataFrame([("1.5",), ("2.5",)], "s string").selectExpr("CAST(s AS DECIMAL(9,2)) AS d")
+    row = quality_profile(df).first()
+    assert (row["count"], row["mean"], row["min"], row["max"]) == (2, 2.0, 1.5, 2.5)

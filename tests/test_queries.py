@@ -3,14 +3,17 @@
 import pytest
 
 import __spark_entry__ as E
+from cohortlens.plans.catalog import QUERIES
+from cohortlens.plans.oracle import oracle_queries
 from tests.conftest import SMALL_SF
 from tools.check_oracle import compare
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 def test_every_query_has_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(oracle_queries()) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_runs(spark):
@@ -41,16 +44,14 @@ def _plan(df):
 
 
 def test_no_python_in_plans(spark):
-    for name in ["clean_ranges", "features", "high_risk", "corr_pairs", "risk_density"]:
+    for name in ["clean_ranges", "features", "high_risk", "sleep_cgpa", "risk_density"]:
         plan = _plan(E.queries()[name](spark, SMALL_SF))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
 
 
 def test_clean_filters_before_shuffle_and_prunes(spark):
     plan = _plan(E.queries()["clean_ranges"](spark, SMALL_SF))
-    # Null/age tests run in the scan stage, below the spreading exchange; only 7 columns are read.
-    assert "DataFilters: [atleastnnonnulls" in plan
-    assert plan.index("DataFilters: [atleastnnonnulls") > plan.index("Exchange RoundRobinPartitioning")
+    assert "Exchange" not in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_linenumber:int" in plan
     # The parse runs once, after the filters that do not need it.
     assert plan.count("explode(") == 1
@@ -63,7 +64,7 @@ def test_clean_pushes_age_filter_into_parquet(spark, tmp_path):
     path = str(tmp_path / "survey")
     write_parquet(read_survey(spark, SMALL_SF), path)
     plan = _plan(clean_survey(spark.read.parquet(path)))
-    assert "PushedFilters: [IsNotNull(Age), GreaterThan(Age,0.0)]" in plan
+    assert "PushedFilters: [IsNotNull(`Sleep Duration`), IsNotNull(Age), GreaterThan(Age,0.0)]" in plan, plan
 
 
 def _partial_before_exchange(plan: str) -> bool:
@@ -77,7 +78,7 @@ def _partial_before_exchange(plan: str) -> bool:
     return True
 
 
-@pytest.mark.parametrize("name", ["sleep_cgpa", "city_degree", "value_counts", "corr_pairs", "null_counts"])
+@pytest.mark.parametrize("name", ["sleep_cgpa", "city_degree", "value_counts", "null_counts"])
 def test_aggregates_combine_before_shuffle(spark, name):
     """A key holding a third of all rows costs one partial row per task, never a hot reducer input."""
     plan = _plan(E.queries()[name](spark, SMALL_SF))
@@ -103,3 +104,14 @@ def test_hot_key_summary(spark):
     out = {r["k"]: r for r in summarize(df, ["k"], {"n": ("count", "*"), "s": ("sum", "v")}).collect()}
     assert out["hot"]["n"] == 10000
     assert sum(r["n"] for r in out.values()) == 30000
+
+
+@pytest.mark.parametrize("name", ["age_profession", "sleep_cgpa", "city_degree", "stress_by_demo", "sleep_performance"])
+def test_summaries_scan_once_and_write_nothing(spark, name):
+    plan = _plan(QUERIES[name](spark, SMALL_SF))
+    assert plan.count("FileScan") == 1 and "lineitem.parquet" in plan and plan.count("Exchange") == 1
+
+
+def test_no_round_robin_exchange(spark):
+    for name in NAMES:
+        assert "RoundRobin" not in _plan(QUERIES[name](spark, SMALL_SF)), name
