@@ -1,18 +1,15 @@
-"""Helpers shared by the corpus operators: input columns, scratch tables, skew-safe lookups, worker imports."""
+"""Helpers shared by the corpus operators: input columns, scratch tables, skew-safe lookups, Python columns."""
 
 from __future__ import annotations
 
-import os
-import zipfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from tempfile import mkdtemp
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.schema import safe_col
-from cohortlens.session import scratch_path
+from cohortlens.session import scratch_path, ship_package
 
 #: Words of all contracts: maximal runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -27,9 +24,6 @@ STAGE_ROWS = 50_000
 ROWS = 1024
 BATCH_BYTES = 8 << 20
 
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-_shipped: set[str] = set()
-
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -85,27 +79,6 @@ def bounded_broadcast(df: DataFrame, n_rows: int) -> DataFrame:
     return F.broadcast(df) if n_rows <= BROADCAST_ROWS else df
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers.
-
-    Nothing to do where the repository is on PYTHONPATH or is the working
-    folder; otherwise its sources go to the executors through ``addPyFile``.
-    """
-    on_path = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
-    app = spark.sparkContext.applicationId
-    if _ROOT in on_path or os.path.abspath(os.getcwd()) == _ROOT or app in _shipped:
-        return
-    archive = os.path.join(mkdtemp(prefix="cohortlens-src-"), "cohortlens_src.zip")
-    with zipfile.ZipFile(archive, "w") as z:
-        for folder, _, names in os.walk(os.path.join(_ROOT, "cohortlens")):
-            for name in names:
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    z.write(path, os.path.relpath(path, _ROOT))
-    spark.sparkContext.addPyFile(archive)
-    _shipped.add(app)
-
-
 def add_columns(
     df: DataFrame,
     column: str,

@@ -81,7 +81,7 @@ class LanguageModel:
         totals = counts.sum(1, keepdims=True)
         likelihood = (counts + SMOOTHING) / (totals + SMOOTHING * BUCKETS)
         # Only ratios between languages matter for a trigram.
-        self.likelihood = np.ascontiguousarray((likelihood / likelihood.max(0)).T)
+        self.likelihood = np.ascontiguousarray((likelihood / likelihood.max(0, initial=np.finfo(float).tiny)).T)
 
     def _fit(self, ratio, counts, edges, shares, rounds) -> tuple[np.ndarray, np.ndarray]:
         """Shares after ``rounds`` of expectation-maximisation, and the log-likelihood before the last round."""
