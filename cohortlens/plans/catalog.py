@@ -71,8 +71,8 @@ def row_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Ranges, categories and rows each scan the columns they need; row expressions are cheaper than a copy.
-    return engineer_features(cleaned(spark, sf_dir))
+    # Ranges and rows each scan the columns they need; row expressions are cheaper than a copy.
+    return engineer_features(cleaned(spark, sf_dir), categories=C.GENDERS)
 
 
 def stress(spark: SparkSession, sf_dir: str) -> DataFrame:

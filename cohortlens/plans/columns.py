@@ -6,6 +6,8 @@ SURVEY_COLUMNS = [f.name for f in S.SURVEY_SCHEMA.fields]
 STRING_COLUMNS = [S.GENDER, S.CITY, S.PROFESSION, S.DIET, S.DEGREE, S.SUICIDAL, S.FAMILY_HISTORY]
 ROW_FEATURE_COLUMNS = ["stress_index", "sleep_category", "age_group"]
 SCALED = ["CGPA_normalized", "Depression_normalized", "stress_index_normalized"]
+# Categories of the survey's one-hot column; given, they need no discovery pass.
+GENDERS = ["Female", "Male"]
 GENDER_DUMMIES = ["Gender_Female", "Gender_Male"]
 FEATURE_COLUMNS = SURVEY_COLUMNS + ROW_FEATURE_COLUMNS + SCALED + GENDER_DUMMIES
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens.schema import SURVEY_SCHEMA, safe_col
@@ -48,18 +49,24 @@ def write_parquet(
     mode: str = "overwrite",
     compression: str = "snappy",
     max_records_per_file: int | None = None,
+    tasks_per_value: int | None = None,
 ) -> None:
     """Parquet sink; with ``partition_by`` one directory per value (null → default partition).
 
-    No shuffle is added before a partitioned write: every task writes its own
-    file per value it holds, so a value holding a third of all rows is still
-    written by many tasks in parallel.  ``max_records_per_file`` caps file size.
+    By default no shuffle is added before a partitioned write: every task writes
+    its own file per value it holds, so a value holding a third of all rows is
+    still written by many tasks in parallel.  With many tasks and values that
+    makes many small files; ``tasks_per_value`` then deals each value's rows, by
+    a hash of the row, to so many tasks.  ``max_records_per_file`` caps file size.
     """
+    cols = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    if cols and tasks_per_value:
+        salt = F.pmod(F.xxhash64(*[safe_col(c) for c in df.columns]), F.lit(tasks_per_value))
+        df = df.repartition(*[safe_col(c) for c in cols], salt)
     writer = df.write.mode(mode).option("compression", compression)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
-    if partition_by:
-        cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    if cols:
         writer = writer.partitionBy(*cols)
     writer.parquet(path)
 

@@ -107,3 +107,12 @@ def test_job_keeps_digit_like_partition_values(spark):
     assert "Degree" not in {x for r in pairs.collect() for x in r[:2]} and pairs.count() == 10
     stats = spark.read.parquet(paths["city_degree_stats"])
     assert sorted(r["Degree"] for r in stats.collect()) == ["00", "01", "02", "03", "04", "05"]
+
+
+def test_partitioned_write_with_few_files(spark):
+    tmp = tempfile.mkdtemp(prefix="cohortlens-few-")
+    df = spark.range(4000).selectExpr("id", "id % 3 AS k").repartition(16)
+    write_parquet(df, tmp + "/out", partition_by="k", tasks_per_value=2)
+    assert spark.read.parquet(tmp + "/out").count() == 4000
+    for d in (f"{tmp}/out/k={k}" for k in range(3)):
+        assert 1 <= len([f for f in os.listdir(d) if f.endswith(".parquet")]) <= 2
