@@ -42,6 +42,7 @@ RATIO_EDGES = np.array([0.0, 0.01, 0.03, 0.08, 0.15, 0.25, 0.4, 0.6, 0.8, 0.95])
 COUNT_EDGES = np.array([1, 2, 4, 6, 9, 14, 24, 48, 96, 250])
 LENGTH_EDGES = np.array([1.5, 2.5, 3.5, 4.5, 5.5, 6.5, 7.5, 9.0, 12.0, 20.0])
 FEATURES = 17
+_REPEAT = 15  # the feature that tells a line its text has had before
 #: Bins of a feature; the last one stands for a neighbour that does not exist.
 BINS = 12
 _NO_LINE = BINS - 1
@@ -65,6 +66,21 @@ def _classes() -> np.ndarray:
 
 def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bins (lines by FEATURES), lengths in characters and text index of all lines of the texts that are not blank."""
+    bins, length, text_of, line_hash = _own_features(texts)
+    bins[:, _REPEAT] = _repeats(line_hash, text_of)
+    return bins, length, text_of
+
+
+def _repeats(line_hash: np.ndarray, text_of: np.ndarray) -> np.ndarray:
+    """Lines that their text has had before."""
+    order = np.lexsort((np.arange(len(line_hash)), line_hash, text_of))
+    repeat = np.zeros(len(line_hash), bool)
+    repeat[order[1:]] = (line_hash[order[1:]] == line_hash[order[:-1]]) & (text_of[order[1:]] == text_of[order[:-1]])
+    return repeat
+
+
+def _own_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As ``line_features`` but for repeated lines; and a hash of every line."""
     codes = np.frombuffer("".join(t + "\n" for t in texts).encode("utf-32-le", "surrogatepass"), "<u4")
     kind = _classes()[codes]
     ends = np.flatnonzero(kind == _NEWLINE)
@@ -79,7 +95,7 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     inked = per_line(~blank)
     filled = inked > 0
     if not filled.any():
-        return np.empty((0, FEATURES), np.uint8), np.empty(0), np.empty(0, int)
+        return np.empty((0, FEATURES), np.uint8), np.empty(0), np.empty(0, int), np.empty(0, np.uint64)
     starts, ends, text_of, inked = starts[filled], ends[filled], text_of[filled], inked[filled]
 
     counts = [per_line(kind == k) for k in (_OTHER, _LOWER, _UPPER, _DIGIT, _MARK)]
@@ -109,12 +125,6 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     longest = np.zeros(n_lines)
     np.maximum.at(longest, line_of, length)
 
-    # A line is a repeat when the text has had it before.
-    line_hash = sums[ends] - sums[starts]
-    order = np.lexsort((starts, line_hash, text_of))
-    repeat = np.zeros(n_lines, bool)
-    repeat[order[1:]] = (line_hash[order[1:]] == line_hash[order[:-1]]) & (text_of[order[1:]] == text_of[order[:-1]])
-
     total = (ends - starts).astype(float)
     ratios = [
         upper / np.maximum(1, letters), digit / inked, other / inked, mark / inked, letters / inked, bangs / words,
@@ -123,8 +133,8 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     ]
     bins = [np.searchsorted(RATIO_EDGES, r) for r in ratios]
     bins += [np.searchsorted(COUNT_EDGES, words), np.searchsorted(LENGTH_EDGES, of_lines(weights=length) / words)]
-    bins += [np.searchsorted(COUNT_EDGES, longest), repeat.astype(int), (kind[ends - 1] == _MARK).astype(int)]
-    return np.stack(bins, 1).astype(np.uint8), total, text_of
+    bins += [np.searchsorted(COUNT_EDGES, longest), np.zeros(n_lines, int), (kind[ends - 1] == _MARK).astype(int)]
+    return np.stack(bins, 1).astype(np.uint8), total, text_of, sums[ends] - sums[starts]
 
 
 def _neighbours(bins: np.ndarray, text_of: np.ndarray) -> np.ndarray:
@@ -305,15 +315,17 @@ def _score_column(texts: pa.Array, crf: LineCrf) -> pa.Array:
 
 
 def _long_features(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features of a very long text, block by block; a line is known as a repeat within its block only."""
+    """Features of a very long text, block by block."""
     parts, start = [], 0
     while start < len(text):
         cut = text.find("\n", start + BLOCK)
         stop = len(text) if cut < 0 else cut
-        parts.append(line_features([text[start:stop]]))
+        parts.append(_own_features([text[start:stop]]))
         start = stop + 1
-    bins, length, _ = (np.concatenate(x) for x in zip(*parts))
-    return bins, length, np.zeros(len(bins), int)
+    bins, length, _, line_hash = (np.concatenate(x) for x in zip(*parts))
+    text_of = np.zeros(len(bins), int)
+    bins[:, _REPEAT] = _repeats(line_hash, text_of)
+    return bins, length, text_of
 
 
 def score(docs: DataFrame, crf: LineCrf, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:

@@ -29,13 +29,12 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm.common import add_columns, documents, lookup, pick, stage, without
 from cohortlens.llm.components import components
+from cohortlens.llm.pieces import blocks
 from cohortlens.schema import safe_col
 
 SHINGLE = 3
 RADIUS = 2
 SEED = 42
-#: Words hashed at once, so memory does not follow the longest text.
-WORDS = 1 << 17
 _BIT_SUMS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 OUTPUTS = ("fingerprint", "component_id", "first")
 
@@ -50,16 +49,17 @@ def _bits_set(hashes: np.ndarray) -> np.ndarray:
 
 def simhash(text: str | None, shingle: int = SHINGLE) -> int:
     """Fingerprint of a whole text, as a signed 64-bit integer; 0 without words."""
-    words = (text or "").encode().lower().split()  # of bytes: A-Z only, ASCII white space only
-    if not words:
-        return 0
-    if len(words) < shingle:
-        return int.from_bytes(xxhash.xxh64_digest(b" ".join(words), SEED), "big", signed=True)
-    n, ones = len(words) - shingle + 1, np.zeros(64, np.int64)
-    for start in range(0, n, WORDS):
-        part = words[start : min(n, start + WORDS) + shingle - 1]
-        grams = map(b" ".join, zip(*[part[i:] for i in range(shingle)]))
-        ones += _bits_set(np.array([xxhash.xxh64_intdigest(g, SEED) for g in grams], np.uint64))
+    n, ones, words = 0, np.zeros(64, np.int64), []
+    for block in blocks(text or ""):  # memory does not follow the longest text
+        # Of bytes: A-Z only, ASCII white space only.
+        words = words[max(0, len(words) - shingle + 1) :] + block.encode().lower().split()
+        grams = map(b" ".join, zip(*[words[i:] for i in range(shingle)]))
+        hashes = np.array([xxhash.xxh64_intdigest(g, SEED) for g in grams], np.uint64)
+        if len(hashes):
+            n += len(hashes)
+            ones += _bits_set(hashes)
+    if not n:  # fewer words than a shingle has: their whole sequence
+        return int.from_bytes(xxhash.xxh64_digest(b" ".join(words), SEED), "big", signed=True) if words else 0
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big", signed=True)
 
 

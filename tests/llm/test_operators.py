@@ -169,6 +169,14 @@ def test_quality_held_out(spark):
     assert np.mean([r.predicted for r in held if labels[r.doc_id]]) >= 0.97
 
 
+def test_long_texts_have_the_same_features(monkeypatch):
+    text = "\n".join(f"line {i % 7} is here!!\n\n  " + "word " * (i % 5) for i in range(300))
+    whole = line_crf.line_features([text])
+    monkeypatch.setattr(line_crf, "BLOCK", 100)
+    for a, b in zip(whole, line_crf._long_features(text)):
+        assert np.array_equal(a, b)
+
+
 def test_quality_odd(spark, odd_docs, no_docs):
     crf = line_crf.fit(odd_docs.withColumn("quality", (F.col("doc_id") % 2).cast("int")))
     rows = line_crf.score(clash(odd_docs, "score"), crf).collect()
@@ -338,6 +346,16 @@ def test_simhash_against_brute_force(spark):
     assert got == {d: (f"{p:016x}", groups[d]) for d, p in prints.items()}
 
 
+def test_simhash_by_blocks(monkeypatch):
+    from cohortlens.llm import pieces
+
+    long = " ".join(f"W{i * i % 91}\tx" for i in range(200))
+    want = [simhash.simhash(t) for t in (long, "a", "a b", " a  b c ", "", None)]
+    monkeypatch.setattr(pieces, "BLOCK", 1)
+    assert [simhash.simhash(t) for t in (long, "a", "a b", " a  b c ", "", None)] == want
+    assert want[0] % (1 << 64) == fingerprint(long) and want[4:] == [0, 0]
+
+
 @pytest.mark.parametrize("radius", [0, 1, 2, 3, 4])
 def test_covering_links(spark, radius):
     rng = np.random.default_rng(radius)
