@@ -9,15 +9,19 @@ Consecutive windows with the same minimizing gram form a segment; equal windows
 are never in one segment.
 
 1. Every document's segments are listed as (minimizer, place), without text.
-   Minimizers met once cannot belong to a repeated window and are dropped.
+   Minimizers met once cannot belong to a repeated window and are dropped.  The
+   most frequent minimizers are found first, by partial counts, and their rows
+   dealt out by place, so none of them is counted in one task.
 2. The texts of the other segments go to their shards.  Equal segments met in
    one task are sent once, as the earliest of them: the later ones are already
-   known to be repeats.  A minimizer with over HOT segments (a very common line)
-   is dealt out by whole windows instead, so no shard grows with it.
+   known to be repeats and are dealt out by place.  A minimizer with over HOT
+   segments (a very common line) is dealt out by whole windows instead, so no
+   shard grows with it.
 3. Each shard indexes its distinct segments in document order and streams them
    through the index: backward search gives the matching statistics, and every
    interval of WINDOW words gives the first place where they occur.  Windows of
-   a segment placed after that are repeats.
+   a segment placed after that are repeats.  A task works through its shards one
+   by one, so shards stay small while tasks do not become too many.
 4. Repeats are gathered by document and its words taken out.
 
 Documents are shuffled by id once; steps 2 and 4 read the same exchange.
@@ -44,8 +48,12 @@ GRAM = 8
 LONGEST_RUN = 15
 #: Segments of one minimizer above which its windows are dealt out one by one.
 HOT = 4_096
+#: Minimizers whose rows are dealt out by place: the most frequent above HOT; any other holds under 1 / HOT_KEYS of all rows.
+HOT_KEYS = 256
 #: Words of a shard, about.
 SHARD_WORDS = 400_000
+#: Shards a task works through, at most, once there are more than shuffle partitions.
+TASK_SHARDS = 32
 #: Distinct segments held while a task looks for equal ones.
 HELD = 50_000
 _CHUNK_WORDS = 200_000
@@ -124,7 +132,8 @@ def _route_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """(id, text hash, text, [(place, minimizer, hot)]) → (route, id, place, words).
 
     Of equal segments the task has met, only the earliest keeps its words; a
-    row without words is a segment whose windows are all repeats.
+    row without words is a segment whose windows are all repeats, and as no shard
+    needs it, its route is one of its own.
     """
     held: dict[bytes, tuple[int, int, int]] = {}
     out: list[tuple] = []
@@ -134,10 +143,10 @@ def _route_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         if before is None:
             held[seg] = (ord_, pk, route)
         elif before[:2] < (ord_, pk):
-            out.append((route, ord_, pk, None))
+            out.append((ord_ ^ pk, ord_, pk, None))
         else:
             if before[:2] != (ord_, pk):
-                out.append((route, before[0], before[1], None))
+                out.append((before[0] ^ before[1], *before[:2], None))
             held[seg] = (ord_, pk, route)
 
     def flush() -> pa.RecordBatch:
@@ -217,21 +226,35 @@ def _repeats(ord_: np.ndarray, pk: np.ndarray, mask: np.ndarray) -> pa.RecordBat
     return pa.RecordBatch.from_arrays(columns, schema=_REPEATS)
 
 
-def _search_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One partition is one shard: index its segments, stream them, report repeated windows."""
-    ids, places, segs = [], [], []
+def _search_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shards one after the other (rows: shard, id, packed place, words): index the segments, stream them, report repeats."""
+    ids, places, segs, shard = [], [], [], None
+
+    def search() -> pa.RecordBatch:
+        ord_, pk = np.concatenate(ids), np.concatenate(places)
+        return _repeats(ord_, pk, shard_repeats(ord_, pk, segs))
+
     for batch in batches:
-        ord_, pk = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-        with_words = np.array(batch.column(3).is_valid())
-        known = ~with_words
-        if known.any():
-            yield _repeats(ord_[known], pk[known], (1 << (pk[known] & 15)) - 1)
-        ids.append(ord_[with_words])
-        places.append(pk[with_words])
-        segs += batch.column(3).drop_null().to_pylist()
+        of = batch.column(0).to_numpy()
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(of)) + 1, [len(of)]])
+        for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            if start == stop:
+                continue
+            if of[start] != shard and segs:
+                yield search()
+                ids, places, segs = [], [], []
+            shard = of[start]
+            part = batch.slice(start, stop - start)
+            ord_, pk = part.column(1).to_numpy(), part.column(2).to_numpy()
+            with_words = np.array(part.column(3).is_valid())
+            known = ~with_words
+            if known.any():
+                yield _repeats(ord_[known], pk[known], (1 << (pk[known] & 15)) - 1)
+            ids.append(ord_[with_words])
+            places.append(pk[with_words])
+            segs += part.column(3).drop_null().to_pylist()
     if segs:
-        ord_, pk = np.concatenate(ids), np.concatenate(places)
-        yield _repeats(ord_, pk, shard_repeats(ord_, pk, segs))
+        yield search()
 
 
 _CUT = "struct<n_words:bigint,n_removed:bigint,kept:string,starts:array<int>,ends:array<int>>"
@@ -284,9 +307,15 @@ def substring_dedup(
     )
 
     listed = rows.select("ord", "th", "text").mapInArrow(_list_segments, "min bigint, ord bigint, pk bigint")
-    met = F.count(F.lit(1)).over(Window.partitionBy("min"))
+    frequent = listed.groupBy("min").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT)
+    hottest = [r.min for r in frequent.orderBy(F.desc("n"), "min").limit(HOT_KEYS).collect()]  # at most HOT_KEYS numbers
+    known_hot = F.col("min").isin(hottest) if hottest else F.lit(False)
+    dealt = listed.withColumn("known", known_hot).withColumn("by", F.when(F.col("known"), F.xxhash64("ord", "pk")).otherwise(0))
+    met = F.count(F.lit(1)).over(Window.partitionBy("min", "by"))
     shared = stage(
-        listed.withColumn("n", met).filter("n > 1").select("ord", "pk", "min", (F.col("n") > HOT).alias("hot")),
+        dealt.withColumn("n", F.when(F.col("known"), HOT + 1).otherwise(met))
+        .filter("n > 1")
+        .select("ord", "pk", "min", (F.col("n") > HOT).alias("hot")),
         "substring-candidates",
     )
     size = F.when(F.col("hot"), F.col("pk").bitwiseAND(F.lit(15)) * WINDOW).otherwise(
@@ -303,9 +332,12 @@ def substring_dedup(
         .select("ord", "th", "text", "places", *names)  # the same columns as below: one exchange serves both
         .mapInArrow(_route_segments, "route bigint, ord bigint, pk bigint, seg binary")
     )
+    tasks = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + (shards - 1) // TASK_SHARDS))
     repeats = (
-        routed.repartition(shards, "route")
-        .mapInArrow(_search_shard, "ord bigint, th bigint, at bigint, mask int")
+        routed.select(F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard"), "ord", "pk", "seg")
+        .repartition(tasks, "shard")
+        .sortWithinPartitions("shard")
+        .mapInArrow(_search_shards, "ord bigint, th bigint, at bigint, mask int")
         .groupBy("ord", "th")
         .agg(F.collect_list(F.struct("at", "mask")).alias("repeats"))  # of one document
     )
