@@ -31,7 +31,10 @@ def texts(spark):
 # --- 1 mixing ---------------------------------------------------------------
 
 
-def test_water_filling_and_nearness(spark):
+@pytest.mark.parametrize("buckets, levels", [(1024, 2), (2, 3), (16, 1)])
+def test_water_filling_and_nearness(spark, monkeypatch, buckets, levels):
+    monkeypatch.setattr(mixing, "BUCKETS", buckets)
+    monkeypatch.setattr(mixing, "LEVELS", levels)
     rows = [(i, " ".join(["w"] * (1 + i % 50)), s) for s, n in (("big", 900), ("mid", 60), ("tiny", 3)) for i in range(n)]
     docs = spark.createDataFrame([(k, t, s) for k, (_, t, s) in enumerate(rows)], "doc_id long, text string, source string")
     weights = spark.createDataFrame([("big", 1.0), ("mid", 5.0), ("tiny", 50.0)], "source string, weight double")
@@ -107,9 +110,11 @@ def removed_words(docs):
     return out
 
 
-@pytest.mark.parametrize("hot", [3, 4096])
-def test_substrings_against_brute_force(spark, monkeypatch, hot):
+@pytest.mark.parametrize("hot, keys, words", [(3, 256, 400_000), (3, 2, 2_000), (4096, 256, 400_000)])
+def test_substrings_against_brute_force(spark, monkeypatch, hot, keys, words):
     monkeypatch.setattr(substring, "HOT", hot)
+    monkeypatch.setattr(substring, "HOT_KEYS", keys)
+    monkeypatch.setattr(substring, "SHARD_WORDS", words)  # few words: many shards a task
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in substring.substring_dedup(small(spark)).collect()}
     assert got == removed_words(sorted(texts(spark).items()))
 
