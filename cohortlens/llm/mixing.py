@@ -9,9 +9,9 @@ the fraction left over is sampled: documents are put in a seeded pseudo-random
 order within their source and taken once more up to a cut.  The cut is the one
 whose words come nearest to the fraction, so a source misses its target by at
 most half of one document, whatever the sizes.  The cut is found from words per
-(source, order bucket) and then inside one bucket a source, so no source is
-ever sorted as a whole; the decision about a row is local and rows are not
-shuffled.
+(source, order bucket), then per bucket of the one bucket a source that holds it,
+and then inside one of those, so no source is ever sorted as a whole; the
+decision about a row is local and rows are not shuffled.
 """
 
 from __future__ import annotations
@@ -24,8 +24,9 @@ from cohortlens.schema import safe_col
 
 MAX_EPOCHS = 3.0
 SEED = 17
-#: Buckets of the sampling order; one bucket a source is looked at row by row.
+#: Buckets of the sampling order, and of one of its buckets, and so on for LEVELS; the last one is looked at row by row.
 BUCKETS = 1024
+LEVELS = 2
 _DRAW_DIGITS = 15  # hex digits of the draw: 60 bits
 OUTPUTS = ("size", "source_size", "target", "copies", "taken")
 
@@ -98,25 +99,35 @@ def sampling_cuts(sizes: DataFrame, targets: DataFrame, n_sources: int) -> DataF
         F.floor(rate).alias("whole"),
         (F.col("target") - F.floor(rate) * F.col("source_size")).alias("extra"),
     )
-    width = (1 << (4 * _DRAW_DIGITS)) // BUCKETS
-    rows = sizes.withColumn("bucket", F.floor(F.col("draw") / F.lit(width)).cast("int"))
-    per_bucket = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    edge = (
-        per_bucket.withColumn("before", F.sum("words").over(upto) - F.col("words"))
-        .join(bounded_broadcast(want.withColumnRenamed("source", "s"), n_sources), same(F.col("source"), F.col("s")))
-        .filter("before <= extra and extra < before + words")
-        .select(F.col("s"), F.col("bucket").alias("b"), "before", "extra")
+    width = 1 << (4 * _DRAW_DIGITS)
+    # The stretch of the order that holds a source's cut: its first draw, and the words before it.
+    edge = want.select(
+        F.col("source").alias("s"), F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("before"), "extra"
     )
-    inside = rows.join(
-        bounded_broadcast(edge, n_sources), same(F.col("source"), F.col("s")) & (F.col("bucket") == F.col("b"))
-    ).groupBy("source", "draw", "before", "extra").agg(F.sum("size").alias("words"))
+    upto = Window.partitionBy("source").orderBy("low").rowsBetween(Window.unboundedPreceding, 0)
+
+    def within(width: int) -> DataFrame:
+        held = same(F.col("source"), F.col("s")) & (F.col("draw") >= F.col("low")) & (F.col("draw") < F.col("low") + width)
+        return sizes.join(bounded_broadcast(edge, n_sources), held)
+
+    for _ in range(LEVELS):
+        rows, width = within(width), width // BUCKETS
+        low = F.col("draw") - F.pmod("draw", F.lit(width))
+        edge = stage(
+            rows.groupBy("source", low.alias("low"), "before", "extra")
+            .agg(F.sum("size").alias("words"))
+            .withColumn("before", F.col("before") + F.sum("words").over(upto) - F.col("words"))
+            .filter("before <= extra and extra < before + words")
+            .select(F.col("source").alias("s"), "low", "before", "extra"),
+            "mix-edges",
+        )
+    inside = within(width).groupBy("source", "draw", "before", "extra").agg(F.sum("size").alias("words"))
     along = Window.partitionBy("source").orderBy("draw").rowsBetween(Window.unboundedPreceding, 0)
     # Prefixes of the order: all before the bucket (cut just below it), or up to one of its rows.
     steps = inside.withColumn("taken", F.col("before") + F.sum("words").over(along))
     start = edge.select(
         F.col("s").alias("source"),
-        (F.col("b").cast("long") * F.lit(width) - 1).alias("draw"),
+        (F.col("low") - 1).alias("draw"),
         F.col("before").alias("taken"),
         "extra",
     )
