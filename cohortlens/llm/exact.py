@@ -8,8 +8,8 @@ grouped by the SHA-256 of their text, so false positives cost a shuffled row and
 never change the result.
 
 The filter has 16 bits a row, rounded up to a power of two, and at most MAX_BITS
-(64 MB), whatever the input: that is the size broadcast.  A larger input fills it
-and sends more rows to the shuffle; the result stays exact.
+(64 MB) unless ``max_bits`` says otherwise: that is the size broadcast.  A larger
+input fills it and sends more rows to the shuffle; the result stays exact.
 """
 
 from __future__ import annotations
@@ -31,9 +31,9 @@ _SECTION = 1 << 20  # bits of a filter section; sections are merged independentl
 OUTPUTS = ("keep_id", "group_size", "kept", "text_sha256")
 
 
-def filter_bits(n_rows: int) -> int:
-    """Size of the filter: BITS_PER_ROW for each row, a power of two of at least one section, at most MAX_BITS."""
-    return min(MAX_BITS, max(_SECTION, 1 << (max(1, n_rows * BITS_PER_ROW) - 1).bit_length()))
+def filter_bits(n_rows: int, max_bits: int | None = None) -> int:
+    """Size of the filter: BITS_PER_ROW for each row, a power of two of at least one section, at most ``max_bits`` (default MAX_BITS)."""
+    return max(_SECTION, min(max_bits or MAX_BITS, 1 << (max(1, n_rows * BITS_PER_ROW) - 1).bit_length()))
 
 
 def bit_positions(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -102,12 +102,18 @@ def repeat_filter(hashes: DataFrame, bits: int) -> bytes:
 
 
 def exact_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: list[str] | None = None,
+    max_bits: int | None = None,
 ) -> DataFrame:
     """Every row of ``docs`` with keep_id, group_size, kept and text_sha256; of equal texts the largest id stays.
 
     ``carry`` names the columns to return (default: all); the four outputs
-    replace input columns of the same names.  A null text counts as empty, and
+    replace input columns of the same names.  ``max_bits`` (a power of two,
+    default MAX_BITS) bounds the filter: raise it, as far as executors have
+    memory for it, beyond MAX_BITS / BITS_PER_ROW rows.  A null text counts as empty, and
     all empty texts are one group.  A null id ranks below every other, and of
     rows with equal id and text exactly one is kept.  Very long texts are
     hashed in the JVM and never leave it.  An empty table gives an empty result.
@@ -124,7 +130,7 @@ def exact_dedup(
         F.xxhash64(text).alias("hash"),
     )
 
-    bits = filter_bits(docs.count())
+    bits = filter_bits(docs.count(), max_bits)
     packed = spark.sparkContext.broadcast(repeat_filter(rows.select("hash"), bits))
 
     @F.pandas_udf("boolean")
