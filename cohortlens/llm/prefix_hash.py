@@ -6,9 +6,12 @@ whatever its place, so spans are compared in constant time and the longest
 common extension of two places is found by binary search.
 
 A fingerprint is the hash of the whole text followed by the SKETCH smallest of
-the (scrambled) hashes of all its spans of SPAN code points, which the prefix
-array gives in one pass.  The share of common values among the smallest of two
-fingerprints estimates how many of their texts' spans are common.
+the (scrambled) hashes of all its spans, which the prefix array gives in one
+pass.  The spans of a text are its stretches of SPAN code points and the shorter
+ones at its two ends (a window of SPAN places moved over the text from its first
+to its last code point), so texts of any length share spans where they agree.
+The share of common values among the smallest of two fingerprints estimates how
+many of their texts' spans are common; it is exact for up to SKETCH spans in all.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from cohortlens.schema import safe_col
 
 PRIME = (1 << 31) - 1
 BASES = (1_000_003, 7_368_787)
-SPAN = 32
+SPAN = 8
 SKETCH = 32
 #: Code points hashed at once: bounds the tables of powers and the memory of a very long text.
 BLOCK = 1 << 18
@@ -70,6 +73,17 @@ class PrefixHashes:
         )
         return high << np.uint64(31) | low
 
+    def windows(self, count: int, first: bool) -> np.ndarray:
+        """Hashes of the spans from the first ``count`` places, cut at the end; before a text's ``first`` place too."""
+        whole = max(0, min(count, self.n - SPAN + 1))
+        tail = np.arange(whole, count)
+        head = np.arange(1, min(SPAN, self.n) if first else 1)
+        return np.concatenate([
+            self.spans(np.zeros_like(head), head),
+            self.spans(slice(0, whole), slice(SPAN, SPAN + whole)),
+            self.spans(tail, np.minimum(tail + SPAN, self.n)),
+        ])
+
     def equal(self, start: int, other: PrefixHashes, other_start: int, length: int) -> bool:
         return bool(
             self.spans(start, start + length) == other.spans(other_start, other_start + length)
@@ -112,11 +126,8 @@ class Fingerprint:
             inside = min(BLOCK, self.n - start)
             for i, base in enumerate(BASES):
                 whole[i] = (whole[i] + int(hashes.prefix[i][inside]) * pow(base, start, PRIME)) % PRIME
-            length = min(SPAN, self.n)
-            count = min(BLOCK, hashes.n - length + 1)
-            if self.n and count > 0:
-                spans = hashes.spans(slice(0, count), slice(length, length + count))
-                scrambled = spans * np.uint64(0x9E3779B97F4A7C15)
+            if self.n:
+                scrambled = hashes.windows(inside, start == 0) * np.uint64(0x9E3779B97F4A7C15)
                 scrambled ^= scrambled >> np.uint64(29)
                 scrambled *= np.uint64(0xBF58476D1CE4E5B9)
                 sketch = _smallest(np.concatenate([sketch, _smallest(scrambled >> np.uint64(32))]))

@@ -254,6 +254,40 @@ def test_next_documents(spark):
         assert r.near_edited == prefix_hash.likeness(r.fingerprint, r.edited_fingerprint)
 
 
+def true_spans(text):
+    size = prefix_hash.SPAN
+    return {text[max(0, i) : i + size] for i in range(1 - size, len(text))} - {""}
+
+
+def test_likeness_of_edited_texts_against_true_spans(spark):
+    rng = np.random.default_rng(6)
+    letters = list("abcdefghijklmnopqrstuvwxyz é中")
+    docs = [(i, "".join(rng.choice(letters, size=n))) for i, n in enumerate([*range(2, 70), *range(100, 3000, 100)])]
+    got = prefix_hash.with_next(spark.createDataFrame(docs, "doc_id long, text string"))
+    off = []
+    for r in got.collect():
+        text, following = docs[r.doc_id][1], docs[r.doc_id - 1][1]
+        half = len(text) // 2
+        a, b = true_spans(text), true_spans(text[: len(text) - half] + following[:half])
+        want = len(a & b) / len(a | b)
+        if len(a | b) <= prefix_hash.SKETCH:
+            assert r.near_edited == pytest.approx(want)
+        assert r.near_edited > 0
+        off.append(r.near_edited - want)
+    assert max(map(abs, off)) < 0.35 and abs(np.mean(off)) < 0.05
+
+
+@pytest.mark.parametrize("size", range(0, 40))
+def test_spans_of_a_fingerprint(monkeypatch, size):
+    """The sketch of a text cut into blocks anywhere holds every span there is."""
+    text = "".join(chr(97 + i * i % 23) for i in range(size))
+    monkeypatch.setattr(prefix_hash, "SKETCH", 1000)
+    want = prefix_hash.Fingerprint(text).sketch
+    assert len(want) == len(true_spans(text))
+    monkeypatch.setattr(prefix_hash, "BLOCK", 13)
+    assert prefix_hash.Fingerprint(text).sketch == want
+
+
 def test_prefix_odd(odd_docs, no_docs):
     rows = prefix_hash.with_next(odd_docs).collect()
     assert len(rows) == 13 and len({r.fingerprint for r in rows if r.doc_id in (1, 2)}) == 1
