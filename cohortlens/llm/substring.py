@@ -8,8 +8,9 @@ minimizer, the smallest hash of its GRAM-word grams, which equal windows share.
 Consecutive windows with the same minimizing gram form a segment; equal windows
 are never in one segment.
 
-1. Every document's segments are listed as (minimizer, place), without text.
-   Minimizers met once cannot belong to a repeated window and are dropped.  The
+1. Every document's segments are listed as (minimizer, place), without text; a
+   document is known by its id and a 64-bit hash of its text, and rows equal in
+   both are listed as one.  Minimizers met once cannot belong to a repeated window and are dropped.  The
    most frequent minimizers are found first, by partial counts, and their rows
    dealt out by place, so none of them is counted in one task.
 2. The texts of the other segments go to their shards.  Equal segments met in
@@ -38,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import add_columns, documents, pick, ship_package, stage, without
+from cohortlens.llm.common import add_columns, documents, pick, same, ship_package, stage, without
 from cohortlens.llm.fmindex import FmIndex, matching_statistics
 from cohortlens.schema import safe_col
 
@@ -54,7 +55,7 @@ HOT_KEYS = 256
 SHARD_WORDS = 400_000
 #: Shards a task works through, at most, once there are more than shuffle partitions.
 TASK_SHARDS = 32
-#: Distinct segments held while a task looks for equal ones.
+#: Distinct segments, or documents, held while a task looks for equal ones.
 HELD = 50_000
 _CHUNK_WORDS = 200_000
 _LAST_ID = (1 << 63) - 1
@@ -96,8 +97,23 @@ def _words(text: bytes | None) -> list[bytes]:
     return text.split() if text else []  # of bytes: ASCII white space only
 
 
+class _Met(set):
+    """Keys met lately, at most HELD of them."""
+
+    def again(self, key: tuple[int, int]) -> bool:
+        if key in self:
+            return True
+        if len(self) >= HELD:
+            self.clear()
+        self.add(key)
+        return False
+
+
 def _list_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text hash, text) → (minimizer, id, packed text hash, first word and number of windows)."""
+    """(id, text hash, text) → (minimizer, id, text hash, packed first word and number of windows).
+
+    A document that the task has met lately is left out.
+    """
 
     def emit(rows: list[tuple[int, int, list[bytes]]]) -> pa.RecordBatch:
         sizes = np.array([len(w) for _, _, w in rows])
@@ -106,15 +122,16 @@ def _list_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         row = np.searchsorted(first, begins, side="right") - 1
         ids = np.array([r[0] for r in rows], np.int64)[row]
         hashes = np.array([r[1] for r in rows], np.int64)[row]
-        packed = hashes << 36 | (begins - first[row]) << 4 | counts
-        return pa.RecordBatch.from_arrays([pa.array(minimizers), pa.array(ids), pa.array(packed)], ["min", "ord", "pk"])
+        packed = (begins - first[row]) << 4 | counts
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (minimizers, ids, hashes, packed)], ["min", "ord", "th", "pk"])
 
     held: list[tuple[int, int, list[bytes]]] = []
+    met = _Met()
     size = 0
     for batch in batches:
         for ord_, th, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
             words = _words(text.as_py())
-            if len(words) < WINDOW:
+            if len(words) < WINDOW or met.again((ord_, th)):
                 continue
             held.append((ord_, th, words))
             size += len(words)
@@ -125,32 +142,34 @@ def _list_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield emit(held)
 
 
-_ROUTED = pa.schema([("route", pa.int64()), ("ord", pa.int64()), ("pk", pa.int64()), ("seg", pa.binary())])
+_ROUTED = pa.schema([("route", pa.int64()), ("ord", pa.int64()), ("th", pa.int64()), ("pk", pa.int64()), ("seg", pa.binary())])
 
 
 def _route_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text hash, text, [(place, minimizer, hot)]) → (route, id, place, words).
+    """(id, text hash, text, [(place, minimizer, hot)]) → (route, id, text hash, place, words).
 
     Of equal segments the task has met, only the earliest keeps its words; a
     row without words is a segment whose windows are all repeats, and as no shard
-    needs it, its route is one of its own.
+    needs it, its route is one of its own.  Of rows equal in id and text hash one
+    is routed, unless the task met the others long before.
     """
-    held: dict[bytes, tuple[int, int, int]] = {}
+    held: dict[bytes, tuple[int, int, int, int]] = {}
     out: list[tuple] = []
+    met = _Met()
 
-    def add(route: int, ord_: int, pk: int, seg: bytes) -> None:
+    def add(route: int, ord_: int, th: int, pk: int, seg: bytes) -> None:
         before = held.get(seg)
         if before is None:
-            held[seg] = (ord_, pk, route)
-        elif before[:2] < (ord_, pk):
-            out.append((ord_ ^ pk, ord_, pk, None))
+            held[seg] = (ord_, th, pk, route)
+        elif before[:3] < (ord_, th, pk):
+            out.append((ord_ ^ th ^ pk, ord_, th, pk, None))
         else:
-            if before[:2] != (ord_, pk):
-                out.append((before[0] ^ before[1], *before[:2], None))
-            held[seg] = (ord_, pk, route)
+            if before[:3] != (ord_, th, pk):
+                out.append((before[0] ^ before[1] ^ before[2], *before[:3], None))
+            held[seg] = (ord_, th, pk, route)
 
     def flush() -> pa.RecordBatch:
-        out.extend((route, ord_, pk, seg) for seg, (ord_, pk, route) in held.items())
+        out.extend((route, ord_, th, pk, seg) for seg, (ord_, th, pk, route) in held.items())
         held.clear()
         batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _ROUTED)], schema=_ROUTED)
         out.clear()
@@ -158,26 +177,34 @@ def _route_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
     for batch in batches:
         for ord_, th, text, places in zip(*batch.columns[:4]):
-            ord_, high, words = ord_.as_py(), th.as_py() << 36, _words(text.as_py())
+            ord_, th = ord_.as_py(), th.as_py()
+            if met.again((ord_, th)):
+                continue
+            words = _words(text.as_py())
             flat = places.values
             for pk, minimizer, hot in zip(*[flat.field(i).to_pylist() for i in range(3)]):
-                start, count = (pk >> 4) & 0xFFFFFFFF, pk & 15
+                start, count = pk >> 4, pk & 15
                 if not hot:
-                    add(minimizer, ord_, pk, b" ".join(words[start : start + count + WINDOW - 1]))
+                    add(minimizer, ord_, th, pk, b" ".join(words[start : start + count + WINDOW - 1]))
                     continue
                 for at in range(start, start + count):
                     seg = b" ".join(words[at : at + WINDOW])
-                    add(xxhash.xxh64_intdigest(seg) - (1 << 63), ord_, high | at << 4 | 1, seg)
+                    add(xxhash.xxh64_intdigest(seg) - (1 << 63), ord_, th, at << 4 | 1, seg)
             if len(held) >= HELD or len(out) >= HELD:
                 yield flush()
     if held or out:
         yield flush()
 
 
-def shard_repeats(ord_: np.ndarray, pk: np.ndarray, segs: list[bytes]) -> np.ndarray:
-    """Bit mask of the repeated windows of every segment of a shard (rows: id, packed place, words)."""
-    place = pk >> 4  # text hash and first word; the order within an id
-    order = np.lexsort((place, ord_))
+def shard_repeats(ord_: np.ndarray, th: np.ndarray, pk: np.ndarray, segs: list[bytes]) -> np.ndarray:
+    """Bit mask of the repeated windows of every segment of a shard (rows: id, text hash, packed place, words)."""
+    place = pk >> 4  # first word
+    order = np.lexsort((place, th, ord_))
+    # Rank of the document of each row, by id and text hash.
+    new = np.ones(len(order), bool)
+    new[1:] = (ord_[order[1:]] != ord_[order[:-1]]) | (th[order[1:]] != th[order[:-1]])
+    doc = np.empty(len(order), np.int64)
+    doc[order] = np.cumsum(new)
     number: dict[bytes, int] = {}
     owner = np.empty(len(segs), np.int64)
     firsts: list[int] = []  # row of the earliest occurrence of each distinct segment, in document order
@@ -209,8 +236,8 @@ def shard_repeats(ord_: np.ndarray, pk: np.ndarray, segs: list[bytes]) -> np.nda
     source = np.searchsorted(begin, earliest[here], side="right") - 1
     source_row = first_row[source]
     source_place = place[source_row] + earliest[here] - begin[source]
-    earlier = (ord_[source_row] < ord_[row_of]) | (
-        (ord_[source_row] == ord_[row_of]) & (source_place < place[row_of] + offset)
+    earlier = (doc[source_row] < doc[row_of]) | (
+        (doc[source_row] == doc[row_of]) & (source_place < place[row_of] + offset)
     )
     repeated = earlier & (length[here] >= WINDOW)
     return np.bincount(row_of, (repeated.astype(np.int64) << offset).astype(float), len(segs)).astype(np.int64)
@@ -219,20 +246,19 @@ def shard_repeats(ord_: np.ndarray, pk: np.ndarray, segs: list[bytes]) -> np.nda
 _REPEATS = pa.schema([("ord", pa.int64()), ("th", pa.int64()), ("at", pa.int64()), ("mask", pa.int32())])
 
 
-def _repeats(ord_: np.ndarray, pk: np.ndarray, mask: np.ndarray) -> pa.RecordBatch:
+def _repeats(ord_: np.ndarray, th: np.ndarray, pk: np.ndarray, mask: np.ndarray) -> pa.RecordBatch:
     some = mask > 0
-    ord_, pk, mask = ord_[some], pk[some], mask[some]
-    columns = [pa.array(ord_), pa.array(pk >> 36), pa.array((pk >> 4) & 0xFFFFFFFF), pa.array(mask.astype(np.int32))]
-    return pa.RecordBatch.from_arrays(columns, schema=_REPEATS)
+    columns = [ord_[some], th[some], pk[some] >> 4, mask[some].astype(np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_REPEATS)
 
 
 def _search_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shards one after the other (rows: shard, id, packed place, words): index the segments, stream them, report repeats."""
-    ids, places, segs, shard = [], [], [], None
+    """Shards one after the other (rows: shard, id, text hash, packed place, words): index the segments, stream them, report repeats."""
+    ids, hashes, places, segs, shard = [], [], [], [], None
 
     def search() -> pa.RecordBatch:
-        ord_, pk = np.concatenate(ids), np.concatenate(places)
-        return _repeats(ord_, pk, shard_repeats(ord_, pk, segs))
+        ord_, th, pk = np.concatenate(ids), np.concatenate(hashes), np.concatenate(places)
+        return _repeats(ord_, th, pk, shard_repeats(ord_, th, pk, segs))
 
     for batch in batches:
         of = batch.column(0).to_numpy()
@@ -242,17 +268,18 @@ def _search_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 continue
             if of[start] != shard and segs:
                 yield search()
-                ids, places, segs = [], [], []
+                ids, hashes, places, segs = [], [], [], []
             shard = of[start]
             part = batch.slice(start, stop - start)
-            ord_, pk = part.column(1).to_numpy(), part.column(2).to_numpy()
-            with_words = np.array(part.column(3).is_valid())
+            ord_, th, pk = (part.column(i).to_numpy() for i in (1, 2, 3))
+            with_words = np.array(part.column(4).is_valid())
             known = ~with_words
             if known.any():
-                yield _repeats(ord_[known], pk[known], (1 << (pk[known] & 15)) - 1)
+                yield _repeats(ord_[known], th[known], pk[known], (1 << (pk[known] & 15)) - 1)
             ids.append(ord_[with_words])
+            hashes.append(th[with_words])
             places.append(pk[with_words])
-            segs += part.column(3).drop_null().to_pylist()
+            segs += part.column(4).drop_null().to_pylist()
     if segs:
         yield search()
 
@@ -301,21 +328,25 @@ def substring_dedup(
     text = safe_col(text_col).cast("string")
     rows = docs.select(
         F.coalesce(safe_col(id_col).cast("long"), F.lit(_LAST_ID)).alias("ord"),
-        F.xxhash64(text).bitwiseAND(F.lit((1 << 27) - 1)).alias("th"),
+        F.xxhash64(text).alias("th"),
         text.cast("binary").alias("text"),
         *[safe_col(c).alias(n) for c, n in zip(kept, names)],
     )
 
-    listed = rows.select("ord", "th", "text").mapInArrow(_list_segments, "min bigint, ord bigint, pk bigint")
+    listed = rows.select("ord", "th", "text").mapInArrow(_list_segments, "min bigint, ord bigint, th bigint, pk bigint")
     frequent = listed.groupBy("min").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT)
     hottest = [r.min for r in frequent.orderBy(F.desc("n"), "min").limit(HOT_KEYS).collect()]  # at most HOT_KEYS numbers
     known_hot = F.col("min").isin(hottest) if hottest else F.lit(False)
-    dealt = listed.withColumn("known", known_hot).withColumn("by", F.when(F.col("known"), F.xxhash64("ord", "pk")).otherwise(0))
-    met = F.count(F.lit(1)).over(Window.partitionBy("min", "by"))
+    dealt = listed.withColumn("known", known_hot).withColumn("by", F.when(F.col("known"), F.xxhash64("ord", "th", "pk")).otherwise(0))
+    # Rows of one place (of a document met in several tasks) count once; equal ones lie side by side.
+    group = Window.partitionBy("min", "by")
+    place = F.struct("ord", "th", "pk")
+    once = dealt.withColumn("new", ~same(F.lag(place).over(group.orderBy("ord", "th", "pk")), place))
+    met = F.count(F.when(F.col("new"), 1)).over(group)
     shared = stage(
-        dealt.withColumn("n", F.when(F.col("known"), HOT + 1).otherwise(met))
-        .filter("n > 1")
-        .select("ord", "pk", "min", (F.col("n") > HOT).alias("hot")),
+        once.withColumn("n", F.when(F.col("known"), HOT + 1).otherwise(met))
+        .filter("new and n > 1")
+        .select("ord", "th", "pk", "min", (F.col("n") > HOT).alias("hot")),
         "substring-candidates",
     )
     size = F.when(F.col("hot"), F.col("pk").bitwiseAND(F.lit(15)) * WINDOW).otherwise(
@@ -323,23 +354,23 @@ def substring_dedup(
     )
     shards = 1 + int((shared.agg(F.sum(size)).first()[0] or 0) // SHARD_WORDS)
     places = (
-        shared.select("ord", F.shiftrightunsigned("pk", 36).alias("th"), F.struct("pk", "min", "hot").alias("place"))
+        shared.select("ord", "th", F.struct("pk", "min", "hot").alias("place"))
         .groupBy("ord", "th")
-        .agg(F.collect_list("place").alias("places"))  # of one document
+        .agg(F.collect_list("place").alias("places"))  # of one document, each once
     )
     routed = (
         rows.join(places.hint("shuffle_hash"), ["ord", "th"])
         .select("ord", "th", "text", "places", *names)  # the same columns as below: one exchange serves both
-        .mapInArrow(_route_segments, "route bigint, ord bigint, pk bigint, seg binary")
+        .mapInArrow(_route_segments, "route bigint, ord bigint, th bigint, pk bigint, seg binary")
     )
     tasks = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + (shards - 1) // TASK_SHARDS))
     repeats = (
-        routed.select(F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard"), "ord", "pk", "seg")
+        routed.select(F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard"), "ord", "th", "pk", "seg")
         .repartition(tasks, "shard")
         .sortWithinPartitions("shard")
         .mapInArrow(_search_shards, "ord bigint, th bigint, at bigint, mask int")
         .groupBy("ord", "th")
-        .agg(F.collect_list(F.struct("at", "mask")).alias("repeats"))  # of one document
+        .agg(F.collect_set(F.struct("at", "mask")).alias("repeats"))  # of one document, each once
     )
     marked = rows.join(repeats.hint("shuffle_hash"), ["ord", "th"], "left").select(
         F.struct("text", "repeats").alias("value"), *names

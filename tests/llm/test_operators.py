@@ -139,6 +139,43 @@ def test_substrings_odd(odd_docs, no_docs):
     assert len(rows) == 13 and substring.substring_dedup(no_docs).count() == 0
 
 
+def test_substrings_of_texts_without_id(spark):
+    """Two such texts whose hashes end in the same 27 bits stay apart, and many copies are one document."""
+    seen, k = {}, 0
+    while True:
+        text = f"{PROSE} {PROSE} " + " ".join(f"n{k}x{i}" for i in range(30 + k % 50))
+        low = xxhash.xxh64_intdigest(text.encode(), 42) % (1 << 27)
+        if low in seen and len(seen[low].split()) != len(text.split()):
+            break
+        seen[low], k = text, k + 1
+    pair = [seen[low], text]
+    copies = " ".join(f"c{i}" for i in range(90))
+    docs = [(1, PROSE + " one"), *[(None, t) for t in pair], *[(None, copies)] * 3000, *[(5, copies + " five")] * 40]
+    got = substring.substring_dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(6)).collect()
+    assert len(got) == len(docs)
+    # Without id by signed hash of the text, after all others; each text once.
+    signed = {t: h - (1 << 64) if (h := xxhash.xxh64_intdigest(t.encode(), 42)) >> 63 else h for t in [*pair, copies]}
+    order = [(t, t) for _, t in (docs[0], docs[-1])] + [(t, t) for t in sorted(signed, key=signed.get)]
+    want = removed_words(order)
+    assert all((r.n_words, r.n_removed, r.kept_text) == want[r.text] for r in got)
+
+
+def test_places_of_copies_are_routed_once():
+    import pyarrow as pa
+
+    words = [f"w{i}" for i in range(60)]
+    text = " ".join(words).encode()
+    begins, counts, minimizers = substring.segments([w.encode() for w in words], np.zeros(60, np.int64))
+    batch = pa.RecordBatch.from_arrays([pa.array([9] * 50), pa.array([7] * 50), pa.array([text] * 50)], ["ord", "th", "text"])
+    listed = list(substring._list_segments(iter([batch, batch])))
+    assert sum(b.num_rows for b in listed) == len(begins)
+    places = [{"pk": int(b) << 4 | int(c), "min": int(m), "hot": False} for b, c, m in zip(begins, counts, minimizers)]
+    kind = pa.struct([("pk", pa.int64()), ("min", pa.int64()), ("hot", pa.bool_())])
+    batch = batch.append_column("places", pa.array([places] * 50, pa.list_(kind)))
+    routed = list(substring._route_segments(iter([batch])))
+    assert sum(b.num_rows for b in routed) == len(begins)
+
+
 # --- 4 quality --------------------------------------------------------------
 
 
