@@ -20,13 +20,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import add_columns, documents, pick, ship_package
+from cohortlens.llm.common import add_columns, documents, pick, ship_package, stage
 from cohortlens.llm.pieces import by_blocks
 from cohortlens.schema import safe_col
 
 BUCKETS = 1 << 16
-#: Languages of a model: those with most trigrams; bounds the table that is broadcast (half a MB each).
-MAX_LANGUAGES = 256
+#: Counts above zero that a model may hold (12 bytes each); more raise an error, no language is left out.
+MAX_COUNTS = 1 << 24
+#: Languages a task counts at once (half a MB each).
+HELD_LANGUAGES = 64
+#: Numbers of a batch of texts: its counts above zero by language, and texts times languages.
+CELLS = 1 << 22
 SMOOTHING = 0.05
 ROUNDS, SET_ROUNDS = 10, 5
 #: A language with less than this share of the first fit is no candidate for the set.
@@ -75,32 +79,55 @@ def _counted(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 class LanguageModel:
-    def __init__(self, languages: list[str], counts: np.ndarray):
-        """``counts``: trigrams by language and bucket."""
+    def __init__(self, languages: list[str], lang: np.ndarray, bucket: np.ndarray, n: np.ndarray):
+        """``n``: trigrams by language (its index) and bucket, those above zero in any order."""
         self.languages = languages
-        totals = counts.sum(1, keepdims=True)
-        likelihood = (counts + SMOOTHING) / (totals + SMOOTHING * BUCKETS)
-        # Only ratios between languages matter for a trigram.
-        self.likelihood = np.ascontiguousarray((likelihood / likelihood.max(0, initial=np.finfo(float).tiny)).T)
+        order = np.argsort(bucket, kind="stable")
+        totals = np.bincount(lang, n, len(languages)) + SMOOTHING * BUCKETS
+        self.edges = np.searchsorted(bucket[order], np.arange(BUCKETS + 1))
+        self.lang = lang[order].astype(np.int32)
+        # Likelihood of a trigram: the language's least, and what its count adds to that.
+        self.least = SMOOTHING / totals
+        self.more = n[order] / totals[self.lang]
+
+    def _entries(self, grams: list[tuple[np.ndarray, np.ndarray]]) -> tuple:
+        """Counts, their texts, and for the model's entries of their buckets: place of the count, cell of the shares, likelihood."""
+        buckets = np.concatenate([b for b, _ in grams])
+        counts = np.concatenate([c for _, c in grams]).astype(float)
+        text = np.repeat(np.arange(len(grams)), [len(b) for b, _ in grams])
+        some = self.edges[buckets + 1] - self.edges[buckets]
+        at = np.repeat(np.arange(len(buckets)), some)
+        entry = np.arange(len(at)) + np.repeat(self.edges[buckets] - np.cumsum(some) + some, some)
+        return counts, text, at, text[at] * len(self.languages) + self.lang[entry], self.more[entry]
 
-    def _fit(self, ratio, counts, edges, shares, rounds) -> tuple[np.ndarray, np.ndarray]:
+    def _fit(self, entries: tuple, shares: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
         """Shares after ``rounds`` of expectation-maximisation, and the log-likelihood before the last round."""
-        per_text = np.diff(edges)
-        total = np.add.reduceat(counts, edges[:-1])[:, None]
+        counts, text, at, cell, more = entries
+        n = len(shares)
+        total = np.bincount(text, counts, n)[:, None]
         for _ in range(rounds):
-            weighted = ratio * np.repeat(shares, per_text, axis=0)
-            mix = weighted.sum(1)
-            shares = np.add.reduceat(weighted * (counts / mix)[:, None], edges[:-1], axis=0) / total
-        return shares, np.add.reduceat(counts * np.log(mix), edges[:-1])
+            mix = (shares @ self.least)[text] + np.bincount(at, shares.ravel()[cell] * more, len(counts))
+            part = counts / mix
+            weight = np.bincount(cell, part[at] * more, shares.size).reshape(shares.shape)
+            shares = shares * (weight + np.bincount(text, part, n)[:, None] * self.least) / total
+        return shares, np.bincount(text, counts * np.log(mix), n)
+
+    def batches(self, grams: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[slice]:
+        """Runs of texts of at most 256 that have about CELLS numbers at most."""
+        start = size = 0
+        for i, (buckets, _) in enumerate(grams):
+            cells = len(self.languages) + int((self.edges[buckets + 1] - self.edges[buckets]).sum())
+            if i > start and (size + cells > CELLS or i - start == 256):
+                yield slice(start, i)
+                start, size = i, 0
+            size += cells
+        if grams:
+            yield slice(start, len(grams))
 
     def shares(self, grams: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """Language shares (rows: texts) of the selected set of each text; all texts have trigrams."""
         n, k = len(grams), len(self.languages)
-        buckets = np.concatenate([b for b, _ in grams])
-        counts = np.concatenate([c for _, c in grams]).astype(float)
-        edges = np.concatenate([[0], np.cumsum([len(b) for b, _ in grams])])
-        ratio = self.likelihood[buckets]
-        full, _ = self._fit(ratio, counts, edges, np.full((n, k), 1.0 / k), ROUNDS)
+        full, _ = self._fit(self._entries(grams), np.full((n, k), 1.0 / k), ROUNDS)
         rank = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1)
         candidates = np.maximum(1, (full >= MIN_SHARE).sum(1))
         best = (rank == 0).astype(float)
@@ -109,16 +136,13 @@ class LanguageModel:
             return best
         # Texts with several candidates: compare the nested sets of 1, 2, ... languages.
         some = [grams[i] for i in mixed]
-        buckets = np.concatenate([b for b, _ in some])
-        counts = np.concatenate([c for _, c in some]).astype(float)
-        edges = np.concatenate([[0], np.cumsum([len(b) for b, _ in some])])
-        ratio = self.likelihood[buckets]
-        penalty = PENALTY * 0.5 * np.log1p(np.add.reduceat(counts, edges[:-1]))
+        entries = self._entries(some)
+        penalty = PENALTY * 0.5 * np.log1p([c.sum() for _, c in some])
         top = np.full(len(mixed), -np.inf)
         for size in range(1, candidates.max() + 1):
             start = np.where(rank[mixed] < size, np.maximum(full[mixed], 1e-9), 0.0)
             start /= start.sum(1, keepdims=True)
-            found, fit = self._fit(ratio, counts, edges, start, SET_ROUNDS if size > 1 else 1)
+            found, fit = self._fit(entries, start, SET_ROUNDS if size > 1 else 1)
             value = fit - penalty * (size - 1)
             better = (value > top) & (size <= candidates[mixed])
             top = np.where(better, value, top)
@@ -135,24 +159,30 @@ def _count_by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         sums[language] += np.bincount(trigram_buckets(held)[0], minlength=BUCKETS)
         return [None] * len(held)
 
+    def counted() -> Iterator[pa.RecordBatch]:
+        for name, row in sums.items():
+            found = np.flatnonzero(row)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(found), pa.string()), pa.array(found, pa.int32()), pa.array(row[found], pa.int64())],
+                ["lang", "bucket", "n"],
+            )
+        sums.clear()
+
     for batch in batches:
         texts: dict[str, list[str]] = {}
         for text, language in zip(*[c.to_pylist() for c in batch.columns]):
             texts.setdefault(language, []).append(text)
         for language, some in texts.items():
+            if len(sums) >= HELD_LANGUAGES and language not in sums:
+                yield from counted()
             by_blocks(some, add)
-    for language, row in sums.items():
-        found = np.flatnonzero(row)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([language] * len(found), pa.string()), pa.array(found, pa.int32()), pa.array(row[found], pa.int64())],
-            ["lang", "bucket", "n"],
-        )
+    yield from counted()
 
 
 def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Model from all rows with text and language; trigram counts are summed on the executors.
 
-    The driver gets at most BUCKETS numbers for each of MAX_LANGUAGES languages.
+    The driver gets the counts above zero of every language, at most MAX_COUNTS; more raise an error.
     """
     ship_package(training.sparkSession)
     rows = training.select(safe_col(text_col).cast("string").alias("text"), safe_col(lang_col).cast("string").alias("lang"))
@@ -162,13 +192,16 @@ def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
     )
-    kept = counts.groupBy("lang").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "lang").limit(MAX_LANGUAGES)
-    table = counts.join(F.broadcast(kept.select("lang")), "lang").toArrow()
-    languages = sorted(set(table["lang"].to_pylist()))
-    index = {lang: i for i, lang in enumerate(languages)}
-    out = np.zeros((len(languages), BUCKETS))
-    out[[index[x] for x in table["lang"].to_pylist()], table["bucket"].to_numpy()] = table["n"].to_numpy()
-    return LanguageModel(languages, out)
+    counts = stage(counts, "language-trigrams")
+    if (size := counts.count()) > MAX_COUNTS:
+        raise ValueError(f"{size} trigram counts of the languages are more than MAX_COUNTS = {MAX_COUNTS}")
+    table = counts.toArrow()
+    lang = table["lang"].combine_chunks().dictionary_encode()
+    names = lang.dictionary.to_pylist()
+    languages = sorted(names)
+    index = {name: i for i, name in enumerate(languages)}
+    place = np.array([index[name] for name in names], np.int32)
+    return LanguageModel(languages, place[lang.indices.to_numpy()], table["bucket"].to_numpy(), table["n"].to_numpy())
 
 
 _RESULT = pa.struct(
@@ -186,8 +219,8 @@ def _predict_column(texts: pa.Array, model: LanguageModel) -> pa.Array:
             grams.append((buckets, np.bincount(at, np.concatenate([c for _, c in parts]), len(buckets))))
     known = [i for i, (b, _) in enumerate(grams) if len(b) and model.languages]
     out = [{"lang": UNDETERMINED, "score": 0.0, "languages": [], "shares": []} for _ in grams]
-    for start in range(0, len(known), 256):
-        some = known[start : start + 256]
+    for part in model.batches([grams[i] for i in known]):
+        some = known[part]
         for i, row in zip(some, model.shares([grams[i] for i in some])):
             order = [j for j in np.argsort(-row, kind="stable") if row[j] > 0]
             shares = [min(1.0, float(row[j])) for j in order]

@@ -83,6 +83,23 @@ def test_language_mixture_shares(spark):
     assert set(got[2]) == {a}
 
 
+def test_every_language_is_kept(spark, monkeypatch):
+    """More languages than 256, the rarest of one text; one task counts them all."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(300):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), size=5)) for _ in range(12)]
+        rows += [(i, " ".join(rng.permutation(words)), f"l{i:03}") for _ in range(1 if i % 3 else 4)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string").coalesce(1)
+    model = langid.fit(docs)
+    assert model.languages == [f"l{i:03}" for i in range(300)]
+    got = langid.identify(docs, model).collect()
+    assert len(got) == len(rows) and all(r.lang_pred == r.lang for r in got)
+    monkeypatch.setattr(langid, "MAX_COUNTS", 1000)
+    with pytest.raises(ValueError):
+        langid.fit(docs)
+
+
 def test_language_odd(odd_docs, no_docs):
     model = langid.fit(odd_docs)
     got = {r.doc_id: r for r in langid.identify(clash(odd_docs, "score"), model).collect()}
