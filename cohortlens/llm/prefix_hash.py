@@ -17,7 +17,11 @@ many of their texts' spans are common; it is exact for up to SKETCH spans in all
 from __future__ import annotations
 
 import functools
+import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import documents, pick, ship_package, stage
+from cohortlens.llm.common import HOT_SHARE, documents, pick, same, ship_package, stage
 from cohortlens.schema import safe_col
 
 PRIME = (1 << 31) - 1
@@ -166,61 +170,93 @@ def likeness(a: str, b: str) -> float:
     return _likeness(a == b, *parts)
 
 
-_COLUMNS = "kind int, part int, id bigint, text string, n_chars bigint, edited string, fingerprint string, "
+_COLUMNS = "kind int, part int, times bigint, id bigint, text string, n_chars bigint, edited_sha256 string, fingerprint string, "
 _COLUMNS += "edited_fingerprint string, near_edited double, near_next double, common_next bigint"
 _DONE, _LAST, _FIRST = 0, 1, 2
+#: Results held in a worker until they are sent on.
+_HELD = 256
 
 
-def _compare(key: int | None, text: str, prints: Fingerprint, following: str, next_prints: Fingerprint) -> tuple:
-    half = len(text) // 2
-    edited = text[: len(text) - half] + following[:half]
+class _Doc(NamedTuple):
+    id: int | None
+    text: str
+    prints: Fingerprint
+    more: int  # further rows of the same id and text
+
+
+def _compare(doc: _Doc, following: _Doc, times: int = 1) -> tuple:
+    half = len(doc.text) // 2
+    edited = doc.text[: len(doc.text) - half] + following.text[:half]
     edited_prints = Fingerprint(edited)
     return (
-        _DONE, None, key, None, len(text), edited, str(prints), str(edited_prints),
-        prints.likeness(edited_prints), prints.likeness(next_prints), prints.common_prefix(next_prints),
+        _DONE, None, times, doc.id, None, len(doc.text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(),
+        str(doc.prints), str(edited_prints), doc.prints.likeness(edited_prints), doc.prints.likeness(following.prints),
+        doc.prints.common_prefix(following.prints),
     )
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
+    types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
     types += [pa.float64(), pa.float64(), pa.int64()]
     names = [c.split()[0] for c in _COLUMNS.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
 
-def _texts_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, str]]:
+def _results(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Each text with the one after it; the partition's first and last text are handed on."""
+    part = TaskContext.get().partitionId()
+    blank = (None,) * 7
+    before = None
     for batch in batches:
-        for key, text in zip(batch.column(0), batch.column(1)):
-            yield key.as_py(), text.as_py()
+        for key, text, more in zip(*batch.columns):
+            doc = _Doc(key.as_py(), text.as_py(), Fingerprint(text.as_py()), more.as_py())
+            if before is None:
+                yield (_FIRST, part, 1, doc.id, doc.text, *blank)
+            else:
+                yield _compare(before, doc)
+            if doc.more:
+                yield _compare(doc, doc, doc.more)
+            before = doc
+    if before is not None:
+        yield (_LAST, part, 1, before.id, before.text, *blank)
 
 
 def _along_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare each text with the one after it; the partition's first and last text are handed on."""
-    part = TaskContext.get().partitionId()
-    out: list[tuple] = []
-    size, before = 0, None
-    blank = (None,) * 7
-    for key, text in _texts_in_order(batches):
-        prints = Fingerprint(text)
-        if before is None:
-            out.append((_FIRST, part, key, text, *blank))
-        else:
-            out.append(_compare(*before, text, prints))
-        before = (key, text, prints)
-        size += len(text)
-        if size > BLOCK:
-            yield _batch(out)
-            out, size = [], 0
-    if before is not None:
-        out.append((_LAST, part, before[0], before[1], *blank))
-    if out:
-        yield _batch(out)
+    held: list[tuple] = []
+    for row in _results(batches):
+        held.append(row)
+        if len(held) >= _HELD:
+            yield _batch(held)
+            held = []
+    if held:
+        yield _batch(held)
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for key, text, following in zip(*[c.to_pylist() for c in batch.columns]):
-            yield _batch([_compare(key, text, Fingerprint(text), following, Fingerprint(following))])
+            yield _batch([_compare(_Doc(key, text, Fingerprint(text), 0), _Doc(None, following, Fingerprint(following), 0))])
+
+
+_KEY = ["id", "h1", "h2"]
+
+
+def _repeats_apart(rows: DataFrame) -> DataFrame:
+    """``rows`` (id, text, h1, h2) with ``more``; rows of an id and text that hold 1/HOT_SHARE of all or more become one row.
+
+    So a range of the order never has to hold them: their texts would all have
+    the same place.  At most HOT_SHARE such keys; they are told apart by the id
+    and 128 bits of the text's hash.
+    """
+    keys = stage(rows.select(*_KEY), "next-keys")
+    counts = keys.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n"))
+    hot = stage(counts.filter((F.col("n") > 1) & (F.col("n") * HOT_SHARE >= F.lit(keys.count()))), "next-repeated")
+    if hot.isEmpty():
+        return rows.withColumn("more", F.lit(0).cast("long"))
+    named = F.broadcast(hot.select(*[F.col(c).alias(f"hot_{c}") for c in _KEY]))
+    match = reduce(and_, [same(F.col(c), F.col(f"hot_{c}")) for c in _KEY])
+    once = rows.join(named, match, "left_semi").groupBy(*_KEY).agg(F.first("text").alias("text"), (F.count(F.lit(1)) - 1).alias("more"))
+    return rows.join(named, match, "left_anti").withColumn("more", F.lit(0).cast("long")).unionByName(once)
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -230,23 +266,24 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     of the text); the first follows the last.  The edited text has the last half
     of the code points replaced by as many first ones of the next text.  Returns
     id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
-    near_next, common_next (length of the common prefix with the next text).  Null texts count as empty; an empty text has the fingerprint of
-    no spans, and two of them are alike.  A table of one row is followed by
-    itself; an empty table gives an empty result.
+    near_next, common_next (length of the common prefix with the next text).
+    Null texts count as empty; an empty text has the fingerprint of no spans, and
+    two of them are alike.  Repeated rows follow each other.  A table of one row
+    is followed by itself; an empty table gives an empty result.
 
     Rows are dealt by ranges of the id, so the text is shuffled once; only the
     first and last text of each range are joined in a second step.
     """
     spark = docs.sparkSession
     ship_package(spark)
+    text = F.coalesce(safe_col(text_col).cast("string"), F.lit(""))
     rows = docs.select(
-        safe_col(id_col).cast("long").alias("id"), F.coalesce(safe_col(text_col).cast("string"), F.lit("")).alias("text")
+        safe_col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("h1"), F.xxhash64(text, F.lit(1)).alias("h2")
     )
-    order = [F.col("id").desc_nulls_last(), F.xxhash64("text").asc()]
+    order = [F.col("id").desc_nulls_last(), F.col("h1"), F.col("h2")]
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    along = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(_along_partition, _COLUMNS)
-    sha = F.sha2("edited", 256).alias("edited_sha256")
-    held = stage(along.select(*[c.split()[0] for c in _COLUMNS.split(", ") if c != "edited string"], sha), "next-texts")
+    dealt = _repeats_apart(rows).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    held = stage(dealt.select("id", "text", "more").mapInArrow(_along_partition, _COLUMNS), "next-texts")
 
     first = held.filter(F.col("kind") == _FIRST)
     # One row a range, without its text.
@@ -259,10 +296,12 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     last = held.filter(F.col("kind") == _LAST).select("part", "id", "text")
     borders = last.join(following, "part").join(heads, "next_part").select("id", "text", "following")
     result = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "common_next"]
+    done = held.filter(F.col("kind") == _DONE)
+    alike = done.filter(F.col("times") > 1).select(*result, F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("time"))
     return (
-        held.filter(F.col("kind") == _DONE)
-        .select(*result)
-        .unionByName(borders.mapInArrow(_pairs, _COLUMNS).withColumn("edited_sha256", F.sha2("edited", 256)).select(*result))
+        done.filter(F.col("times") == 1).select(*result)
+        .unionByName(alike.select(*result))
+        .unionByName(borders.mapInArrow(_pairs, _COLUMNS).select(*result))
         .withColumnRenamed("id", id_col)
     )
 

@@ -306,6 +306,29 @@ def test_next_documents(spark):
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
         assert r.fingerprint == str(prefix_hash.Fingerprint(text))
         assert r.near_edited == prefix_hash.likeness(r.fingerprint, r.edited_fingerprint)
+        common = next((i for i, (x, y) in enumerate(zip(text, following)) if x != y), min(len(text), len(following)))
+        assert r.common_next == common
+        a, b = true_spans(text), true_spans(following)
+        want = 1.0 if text == following else len(a & b) / len(a | b)
+        assert abs(r.near_next - want) < 0.35 and (want or not r.near_next) and (len(a | b) > 32 or r.near_next == pytest.approx(want))
+
+
+def test_next_of_many_copies_without_id(spark):
+    """Rows of one id and text, a third of all, are one row of the order and come back as many."""
+    copies, other = "the same text again and again", "another text of some length"
+    docs = [(None, copies)] * 700 + [(None, other)] * 2 + [(5, copies)] * 400 + [(i, f"text {i} of many others") for i in range(1000, 1900)]
+    got = Counter(tuple(r) for r in prefix_hash.with_next(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect())
+    signed = {t: h - (1 << 64) if (h := xxhash.xxh64_intdigest(t.encode(), 42)) >> 63 else h for t in (copies, other)}
+    order = [d for d in sorted(docs, key=lambda d: -(d[0] or 0)) if d[0]] + sorted((d for d in docs if not d[0]), key=lambda d: signed[d[1]])
+    want = Counter()
+    for k, (d, text) in enumerate(order):
+        following = order[(k + 1) % len(order)][1]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        a, b, c = (prefix_hash.Fingerprint(t) for t in (text, edited, following))
+        sha = hashlib.sha256(edited.encode()).hexdigest()
+        want[(d, len(text), sha, str(a), str(b), a.likeness(b), a.likeness(c), a.common_prefix(c))] += 1
+    assert got == want
 
 
 def true_spans(text):
