@@ -1,5 +1,6 @@
 """Operators: functions from DataFrame to DataFrame (or to named DataFrames)."""
 
+from cohortlens.operators.answers import distinct_answers, parse_once
 from cohortlens.operators.clean import clean_survey, drop_null_rows
 from cohortlens.operators.correlate import correlation_analysis, correlation_matrix, correlation_pairs, strongest_with
 from cohortlens.operators.distributions import gaussian_kde, histogram
@@ -35,6 +36,7 @@ __all__ = [
     "count_rows",
     "depression_by_demographics",
     "describe_numeric",
+    "distinct_answers",
     "distinct_categories",
     "distribution_analysis",
     "drop_null_rows",
@@ -45,6 +47,7 @@ __all__ = [
     "minmax_scale",
     "null_counts",
     "one_hot",
+    "parse_once",
     "quality_profile",
     "risk_rules",
     "sleep_performance",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortlens import schema as S
 from cohortlens.functions.text import text_range_to_number, try_float
+from cohortlens.operators.answers import parse_once
 from cohortlens.schema import require_columns, safe_col
 
 
@@ -30,6 +31,7 @@ def clean_survey(
     age: str = S.AGE,
     sleep_range: tuple[float, float] = (0.0, 24.0),
     min_age: float = 0.0,
+    max_answers: int | None = None,
 ) -> DataFrame:
     """Clean survey rows.
 
@@ -39,25 +41,28 @@ def clean_survey(
        the text (``"7"`` → 7.0, anything else null);
     3. keep ``lo <= sleep <= hi`` (null and NaN are dropped) and ``age > min_age``.
 
-    The null and age tests reach the Parquet/CSV scan as pushed filters; the
-    sleep text is parsed once per remaining row and only its range test runs
-    after the parse.
+    The null and age tests reach the Parquet/CSV scan as pushed filters.  Ranges
+    are parsed once per distinct answer (``parse_once``, which reads the column
+    when this is called; ``max_answers=0`` parses with each row and reads
+    nothing); only the range test runs after the parse.
     """
     require_columns(df, [sleep, age])
-    if mode == "ranges":
-        parsed = text_range_to_number(sleep)
-    elif mode == "numeric":
-        parsed = try_float(sleep)
-    else:
+    if mode not in ("ranges", "numeric"):
         raise ValueError(f"mode must be 'ranges' or 'numeric', not {mode!r}")
     lo, hi = sleep_range
     base = drop_null_rows(df, [sleep, age]).where(safe_col(age) > F.lit(min_age))
-    bound = bind_once(base, parsed, _PARSED)
+    if mode == "numeric":
+        bound = bind_once(base, try_float(sleep), _PARSED)
+    elif max_answers == 0:
+        bound = bind_once(base, text_range_to_number(sleep), _PARSED)
+    else:
+        bound = bind_once(parse_once(base, sleep, text_range_to_number, _ANSWER, max_answers), F.col(_ANSWER), _PARSED)
     kept = bound.where((F.col(_PARSED) >= F.lit(lo)) & (F.col(_PARSED) <= F.lit(hi)))
     return kept.select(*[F.col(_PARSED).alias(c) if c == sleep else safe_col(c) for c in df.columns])
 
 
 _PARSED = "__cohortlens_parsed"
+_ANSWER = "__cohortlens_answered"
 
 
 def bind_once(df: DataFrame, value: Column, name: str) -> DataFrame:
@@ -68,7 +73,9 @@ def bind_once(df: DataFrame, value: Column, name: str) -> DataFrame:
     once per use.  The value is computed in a projection (where generated
     code shares common subexpressions) and passed through a one-element
     ``explode``: predicates on the generator's output stay above it, while
-    predicates on other columns still reach the scan.
+    predicates on other columns still reach the scan.  It also keeps a join's
+    lookup and the range test out of one generated method, which with many
+    computed columns grows beyond what the JVM compiles.
     """
     computed = df.withColumn(name, value)
     others = [safe_col(c) for c in df.columns if c != name]

@@ -31,6 +31,7 @@ from cohortlens.operators import (
     minmax_scale,
     null_counts,
     one_hot,
+    parse_once,
     quality_profile,
     sleep_performance,
     strongest_with,
@@ -99,9 +100,8 @@ def q_survey_load(spark, sf_dir):
 
 def q_text_range_parse(spark, sf_dir):
     s = survey(spark, sf_dir)
-    return s.select(
-        S.ID, safe_col(S.SLEEP).alias("raw_sleep"), text_range_to_number(S.SLEEP).alias("parsed_sleep")
-    )
+    raw = s.select(S.ID, safe_col(S.SLEEP).alias("raw_sleep"))
+    return parse_once(raw, "raw_sleep", text_range_to_number, "parsed_sleep")
 
 
 def q_clean_ranges(spark, sf_dir):
@@ -248,7 +248,7 @@ def q_preview_sorted(spark, sf_dir):
 
 
 def q_text_range_answers(spark, sf_dir):
-    return E.answers(lineitem(spark, sf_dir)).withColumn("parsed", text_range_to_number("raw"))
+    return parse_once(E.answers(lineitem(spark, sf_dir)), "raw", text_range_to_number, "parsed")
 
 
 def q_corr_constant(spark, sf_dir):

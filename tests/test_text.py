@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from cohortlens.operators import distinct_answers, parse_once
 from cohortlens.functions import py_strip, text_range_to_number, tolerant_double, try_float
 
 #: How a number may be written: format and the values it stands for.
@@ -94,3 +95,29 @@ def test_try_float_never_raises(spark):
 def test_empty_separator_rejected(spark):
     with pytest.raises(ValueError):
         text_range_to_number(F.col("x"), sep="")
+
+
+ANSWERS = ["5-6 hours", " 7-8 Hours ", "Less than 5 hours", "7", "", "a-b", "x" * 300 + "-1", "1" * 300 + "-1", "Café-2", None]
+
+
+@pytest.mark.parametrize("most", [None, 3, 0])
+def test_each_answer_parsed_once(spark, most):
+    """Few, too many and very long answers, nulls and a hot answer: the same as parsing each row."""
+    rows = [(i, ANSWERS[i % len(ANSWERS)] if i % 3 else ANSWERS[0], "x") for i in range(600)]
+    df = spark.createDataFrame(rows, "id int, answer string, parsed string").repartition(3)
+    got = parse_once(df, "answer", text_range_to_number, "parsed", most)
+    assert got.columns == ["id", "answer", "parsed"]
+    want = df.select("id", "answer", text_range_to_number("answer").alias("parsed"))
+    assert sorted(got.collect(), key=lambda r: r.id) == sorted(want.collect(), key=lambda r: r.id)
+    assert parse_once(df.limit(0), "answer", text_range_to_number, "parsed", most).count() == 0
+
+
+def test_all_distinct_answers(spark, monkeypatch):
+    """Above the bound every row is parsed where it is: no join and no exchange of rows."""
+    df = spark.range(5000).selectExpr("id", "concat(id, '-', id + 2, ' hours') AS answer")
+    few, many = (parse_once(df, "answer", text_range_to_number, "v", most) for most in (10_000, 100))
+    assert [r.v for r in few.orderBy("id").collect()] == [r.v for r in many.orderBy("id").collect()] == [i + 1.0 for i in range(5000)]
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert distinct_answers(df, "answer", 100) is None and len(distinct_answers(df, "answer", 5000)[0]) == 5000
+    assert distinct_answers(df, "answer", 4999) is None
