@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +16,9 @@ from cohortlens.schema import SURVEY_NUMERIC, columns_of_types, require_columns,
 from cohortlens.session import ship_package
 
 PAIR_SCHEMA = "column1 string, column2 string, correlation double"
-_PARTIAL = "first int, stats binary"
+_PARTIAL = "first int, part int, stats binary"
 _ROWS = 4096
-# Statistics of a pair over its rows: row i of a block holds column i against every column.
+# Statistics of a pair over its rows, one line each; pairs i < j in order of i, then j.
 _N, _MEAN_X, _MEAN_Y, _M2_X, _M2_Y, _C, _LO_X, _HI_X, _LO_Y, _HI_Y = range(10)
 
 
@@ -26,19 +28,30 @@ def _columns(df: DataFrame, columns: Sequence[str] | None, types: Sequence[str])
     return cols
 
 
-def _empty(k: int) -> np.ndarray:
-    stats = np.zeros((10, k))
+def _empty(pairs: int) -> np.ndarray:
+    stats = np.zeros((10, pairs))
     stats[[_LO_X, _LO_Y]], stats[[_HI_X, _HI_Y]] = np.inf, -np.inf
     return stats
 
 
-def _of_rows(values: np.ndarray, present: np.ndarray, i: int) -> np.ndarray:
-    """Statistics of column i with every column, over the rows where both are present, centred on those rows' means."""
+def _of_complete(values: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Statistics of the pairs (i, j) where every row has every column: one product of matrices."""
+    mean = values.mean(0)
+    centred = values - mean
+    products = centred.T @ centred
+    spread = np.diag(products)
+    low, high = values.min(0), values.max(0)
+    n = np.full(len(i), len(values))
+    return np.stack([n, mean[i], mean[j], spread[i], spread[j], products[i, j], low[i], high[i], low[j], high[j]])
+
+
+def _of_some(values: np.ndarray, present: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
+    """Statistics of column i with ``others``, over the rows where both are present, centred on those rows' means."""
     rows = present[:, i]
-    both, y = present[rows], values[rows]
-    x = y[:, i : i + 1]
+    both, y = present[rows][:, others], values[rows][:, others]
+    x = values[rows, i : i + 1]
     n = both.sum(0)
-    out = _empty(values.shape[1])
+    out = _empty(len(others))
     some = np.maximum(n, 1)
     out[_N] = n
     out[_MEAN_X] = np.where(both, x, 0).sum(0) / some
@@ -51,6 +64,28 @@ def _of_rows(values: np.ndarray, present: np.ndarray, i: int) -> np.ndarray:
     return out
 
 
+def _of_rows(values: np.ndarray, present: np.ndarray) -> np.ndarray:
+    """Statistics of all pairs over some rows: complete columns together, a pair with a gap in either by itself."""
+    k = values.shape[1]
+    i, j = np.triu_indices(k, 1)
+    if not len(values):
+        return _empty(len(i))
+    whole = present.all(0)
+    if whole.all():
+        return _of_complete(values, i, j)
+    out = np.empty((10, len(i)))
+    done = whole[i] & whole[j]
+    place = np.cumsum(whole) - 1  # of a complete column among the complete ones
+    if done.any():
+        out[:, done] = _of_complete(values[:, whole], place[i[done]], place[j[done]])
+    starts = np.searchsorted(i, np.arange(k + 1))
+    for c in range(k - 1):
+        gaps = starts[c] + np.flatnonzero(~done[starts[c] : starts[c + 1]])
+        if len(gaps):
+            out[:, gaps] = _of_some(values, present, c, j[gaps])
+    return out
+
+
 def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Statistics of two sets of rows together (pairwise update of means and central moments)."""
     out = np.empty_like(a)
@@ -70,6 +105,31 @@ def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def merge_group(task: int) -> int:
+    """Group of a task's statistics for the first merge: groups of about sqrt(2 tasks), and about as many of them.
+
+    Group g has the tasks from g * g / 2 on, so neither the number of tasks nor
+    a shuffle setting need be known.
+    """
+    return math.isqrt(2 * task)
+
+
+def _merge_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first, part, statistics) merged along rows that come sorted by (first, part): one key is held at a time."""
+    held: tuple[int, int, np.ndarray] | None = None
+    with np.errstate(invalid="ignore", over="ignore"):
+        for batch in batches:
+            for first, part, stats in zip(*[c.to_pylist() for c in batch.columns]):
+                stats = np.frombuffer(stats).reshape(10, -1)
+                if held and held[:2] == (first, part):
+                    stats = _merged(held[2], stats)
+                elif held:
+                    yield held
+                held = (first, part, stats)
+    if held:
+        yield held
+
+
 def _correlations(stats: np.ndarray, zero: bool) -> list[float | None]:
     """Correlation of each pair; without spread NaN (``zero``) or null, decided exactly by min = max."""
     out: list[float | None] = []
@@ -102,9 +162,11 @@ def correlation_pairs(
     A NaN or infinite value in a pair's rows gives NaN.  Results lie in [-1, 1].
 
     One method for any number of columns and rows, in one pass: every task keeps,
-    for each pair, count, means, central moments, min and max over the pair's own
-    rows, merged batch by batch; each column's statistics are then merged over
-    the tasks, in as many tasks as there are columns.
+    for each pair i < j, count, means, central moments, min and max over the
+    pair's own rows, merged batch by batch (columns without a gap in a batch by
+    one product of matrices).  Each column's statistics are then merged in two
+    levels, first by groups of about sqrt(2 tasks) tasks, then all groups, so
+    no task gets a row from every input task.
     """
     if nulls not in ("zero", "pairwise"):
         raise ValueError("nulls must be 'zero' or 'pairwise'")
@@ -117,39 +179,47 @@ def correlation_pairs(
     if zero:
         base = base.select(*[F.coalesce(F.col(f"x{i}"), F.lit(0.0)).alias(f"x{i}") for i in range(k)])
 
+    starts = np.concatenate([[0], np.cumsum(np.arange(k - 1, 0, -1))])
+
+    def rows_of(part: int, stats: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(k - 1):
+            one = np.ascontiguousarray(stats[:, starts[i] : starts[i + 1]]).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part], pa.int32()), pa.array([one], pa.binary())], names=["first", "part", "stats"])
+
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [_empty(k) for _ in range(k)]
+        held = _empty(starts[-1])
         with np.errstate(invalid="ignore", over="ignore"):
             for batch in batches:
                 for at in range(0, batch.num_rows, _ROWS):
-                    part = batch.slice(at, _ROWS)
-                    present = np.stack([np.asarray(c.is_valid()) for c in part.columns], 1)
-                    values = np.stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in part.columns], 1)
-                    held = [_merged(h, _of_rows(values, present, i)) for i, h in enumerate(held)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(k), pa.int32()), pa.array([h.tobytes() for h in held], pa.binary())], ["first", "stats"]
-        )
+                    some = batch.slice(at, _ROWS)
+                    present = np.stack([np.asarray(c.is_valid()) for c in some.columns], 1)
+                    values = np.stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in some.columns], 1)
+                    held = _merged(held, _of_rows(values, present))
+        yield from rows_of(merge_group(TaskContext.get().partitionId()), held)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        with np.errstate(invalid="ignore", over="ignore"):
-            for batch in batches:
-                for i, stats in zip(*[c.to_pylist() for c in batch.columns]):
-                    stats = np.frombuffer(stats).reshape(10, k)
-                    held[i] = _merged(held[i], stats) if i in held else stats
-        for i, stats in held.items():
-            found = _correlations(stats, zero)[i + 1 :]
+        for first, part, stats in _merge_sorted(batches):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([first], pa.int32()), pa.array([0], pa.int32()), pa.array([stats.tobytes()], pa.binary())], ["first", "part", "stats"]
+            )
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for i, _, stats in _merge_sorted(batches):
+            found = _correlations(stats, zero)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([i] * len(found), pa.int32()), pa.array(range(i + 1, k), pa.int32()), pa.array(found, pa.float64())],
                 ["i", "j", "correlation"],
             )
 
     # No rows at all still give every pair.
-    none = spark.createDataFrame([(i, bytearray(_empty(k).tobytes())) for i in range(k)], _PARTIAL)
-    found = (
+    none = spark.createDataFrame([(i, 0, bytearray(_empty(k - 1 - i).tobytes())) for i in range(k - 1)], _PARTIAL)
+    by_group = (
         base.mapInArrow(partial, _PARTIAL).unionByName(none)
-        .repartition(k, "first")
-        .mapInArrow(merge, "i int, j int, correlation double")
+        .repartition("first", "part").sortWithinPartitions("first", "part").mapInArrow(merge, _PARTIAL)
+    )
+    found = (
+        by_group.repartition("first").sortWithinPartitions("first", "part")
+        .mapInArrow(finish, "i int, j int, correlation double")
     )
     names = F.array(*[F.lit(c) for c in cols])
     return found.select(names[F.col("i")].alias("column1"), names[F.col("j")].alias("column2"), "correlation")

@@ -11,6 +11,10 @@ from cohortlens.schema import require_columns, safe_col
 from cohortlens.sqltext import dbl
 
 
+#: Bandwidths beyond which exp(-z * z / 2) is zero in double precision.
+REACH = 39.0
+
+
 def _finite(df: DataFrame, col: str) -> DataFrame:
     x = safe_col(col).cast("double")
     return df.select(x.alias("x")).where(F.abs("x") < F.lit(float("inf")))
@@ -63,9 +67,12 @@ def gaussian_kde(
 
     Bandwidth defaults to Scott's rule, ``stddev_samp · n^(-1/5)``; the grid
     spans [min − cut·h, max + cut·h].  Nulls, NaN and infinities are left out.
-    The density is exact: equal values are counted first, then every distinct
-    value adds its kernel to every grid point inside one generated stage, and
-    at most ``grid_size`` partial sums leave a task.
+    Equal values are counted first, then every distinct value adds its kernel to
+    the grid points within ``REACH`` bandwidths inside one generated stage:
+    beyond them the kernel is zero in double precision, so the density is exact
+    and a value costs as many points as its kernel covers, however fine the grid.
+    At most ``grid_size`` partial sums leave a task.  Without a bandwidth (a
+    single value, all values equal) the density is null; no values give no points.
     """
     require_columns(df, [col])
     if grid_size < 2:
@@ -83,11 +90,19 @@ def gaussian_kde(
         f"'h', {h}, "
         f"'norm', CAST(st.n AS DOUBLE) * ({h}) * {dbl(math.sqrt(2.0 * math.pi))}) AS p"
     )
+    last = grid_size - 1
+    # Without a grid step or a bandwidth (equal values, a single one) every point is asked.
+    steps = "CASE WHEN p.step > 0 AND p.h > 0 THEN p.step END"
+    reached = f"least({dbl(last)}, greatest(0D, %s((x + (%s{dbl(REACH)}) * p.h - p.start) / ({steps}))))"
+    low = f"CAST(coalesce({reached % ('floor', '-')}, 0D) AS INT)"
+    high = f"CAST(coalesce({reached % ('ceil', '')}, {dbl(last)}) AS INT)"
     at_points = counted.withColumn("st", st).selectExpr("x", "c", params).selectExpr(
-        "x", "c", "p", f"explode(sequence(0, {grid_size - 1})) AS point"
+        "x", "c", "p", f"explode(sequence({low}, {high})) AS point"
     )
-    kernel = "c * exp(CAST(-0.5 AS DOUBLE) * pow((p.start + point * p.step - x) / p.h, 2))"
-    sums = at_points.selectExpr("point", f"{kernel} AS k").groupBy("point").agg(F.sum("k").alias("d"))
+    kernel = "c * exp(CAST(-0.5 AS DOUBLE) * pow(try_divide(p.start + point * p.step - x, p.h), 2))"
+    # A point that no kernel reaches has density 0; without any value there are no points.
+    grid = df.sparkSession.range(grid_size).withColumn("st", st).where("st.n > 0").selectExpr("CAST(id AS INT) AS point", "0D AS k")
+    sums = at_points.selectExpr("point", f"{kernel} AS k").unionByName(grid).groupBy("point").agg(F.sum("k").alias("d"))
     return sums.withColumn("st", st).selectExpr("point", "d", params).selectExpr(
-        "point", "p.start + point * p.step AS x", "d / p.norm AS density"
+        "point", "p.start + point * p.step AS x", "try_divide(d, p.norm) AS density"
     )

@@ -223,6 +223,43 @@ def test_kde_matches_brute_force(spark):
     assert [r["density"] for r in got] == pytest.approx(list(want), rel=1e-9)
 
 
+def test_kde_of_narrow_kernels(spark):
+    """Values far apart, a fine grid: unreached points are zero, and a value only touches the points around it."""
+    x = [0.0, 0.0, 100.0, 250.5, 1000.0]
+    df = spark.createDataFrame([(v,) for v in x], "x double")
+    got = [r["density"] for r in gaussian_kde(df, "x", grid_size=2001, cut=2.0, bandwidth=0.7).orderBy("point").collect()]
+    grid = np.linspace(-1.4, 1001.4, 2001)
+    want = np.exp(-0.5 * ((grid[:, None] - x) / 0.7) ** 2).sum(1) / (5 * 0.7 * math.sqrt(2 * math.pi))
+    assert got == pytest.approx(list(want), rel=1e-9, abs=1e-300) and min(got) == 0.0
+    for values, n in (([2.0, 2.0], 4), ([2.0], 4), ([], 0)):
+        got = gaussian_kde(spark.createDataFrame([(v,) for v in values], "x double"), "x", grid_size=4).collect()
+        assert [r["density"] for r in got] == [None] * n
+
+
+def test_correlation_merges_in_two_levels():
+    """No group of the first merge, and no number of groups, is above about the square root of twice the tasks."""
+    from collections import Counter
+
+    from cohortlens.operators.correlate import merge_group
+
+    for tasks in (1, 2, 10, 1000, 100_000):
+        groups = Counter(merge_group(t) for t in range(tasks))
+        assert max(groups.values()) <= math.sqrt(2 * tasks) + 1 and len(groups) <= math.sqrt(2 * tasks) + 1
+
+
+def test_correlation_of_hundreds_of_columns(spark):
+    rng = np.random.default_rng(11)
+    data = rng.normal(size=(400, 300)) + rng.normal(size=(400, 1))
+    gaps = rng.random(size=data.shape) < np.where(np.arange(300) % 3 == 0, 0.1, 0.0)
+    rows = [[None if g else float(v) for v, g in zip(*both)] for both in zip(data, gaps)]
+    df = spark.createDataFrame(rows, ", ".join(f"c{i} double" for i in range(300))).repartition(12)
+    got = {(r[0], r[1]): r[2] for r in correlation_pairs(df, df.columns, nulls="pairwise").collect()}
+    assert len(got) == 300 * 299 // 2
+    for i, j in [(0, 1), (0, 3), (1, 2), (150, 299), (298, 299)]:
+        both = ~(gaps[:, i] | gaps[:, j])
+        assert got[(f"c{i}", f"c{j}")] == pytest.approx(np.corrcoef(data[both, i], data[both, j])[0, 1], abs=1e-12)
+
+
 def test_odd_column_names(spark):
     """Names with dots, spaces, `?` and backticks go through the SQL-text and Column paths."""
     from cohortlens.operators import one_hot, summarize
