@@ -5,6 +5,7 @@ from cohortlens.operators.clean import clean_survey, drop_null_rows
 from cohortlens.operators.correlate import correlation_analysis, correlation_matrix, correlation_pairs, strongest_with
 from cohortlens.operators.distributions import gaussian_kde, histogram
 from cohortlens.operators.features import (
+    ObservedRanges,
     add_row_features,
     distinct_categories,
     engineer_features,
@@ -25,6 +26,7 @@ from cohortlens.operators.summaries import (
 )
 
 __all__ = [
+    "ObservedRanges",
     "add_row_features",
     "aggregations",
     "cgpa_by_sleep",

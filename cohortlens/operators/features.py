@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cohortlens import schema as S
@@ -69,14 +70,45 @@ def scaled(x: Column, lo: Column, hi: Column) -> Column:
 _RANGES = "__cohortlens_ranges"
 
 
-def minmax_scale(df: DataFrame, cols: Sequence[str] = SCALED_COLUMNS, suffix: str = "_normalized") -> DataFrame:
+class ObservedRanges:
+    """Min and max of columns, gathered while some action runs over the observed table."""
+
+    def __init__(self, cols: Sequence[str]):
+        self.cols, self._seen = list(cols), Observation(f"ranges-{uuid.uuid4().hex}")
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        """``df``, observed: the next action on it (a write) gathers the ranges on the way."""
+        require_columns(df, self.cols)
+        metrics = []
+        for i, c in enumerate(self.cols):
+            x = safe_col(c).cast("double")
+            metrics += [F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
+        return df.observe(self._seen, *metrics)
+
+    def get(self) -> dict[str, tuple[float | None, float | None]]:
+        """Column → (min, max), null without values; waits for the action."""
+        found = self._seen.get
+        return {c: (found.get(f"min{i}"), found.get(f"max{i}")) for i, c in enumerate(self.cols)}
+
+
+def minmax_scale(
+    df: DataFrame,
+    cols: Sequence[str] = SCALED_COLUMNS,
+    suffix: str = "_normalized",
+    ranges: Mapping[str, tuple[float | None, float | None]] | None = None,
+) -> DataFrame:
     """Add ``<c><suffix>`` = min-max scaled ``c`` for each column, from one extra aggregate pass.
 
     The ranges are attached once as a struct column, so the plan holds the
-    stats subquery once however many columns use it.
+    stats subquery once however many columns use it.  ``ranges`` (column →
+    (min, max), as ``ObservedRanges`` gathers them while a table is written)
+    saves that pass.
     """
     cols = list(cols)
     require_columns(df, cols)
+    if ranges is not None:
+        given = {c: [F.lit(v).cast("double") for v in ranges[c]] for c in cols}
+        return df.withColumns({f"{c}{suffix}": scaled(safe_col(c).cast("double"), *given[c]) for c in cols})
     with_ranges = df.withColumn(_RANGES, column_ranges(df, cols))
     r = F.col(_RANGES)
     return with_ranges.withColumns(
@@ -142,8 +174,9 @@ def engineer_features(
     one_hot_column: str = S.GENDER,
     categories: Sequence | None = None,
     null_category: bool = False,
+    ranges: Mapping[str, tuple[float | None, float | None]] | None = None,
 ) -> DataFrame:
-    """All survey features: stress index, buckets, min-max scaled columns and one-hot gender."""
+    """All survey features: stress index, buckets, min-max scaled columns (by ``ranges`` if given) and one-hot gender."""
     out = add_row_features(df)
-    out = minmax_scale(out, scale_columns)
+    out = minmax_scale(out, scale_columns, ranges=ranges)
     return one_hot(out, one_hot_column, categories=categories, null_category=null_category)

@@ -8,6 +8,7 @@ order are rounded to 9 digits so they compare equal with the SQL check.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +47,7 @@ from cohortlens.plans import edge_views as E
 from cohortlens.plans.survey_job import run_survey_job
 from cohortlens.schema import ALL_NUMERIC, safe_col
 from cohortlens.session import scratch_path
-from cohortlens.sources import materialize, preview, read_csv, read_survey, write_csv, write_parquet
+from cohortlens.sources import materialize, preview, published, read_csv, read_survey, write_csv, write_parquet
 
 DIGITS = 9
 # Profile statistics cover columns up to ~1e6 in magnitude (ids), where
@@ -265,27 +266,42 @@ def q_minmax_constant(spark, sf_dir):
     return out.select("id", *[f"{c}_normalized" for c in E.RANGES])
 
 
+def _job_rows(spark: SparkSession, paths: dict[str, str]) -> list[DataFrame]:
+    """The job's outputs as rows (output, key1, key2, value1, value2)."""
+    read = {name: spark.read.parquet(path) for name, path in paths.items()}
+    parts = [(name, read[name], list(keys), [(m, DIGITS) for m in measures]) for name, keys, measures in SURVEY_SUMMARIES]
+    pair = ["column1", "column2"]
+    parts += [
+        ("correlation_matrix", read["correlation_matrix"], pair, [("correlation", DIGITS)]),
+        ("depression_correlations", read["depression_correlations"], pair, [("correlation", DIGITS), ("abs_corr", DIGITS)]),
+        ("profile", read["profile"], ["column"], [("n_null", DIGITS), ("mean", STAT_DIGITS)]),
+        ("value_counts", read["value_counts"], ["column", "value"], [("count", DIGITS)]),
+    ]
+    # Of the row tables their size and a sum.
+    for name, c in (("processed", S.CGPA), ("features", "Gender_Female"), ("high_risk", S.DEPRESSION)):
+        parts.append((name, read[name].agg(F.count(F.lit(1)).alias("n"), F.sum(safe_col(c)).alias("s")), [], [("n", DIGITS), ("s", DIGITS)]))
+    rows = []
+    for name, df, keys, values in parts:
+        key = [safe_col(k).cast("string") for k in keys] + [F.lit(None).cast("string")] * 2
+        value = [F.round(safe_col(m).cast("double"), d) for m, d in values] + [F.lit(None).cast("double")]
+        rows.append(df.select(F.lit(name).alias("output"), key[0].alias("key1"), key[1].alias("key2"), value[0].alias("value1"), value[1].alias("value2")))
+    return rows
+
+
 def q_job_results(spark, sf_dir):
-    """The batch job's five summaries and its correlations, read back from its outputs in one long table."""
-    paths = run_survey_job(survey(spark, sf_dir), scratch_path(spark, "survey-job"))
-    parts = [(name, list(keys), list(measures)) for name, keys, measures in SURVEY_SUMMARIES]
-    parts.append(("correlation_matrix", ["column1", "column2"], ["correlation"]))
-    out = None
-    for name, keys, measures in parts:
-        key = [safe_col(k).cast("string") for k in keys] + [F.lit(None).cast("string")]
-        value = [F.round(safe_col(m).cast("double"), DIGITS) for m in measures] + [F.lit(None).cast("double")]
-        rows = spark.read.parquet(paths[name]).select(
-            F.lit(name).alias("output"), key[0].alias("key1"), key[1].alias("key2"), value[0].alias("value1"), value[1].alias("value2")
-        )
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    """All twelve outputs that the batch job published, read back by the manifest in one long table."""
+    root = scratch_path(spark, "survey-job")
+    run_survey_job(survey(spark, sf_dir), root)
+    return reduce(DataFrame.unionByName, _job_rows(spark, published(spark, root)))
 
 
 def q_job_features_partitioned(spark, sf_dir):
     """The feature table the batch job wrote partitioned by degree, in the features' own types and order."""
-    paths = run_survey_job(survey(spark, sf_dir), scratch_path(spark, "survey-job"), partition_by=S.DEGREE)
-    schema = features(spark, sf_dir).schema
-    return spark.read.schema(schema).parquet(paths["features"]).select(*[safe_col(c) for c in C.FEATURE_COLUMNS])
+    path = run_survey_job(survey(spark, sf_dir), scratch_path(spark, "survey-job"), partition_by=S.DEGREE, outputs=["features"])["features"]
+    # The type of a partition column is guessed from its values; degrees are text.
+    kinds = spark.read.parquet(path).schema
+    schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name == S.DEGREE else f for f in kinds])
+    return spark.read.schema(schema).parquet(path).select(*[safe_col(c) for c in C.FEATURE_COLUMNS])
 
 
 QUERIES: dict[str, Query] = {

@@ -312,6 +312,17 @@ def _job_results_sql() -> str:
         f"SELECT 'correlation_matrix', '{a}', '{b}', round({_corr_expr(a, b, 'zero')}, 9), CAST(NULL AS DOUBLE) FROM features"
         for a, b in _pairs(C.SURVEY_NUMERIC_FEATURES)
     ]
+    top = corr_top_sql(C.SURVEY_NUMERIC_FEATURES, "Depression", 5).removeprefix(with_base(""))
+    profile = quality_profile_sql(C.SURVEY_COLUMNS, C.ALL_NUMERIC_CLEAN, "clean_ranges").removeprefix(with_base(""))
+    counts = value_counts_sql(C.STRING_COLUMNS, "clean_ranges").removeprefix(with_base(""))
+    none = "CAST(NULL AS VARCHAR)"
+    parts += [
+        f"SELECT 'depression_correlations', column1, column2, correlation, abs_corr FROM ({top})",
+        f"SELECT 'profile', \"column\", {none}, CAST(n_null AS DOUBLE), mean FROM ({profile})",
+        f"SELECT 'value_counts', \"column\", \"value\", CAST(\"count\" AS DOUBLE), CAST(NULL AS DOUBLE) FROM ({counts})",
+    ]
+    for name, table, c in (("processed", "clean_ranges", "CGPA"), ("features", "features", "Gender_Female"), ("high_risk", "high_risk", "Depression")):
+        parts.append(f"SELECT '{name}', {none}, {none}, CAST(count(*) AS DOUBLE), CAST(sum({q(c)}) AS DOUBLE) FROM {table}")
     return with_base(_union(parts))
 
 

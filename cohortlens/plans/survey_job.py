@@ -1,32 +1,40 @@
 """The survey batch job: clean → profile → features → summaries, correlations, risk → Parquet.
 
-Source passes: one over the raw input (cleaned table written), then every
-later step reads written columnar tables, pruned to the columns it needs:
-one aggregate for the profile, one for value counts, one for min/max, one
-bounded distinct for categories, one pass writing the feature table, then one
-grouping-sets aggregate for all five summaries, one aggregate for all
-correlation pairs and one filter for the risk rows.  Writing intermediate
-tables (instead of caching) also cuts lineage: a lost executor only costs
-the tasks of the step that was running.
+Source passes: one over the raw input (cleaned table written; the ranges of the
+columns to scale are observed on the way), one over its sleep answers, then
+every later step reads written columnar tables, pruned to the columns it needs:
+one aggregate for the profile, one for value counts, one bounded distinct for
+categories, one pass writing the feature table, then one grouping-sets aggregate
+for all five summaries, one aggregate for all correlation pairs and one filter
+for the risk rows.  Writing intermediate tables (instead of caching) also cuts
+lineage: a lost executor only costs the tasks of the step that was running.
+
+The outputs of a run appear together when it is published, and a run that
+stopped goes on from its last complete step (see ``sources.published``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame
 
 from cohortlens.operators import (
+    ObservedRanges,
+    add_row_features,
     clean_survey,
     correlation_pairs,
+    distinct_categories,
     engineer_features,
     high_risk,
     quality_profile,
     strongest_with,
     value_counts,
 )
+from cohortlens.operators.features import SCALED_COLUMNS
 from cohortlens.operators.summaries import SURVEY_SUMMARIES, combined_summaries, split_summaries
-from cohortlens.schema import DEPRESSION, safe_col
-from cohortlens.session import scratch_path
-from cohortlens.sources import write_parquet
+from cohortlens.schema import DEPRESSION, GENDER, safe_col
+from cohortlens.sources import Run, write_parquet
 
 # Output layout (fixed values: relative paths of the job's results).
 OUTPUTS = {
@@ -45,44 +53,67 @@ OUTPUTS = {
 }
 
 
+_SUMMARIES = [name for name, _, _ in SURVEY_SUMMARIES]
+
+
 def run_survey_job(
     raw: DataFrame,
     out_root: str,
     clean_mode: str = "ranges",
     categories=None,
     partition_by: str | None = None,
+    run_id: str | None = None,
+    outputs: Sequence[str] | None = None,
 ) -> dict[str, str]:
-    """Run the whole survey job on ``raw`` and write every result under ``out_root``.
+    """Run the survey job on ``raw``, publish its results under ``out_root`` and return output name → path.
 
-    Returns output name → path.  ``partition_by`` partitions the feature and
-    high-risk tables by that column.
+    ``partition_by`` partitions the feature and high-risk tables by that column.
+    ``outputs`` names the results wanted (default: all); steps that none of them
+    needs are left out.  A run started again with the ``run_id`` of one that
+    stopped, and the same arguments, reads the steps that run finished.
     """
+    wanted = set(outputs or OUTPUTS)
+    if unknown := wanted - set(OUTPUTS):
+        raise ValueError(f"no such outputs: {sorted(unknown)}")
     spark = raw.sparkSession
-    root = out_root.rstrip("/")
-    paths = {k: f"{root}/{v}" for k, v in OUTPUTS.items()}
+    run = Run(spark, out_root, run_id)
+    paths = {k: f"{run.folder}/{v}" for k, v in OUTPUTS.items()}
 
-    write_parquet(clean_survey(raw, mode=clean_mode), paths["processed"])
-    processed = spark.read.parquet(paths["processed"])
+    def write(name: str, frame: Callable[[], DataFrame], **how) -> None:
+        if name in wanted:
+            run.step(name, lambda: write_parquet(frame(), paths[name], **how))
+
+    def clean() -> dict:
+        ranges = ObservedRanges(SCALED_COLUMNS)
+        cleaned = clean_survey(raw, mode=clean_mode)
+        watched = ranges.watch(add_row_features(cleaned))
+        write_parquet(watched.select(*[safe_col(c) for c in cleaned.columns]), paths["processed"])
+        return {"ranges": ranges.get()}
 
-    write_parquet(quality_profile(processed), paths["profile"])
-    write_parquet(value_counts(processed), paths["value_counts"])
+    ranges = run.step("processed", clean)["ranges"]
+    processed = spark.read.parquet(paths["processed"])
+    write("profile", lambda: quality_profile(processed))
+    write("value_counts", lambda: value_counts(processed))
 
-    engineered = engineer_features(processed, categories=categories)
-    write_parquet(engineered, paths["features"], partition_by=partition_by)
-    # Read back with the frame's own types and order: a partition column would come back last, its type guessed.
-    feats = spark.read.schema(engineered.schema).parquet(paths["features"])
-    feats = feats.select(*[safe_col(c) for c in engineered.columns])
+    if wanted - {"processed", "profile", "value_counts"}:
+        found = run.step("categories", lambda: {"values": list(categories or distinct_categories(processed, GENDER))})
+        engineered = engineer_features(processed, categories=found["values"], ranges=ranges)
+        run.step("features", lambda: write_parquet(engineered, paths["features"], partition_by=partition_by))
+        # Read back with the frame's own types and order: a partition column would come back last, its type guessed.
+        feats = spark.read.schema(engineered.schema).parquet(paths["features"])
+        feats = feats.select(*[safe_col(c) for c in engineered.columns])
 
-    # The combined summaries are an intermediate: written under the shared checkpoint folder.
-    summaries_path = scratch_path(spark, "survey-summaries")
-    write_parquet(combined_summaries(feats), summaries_path)
-    for name, df in split_summaries(spark.read.parquet(summaries_path), SURVEY_SUMMARIES).items():
-        write_parquet(df, paths[name])
+    if wanted & set(_SUMMARIES):
+        combined = f"{run.folder}/_work/summaries"
+        run.step("summaries", lambda: write_parquet(combined_summaries(feats), combined))
+        for name, df in split_summaries(spark.read.parquet(combined), SURVEY_SUMMARIES).items():
+            write(name, lambda df=df: df)
 
-    # k(k-1)/2 rows for k columns: one file.
-    write_parquet(correlation_pairs(feats).coalesce(1), paths["correlation_matrix"])
-    pairs = spark.read.parquet(paths["correlation_matrix"])
-    write_parquet(strongest_with(pairs, DEPRESSION, 5), paths["depression_correlations"])
+    if wanted & {"correlation_matrix", "depression_correlations"}:
+        # k(k-1)/2 rows for k columns: one file.
+        run.step("correlation_matrix", lambda: write_parquet(correlation_pairs(feats).coalesce(1), paths["correlation_matrix"]))
+        write("depression_correlations", lambda: strongest_with(spark.read.parquet(paths["correlation_matrix"]), DEPRESSION, 5))
 
-    write_parquet(high_risk(feats), paths["high_risk"], partition_by=partition_by)
-    return paths
+    write("high_risk", lambda: high_risk(feats), partition_by=partition_by)
+    run.publish({name: OUTPUTS[name] for name in OUTPUTS if name in wanted})
+    return {name: paths[name] for name in OUTPUTS if name in wanted}

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +52,7 @@ def write_parquet(
     compression: str = "snappy",
     max_records_per_file: int | None = None,
     tasks_per_value: int | None = None,
+    rows_per_file: int | None = None,
 ) -> None:
     """Parquet sink; with ``partition_by`` one directory per value (null → default partition).
 
@@ -57,10 +60,17 @@ def write_parquet(
     its own file per value it holds, so a value holding a third of all rows is
     still written by many tasks in parallel.  With many tasks and values that
     makes many small files; ``tasks_per_value`` then deals each value's rows, by
-    a hash of the row, to so many tasks.  ``max_records_per_file`` caps file size.
+    a hash of the row, to so many tasks.  ``rows_per_file`` instead counts the
+    rows of each value first and deals a value to as many tasks as its rows need,
+    so a value with a third of all rows gives many files of like size and each
+    rare one a single file; no file has more rows.  ``max_records_per_file`` caps
+    file size.
     """
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
-    if cols and tasks_per_value:
+    if cols and rows_per_file:
+        df = _dealt_by_weight(df, cols, rows_per_file)
+        max_records_per_file = min(max_records_per_file or rows_per_file, rows_per_file)
+    elif cols and tasks_per_value:
         salt = F.pmod(F.xxhash64(*[safe_col(c) for c in df.columns]), F.lit(tasks_per_value))
         df = df.repartition(*[safe_col(c) for c in cols], salt)
     writer = df.write.mode(mode).option("compression", compression)
@@ -71,6 +81,30 @@ def write_parquet(
     writer.parquet(path)
 
 
+#: Values with rows for more than one file that may be broadcast; above it the counts are joined by a shuffle.
+_BROADCAST_VALUES = 100_000
+
+
+def _dealt_by_weight(df: DataFrame, cols: Sequence[str], rows_per_file: int) -> DataFrame:
+    """``df`` by value of ``cols`` and a salt whose range is in proportion to the value's rows.
+
+    Values of fewer rows than a file need no salt; those with more are at most
+    the rows divided by ``rows_per_file``.  The salt is a hash of the row, so a
+    task that runs again deals alike; rows equal in all columns stay together.
+    """
+    names = [f"__cohortlens_k{i}" for i in range(len(cols))]
+    counts = df.groupBy(*[safe_col(c).alias(n) for c, n in zip(cols, names)]).agg(F.count(F.lit(1)).alias("__cohortlens_n"))
+    heavy = materialize(counts.where(F.col("__cohortlens_n") > rows_per_file), "heavy-values")
+    if heavy.count() <= _BROADCAST_VALUES:
+        heavy = F.broadcast(heavy)
+    # A tenth more salts than full files, so chance rarely makes a file overflow into a small second one.
+    salts = F.coalesce(F.ceil(F.col("__cohortlens_n") * F.lit(1.1 / rows_per_file)), F.lit(1))
+    salt = F.pmod(F.xxhash64(*[safe_col(c) for c in df.columns]), salts)
+    match = [safe_col(c).eqNullSafe(F.col(n)) for c, n in zip(cols, names)]
+    salted = df.join(heavy, reduce(and_, match), "left").select(*[safe_col(c) for c in df.columns], salt.alias("__cohortlens_salt"))
+    return salted.repartition(*[safe_col(c) for c in cols], F.col("__cohortlens_salt")).drop("__cohortlens_salt")
+
+
 def write_outputs(outputs: Mapping[str, DataFrame], root: str, **kwargs) -> dict[str, str]:
     """Write several named results as ``<root>/<name>.parquet``; return name → path."""
     paths = {}

@@ -1,10 +1,14 @@
+import json
 import os
 import tempfile
 
+import pytest
+from pyspark.sql import functions as F
+
 from cohortlens.plans.survey_job import OUTPUTS, run_survey_job
 from cohortlens.schema import SURVEY_SCHEMA
-from cohortlens.sources import read_csv, read_survey, write_parquet
-from cohortlens.operators import clean_survey
+from cohortlens.operators import ObservedRanges, clean_survey, minmax_scale
+from cohortlens.sources import drop_old_runs, published, read_csv, read_survey, write_parquet
 from cohortlens.schema import safe_col
 from tests.conftest import COHORT, SMALL_SF, survey_rows
 
@@ -86,6 +90,92 @@ def test_survey_job_partitioned_outputs(spark):
     assert s1.exceptAll(s2).count() == 0 and s2.exceptAll(s1).count() == 0
 
 
+def test_stopped_job_shows_old_results_and_goes_on(spark, monkeypatch):
+    """A run that dies between two outputs changes nothing; the next one reads its finished steps and publishes."""
+    from cohortlens.plans import survey_job
+
+    root = tempfile.mkdtemp(prefix="cohortlens-job-stop-")
+    raw = survey_rows(spark, COHORT)
+    old = run_survey_job(raw, root)
+    assert published(spark, root) == old
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    more = raw.unionByName(raw.withColumn("id", safe_col("id") + 100))
+    with monkeypatch.context() as m:
+        m.setattr(survey_job, "correlation_pairs", fail)
+        with pytest.raises(RuntimeError):
+            run_survey_job(more, root, run_id="second")
+    assert published(spark, root) == old and spark.read.parquet(published(spark, root)["processed"]).count() == 6
+
+    with monkeypatch.context() as m:  # the finished steps are not done again
+        for name in ("clean_survey", "quality_profile", "value_counts", "combined_summaries", "distinct_categories"):
+            m.setattr(survey_job, name, fail)
+        new = run_survey_job(more, root, run_id="second")
+    assert published(spark, root) == new != old
+    assert {k: spark.read.parquet(p).count() for k, p in new.items()}["high_risk"] == 6
+    assert spark.read.parquet(new["features"]).count() == 12
+    flat = run_survey_job(more, tempfile.mkdtemp(prefix="cohortlens-job-flat-"))
+    for name, path in new.items():
+        a, b = (
+            df.select(*[F.round(safe_col(c), 9) if t == "double" else safe_col(c) for c, t in df.dtypes])
+            for df in (spark.read.parquet(path), spark.read.parquet(flat[name]))
+        )
+        assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0, name
+
+    first = old["processed"].split("/")[-2]
+    assert drop_old_runs(spark, root) == [first] and published(spark, root) == new
+    assert sorted(os.listdir(f"{root}/runs")) == ["second"]
+    with pytest.raises(FileNotFoundError):
+        published(spark, tempfile.mkdtemp(prefix="cohortlens-none-"))
+
+
+def test_job_runs_the_steps_that_are_wanted(spark):
+    root = tempfile.mkdtemp(prefix="cohortlens-job-some-")
+    paths = run_survey_job(survey_rows(spark, COHORT), root, outputs=["depression_correlations"])
+    assert list(paths) == ["depression_correlations"] and published(spark, root) == paths
+    steps = os.listdir(f"{root}/runs/{os.listdir(root + '/runs')[0]}/_steps")
+    done = {s.removesuffix(".json") for s in steps if not s.startswith(".")}
+    assert done == {"processed", "categories", "features", "correlation_matrix", "depression_correlations", "published"}
+    with pytest.raises(ValueError):
+        run_survey_job(survey_rows(spark, COHORT), root, outputs=["nothing"])
+
+
+def test_ranges_observed_while_writing(spark, tmp_path):
+    """Scaling by observed ranges gives what the extra pass gives, from one scan; also without rows, with nulls and NaN."""
+    rows = spark.range(100).selectExpr(
+        "id", "CAST(id % 7 AS DOUBLE) AS a", "CAST(NULL AS INT) AS b", "2 AS c", "CASE WHEN id = 3 THEN DOUBLE('NaN') ELSE id END AS d"
+    )
+    for k, df in enumerate((rows, rows.where("id < 0"))):
+        ranges = ObservedRanges(["a", "b", "c", "d"])
+        write_parquet(ranges.watch(df), str(tmp_path / f"t{k}"))
+        table = spark.read.parquet(str(tmp_path / f"t{k}"))
+        found = json.loads(json.dumps(ranges.get()))
+        one = minmax_scale(table, ["a", "b", "c", "d"], ranges=found)
+        two = minmax_scale(table, ["a", "b", "c", "d"])
+        assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+        plan = one._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "Subquery" not in plan and "Aggregate" not in plan
+
+
+def test_partitioned_write_by_weight(spark, tmp_path):
+    """A value with most of the rows gives files of like size, each of many rare ones and null a single file."""
+    df = spark.range(36_000).selectExpr(
+        "id", "CASE WHEN id < 30000 THEN 'hot' WHEN id % 200 = 7 THEN NULL ELSE concat('v', id % 200) END AS k", "id % 3 AS `k 2`"
+    )
+    write_parquet(df.repartition(9), str(tmp_path / "out"), partition_by="k", rows_per_file=2000)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == 36_000 and back.select("id").distinct().count() == 36_000
+    files = {d.name: [f for f in d.iterdir() if f.name.endswith(".parquet")] for d in (tmp_path / "out").iterdir() if d.is_dir()}
+    assert len(files) == 201 and all(len(f) == 1 for d, f in files.items() if d != "k=hot")
+    sizes = [spark.read.parquet(str(f)).count() for f in files["k=hot"]]
+    assert sum(sizes) == 30_000 and max(sizes) <= 2000 and 15 <= len(sizes) <= 24
+    write_parquet(df.limit(0), str(tmp_path / "none"), partition_by=["k", "k 2"], rows_per_file=10)
+    write_parquet(df, str(tmp_path / "two"), partition_by=["k", "k 2"], rows_per_file=1000)
+    assert spark.read.parquet(str(tmp_path / "two")).where("k = 'hot'").count() == 30_000
+
+
 def test_write_outputs_and_preview(spark):
     from cohortlens.sources import preview, write_outputs
 
