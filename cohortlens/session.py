@@ -36,6 +36,11 @@ def local_session(
     return spark
 
 
+def in_one_process(master: str) -> bool:
+    """Whether executors are threads of the driver, so that they share its files and import path."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (as the context resolved it).
 
@@ -48,7 +53,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
         if configured:
             sc.setCheckpointDir(configured)
-        elif sc.master.startswith("local"):
+        elif in_one_process(sc.master):
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="cohortlens-ckpt-"))
         else:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder before writing intermediate tables")
@@ -67,12 +72,16 @@ _shipped: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers.
 
-    Nothing to do where the repository is on PYTHONPATH or is the working
-    folder; otherwise its sources go to the executors through ``addPyFile``.
+    In local mode nothing is to do where the repository is on PYTHONPATH or is
+    the working folder.  Otherwise its sources go to the executors through
+    ``addPyFile``, once a session: on a cluster the driver's import path and
+    working folder say nothing about theirs.
     """
+    sc = spark.sparkContext
     on_path = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
-    app = spark.sparkContext.applicationId
-    if _ROOT in on_path or os.path.abspath(os.getcwd()) == _ROOT or app in _shipped:
+    here = _ROOT in on_path or os.path.abspath(os.getcwd()) == _ROOT
+    app = sc.applicationId
+    if in_one_process(sc.master) and here or app in _shipped:
         return
     archive = os.path.join(tempfile.mkdtemp(prefix="cohortlens-src-"), "cohortlens_src.zip")
     with zipfile.ZipFile(archive, "w") as z:
@@ -81,5 +90,5 @@ def ship_package(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     path = os.path.join(folder, name)
                     z.write(path, os.path.relpath(path, _ROOT))
-    spark.sparkContext.addPyFile(archive)
+    sc.addPyFile(archive)
     _shipped.add(app)

@@ -206,3 +206,22 @@ def test_partitioned_write_with_few_files(spark):
     assert spark.read.parquet(tmp + "/out").count() == 4000
     for d in (f"{tmp}/out/k={k}" for k in range(3)):
         assert 1 <= len([f for f in os.listdir(d) if f.endswith(".parquet")]) <= 2
+
+
+@pytest.mark.parametrize("master, ships", [("local[4]", False), ("local", False), ("local-cluster[2,1,512]", True), ("spark://host:7077", True), ("yarn", True)])
+def test_package_goes_to_executors_of_a_cluster(monkeypatch, master, ships):
+    """Also when the driver runs in the repository's folder; once a session."""
+    from types import SimpleNamespace
+
+    from cohortlens import session
+
+    sent = []
+    context = SimpleNamespace(master=master, applicationId=f"app-{master}", addPyFile=sent.append)
+    monkeypatch.chdir(session._ROOT)
+    for _ in range(2):
+        session.ship_package(SimpleNamespace(sparkContext=context))
+    assert len(sent) == int(ships)
+    if ships:
+        import zipfile
+
+        assert "cohortlens/operators/correlate.py" in zipfile.ZipFile(sent[0]).namelist()
