@@ -12,6 +12,10 @@ most half of one document, whatever the sizes.  The cut is found from words per
 (source, order bucket), then per bucket of the one bucket a source that holds it,
 and then inside one of those, so no source is ever sorted as a whole; the
 decision about a row is local and rows are not shuffled.
+
+Rows may share a draw: equal ids, or equal texts without id.  Where the fraction
+ends inside such a group, its rows alone are written, numbered task by task, and
+taken one by one up to the fraction.
 """
 
 from __future__ import annotations
@@ -92,7 +96,11 @@ def _draw(seed: int, id_col: Column, text: Column) -> Column:
 
 
 def sampling_cuts(sizes: DataFrame, targets: DataFrame, n_sources: int) -> DataFrame:
-    """(source, whole, cut): every row is taken ``whole`` times, and once more where its draw is at most ``cut``."""
+    """(source, whole, cut, tie, need): every row is taken ``whole`` times, and once more where its draw is at most ``cut``.
+
+    Where the fraction ends among several rows of one draw, that draw is ``tie``
+    (above the cut) and ``need`` the words still to be taken from its rows.
+    """
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     want = targets.select(
         "source",
@@ -121,9 +129,11 @@ def sampling_cuts(sizes: DataFrame, targets: DataFrame, n_sources: int) -> DataF
             .select(F.col("source").alias("s"), "low", "before", "extra"),
             "mix-edges",
         )
-    inside = within(width).groupBy("source", "draw", "before", "extra").agg(F.sum("size").alias("words"))
+    inside = within(width).groupBy("source", "draw", "before", "extra").agg(
+        F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")
+    )
     along = Window.partitionBy("source").orderBy("draw").rowsBetween(Window.unboundedPreceding, 0)
-    # Prefixes of the order: all before the bucket (cut just below it), or up to one of its rows.
+    # Prefixes of the order: all before the bucket (cut just below it), or up to one of its draws.
     steps = inside.withColumn("taken", F.col("before") + F.sum("words").over(along))
     start = edge.select(
         F.col("s").alias("source"),
@@ -131,18 +141,45 @@ def sampling_cuts(sizes: DataFrame, targets: DataFrame, n_sources: int) -> DataF
         F.col("before").alias("taken"),
         "extra",
     )
+    ends_inside = (F.col("n") > 1) & (F.col("taken") > F.col("extra")) & (F.col("taken") - F.col("words") <= F.col("extra"))
+    tie = F.when(ends_inside, F.struct("draw", (F.col("extra") - F.col("taken") + F.col("words")).alias("need")))
     cuts = (
-        steps.select("source", "draw", "taken", "extra")
-        .unionByName(start)
+        steps.select("source", "draw", "taken", "extra", tie.alias("tie"))
+        .unionByName(start.withColumn("tie", F.lit(None).cast("struct<draw:bigint,need:double>")))
         .groupBy("source")
-        .agg(F.min(F.struct(F.abs(F.col("taken") - F.col("extra")).alias("miss"), "draw")).alias("best"))
-        .select(F.col("source").alias("s"), F.col("best.draw").alias("cut"))
+        .agg(F.min(F.struct(F.abs(F.col("taken") - F.col("extra")).alias("miss"), "draw")).alias("best"), F.max("tie").alias("tie"))
+        .select(F.col("source").alias("s"), F.coalesce(F.col("tie.draw") - 1, F.col("best.draw")).alias("cut"), "tie")
     )
     return want.join(cuts, same(F.col("source"), F.col("s")), "left").select(
-        "source", "whole", F.coalesce("cut", F.lit(-1)).alias("cut")
+        "source",
+        "whole",
+        # Nothing is left over: no row is taken once more, empty ones neither.
+        F.when(F.col("extra") > 0, F.coalesce("cut", F.lit(-1))).otherwise(-1).alias("cut"),
+        F.when(F.col("extra") > 0, F.col("tie.draw")).alias("tie"),
+        F.when(F.col("extra") > 0, F.col("tie.need")).alias("need"),
     )
 
 
+def _split_ties(tied: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` of the rows of a source's tie, with ``once``: 1 for those that the fraction takes, one after the other.
+
+    Rows are numbered within the task that wrote them; before a task come the
+    words of the tasks before it, one row a source and task.
+    """
+    held = stage(
+        tied.withColumns({"task": F.spark_partition_id(), "row": F.monotonically_increasing_id()}), "mix-ties"
+    )
+    words = held.groupBy("source", "task").agg(F.sum("size").alias("words"))
+    earlier = Window.partitionBy("source").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stage(words.select(F.col("source").alias("s"), F.col("task").alias("t"), F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset")), "mix-offsets")
+    within = Window.partitionBy("source", "task").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = held.withColumn("ahead", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    match = same(F.col("source"), F.col("s")) & (F.col("task") == F.col("t"))
+    joined = numbered.join(bounded_broadcast(offsets, offsets.count()), match)
+    nearer = F.col("offset") + F.col("ahead") + F.col("size") / 2 < F.col("need")
+    return joined.select(*keep, F.when(nearer, 1).otherwise(0).alias("once"))
+
+
 def mix_sources(
     docs: DataFrame,
     weights: DataFrame | None = None,
@@ -157,10 +194,12 @@ def mix_sources(
 
     ``carry`` names the columns to return (default: all); outputs replace input
     columns of the same names.  A null text or one without words has size 0; a
-    null source is a source of its own.  Rows with equal id share their draw,
-    so ties are taken together; rows without id draw by their text.  An empty
-    table gives an empty result.  Reruns give the same result.  ``repeat_rows``
-    turns copies into rows.
+    null source is a source of its own.  Rows with equal id share their draw, rows
+    without id draw by their text; where the fraction ends among rows of one draw,
+    as many of them are taken as come nearest to it (which, is settled by their
+    order in the input).  No row has more than ``max_epochs`` copies, rounded up.
+    An empty table gives an empty result.  Reruns give the same result.
+    ``repeat_rows`` turns copies into rows.
     """
     text = safe_col(text_col).cast("string")
     sizes = stage(
@@ -176,7 +215,7 @@ def mix_sources(
     cuts = sampling_cuts(sizes, targets, n_sources)
     plan = stage(
         targets.join(cuts.withColumnRenamed("source", "s"), same(F.col("source"), F.col("s"))).select(
-            F.col("source").alias("src"), "source_size", "target", "whole", "cut"
+            F.col("source").alias("src"), "source_size", "target", "whole", "cut", "tie", "need"
         ),
         "mix-plan",
     )
@@ -188,8 +227,16 @@ def mix_sources(
         word_count(text).alias("size"),
         _draw(seed, safe_col(id_col), text).alias("draw"),
     )
-    copies = (F.col("whole") + F.when(F.col("draw") <= F.col("cut"), 1).otherwise(0)).cast("int")
-    return rows.join(bounded_broadcast(plan, n_sources), same(F.col("source"), F.col("src"))).select(
+    planned = rows.join(bounded_broadcast(plan, n_sources), same(F.col("source"), F.col("src")))
+    keep = [*names, "size", "source_size", "target", "whole"]
+    once = F.when(F.col("draw") <= F.col("cut"), 1).otherwise(0)
+    if plan.filter("tie is not null").isEmpty():
+        counted = planned.select(*keep, once.alias("once"))
+    else:
+        tied = F.coalesce(F.col("draw") == F.col("tie"), F.lit(False))
+        counted = planned.filter(~tied).select(*keep, once.alias("once")).unionByName(_split_ties(planned.filter(tied), keep))
+    copies = F.least(F.col("whole") + F.col("once"), F.ceil(F.lit(float(max_epochs)))).cast("int")
+    return counted.select(
         *[F.col(n).alias(c) for n, c in zip(names, carried)],
         "size",
         "source_size",
@@ -200,7 +247,10 @@ def mix_sources(
 
 
 def repeat_rows(mixed: DataFrame) -> DataFrame:
-    """The mix itself: every row as often as ``copies`` says, without the operator's columns."""
+    """The mix itself: every row as often as ``copies`` says, without the operator's columns; no rows give none.
+
+    Rows of null and empty texts are repeated like others.
+    """
     kept = without(mixed, OUTPUTS).columns
     rows = mixed.select(
         *[safe_col(c).alias(f"c{i}") for i, c in enumerate(kept)],

@@ -54,6 +54,29 @@ def test_water_filling_and_nearness(spark, monkeypatch, buckets, levels):
     assert repeated.columns == docs.columns and repeated.count() == sum(r.copies for r in got)
 
 
+@pytest.mark.parametrize("seed", [3])
+def test_mixing_of_rows_that_share_a_draw(spark, seed):
+    """A third of a source in copies without id, another with one id only: each target is met to half a document."""
+    rows = [(None, "w " * 10, "a")] * 300 + [(i, "w " * (1 + i % 19), "a") for i in range(600)]
+    rows += [(7, "w " * (1 + i % 5), "b") for i in range(500)] + [(None, "", "a")] * 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    weights = spark.createDataFrame([("a", 7.0), ("b", 0.9)], "source string, weight double")
+    got = mixing.mix_sources(docs, weights, seed=seed).collect()
+    for source, longest in (("a", 19), ("b", 5)):
+        mine = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= longest / 2
+    assert len(got) == len(rows) and pairs(mixing.mix_sources(docs, weights, seed=seed)) == pairs(mixing.mix_sources(docs, weights, seed=seed))
+
+
+@pytest.mark.parametrize("seed", [18])
+def test_copies_never_exceed_the_epochs(spark, seed):
+    rows = [(i, "" if i % 3 else "w", "small") for i in range(60)] + [(i, "w " * 9, "big") for i in range(100, 160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    weights = spark.createDataFrame([("small", 50.0), ("big", 1.0)], "source string, weight double")
+    got = mixing.mix_sources(docs, weights, seed=seed).collect()
+    assert {r.copies for r in got if r.source == "small"} == {3} and max(r.copies for r in got) == 3
+
+
 def test_mixing_odd(odd_docs, no_docs):
     got = mixing.mix_sources(clash(odd_docs, "size", "Target"))
     assert got.count() == 13 and got.columns == [*odd_docs.columns, "size", "source_size", "target", "copies", "taken"]
