@@ -5,9 +5,10 @@ hashed into BUCKETS buckets, counted over all training texts.
 
 A document is a mixture of languages.  Expectation-maximisation estimates the
 mixture's proportions from the likelihoods of the document's trigrams.  Then
-nested sets of its likeliest languages are fitted anew, and the set with the
-largest log-likelihood less a penalty for each language beyond the first is the
-document's; its largest language is the prediction, its share the score.
+nested sets of its likeliest languages are fitted anew, one more language at a
+time, as long as the log-likelihood less a penalty for each language beyond the
+first rises; the last set that raised it is the document's, its largest language
+the prediction, its share the score.
 """
 
 from __future__ import annotations
@@ -33,8 +34,6 @@ HELD_LANGUAGES = 64
 CELLS = 1 << 22
 SMOOTHING = 0.05
 ROUNDS, SET_ROUNDS = 10, 5
-#: A language with less than this share of the first fit is no candidate for the set.
-MIN_SHARE = 0.02
 #: Penalty for a language, in halves of the log of the number of trigrams.
 PENALTY = 6.0
 UNDETERMINED = "und"
@@ -129,24 +128,19 @@ class LanguageModel:
         n, k = len(grams), len(self.languages)
         full, _ = self._fit(self._entries(grams), np.full((n, k), 1.0 / k), ROUNDS)
         rank = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1)
-        candidates = np.maximum(1, (full >= MIN_SHARE).sum(1))
         best = (rank == 0).astype(float)
-        mixed = np.flatnonzero(candidates > 1)
-        if not len(mixed):
-            return best
-        # Texts with several candidates: compare the nested sets of 1, 2, ... languages.
-        some = [grams[i] for i in mixed]
-        entries = self._entries(some)
-        penalty = PENALTY * 0.5 * np.log1p([c.sum() for _, c in some])
-        top = np.full(len(mixed), -np.inf)
-        for size in range(1, candidates.max() + 1):
-            start = np.where(rank[mixed] < size, np.maximum(full[mixed], 1e-9), 0.0)
+        penalty = PENALTY * 0.5 * np.log1p([c.sum() for _, c in grams])
+        _, top = self._fit(self._entries(grams), best, 1)
+        live, size = np.arange(n), 2  # texts whose set still grows
+        while len(live) and size <= k:
+            start = np.where(rank[live] < size, np.maximum(full[live], 1e-9), 0.0)
             start /= start.sum(1, keepdims=True)
-            found, fit = self._fit(entries, start, SET_ROUNDS if size > 1 else 1)
-            value = fit - penalty * (size - 1)
-            better = (value > top) & (size <= candidates[mixed])
-            top = np.where(better, value, top)
-            best[mixed[better]] = found[better]
+            found, fit = self._fit(self._entries([grams[i] for i in live]), start, SET_ROUNDS)
+            value = fit - penalty[live] * (size - 1)
+            better = value > top[live]
+            live = live[better]
+            top[live], best[live] = value[better], found[better]
+            size += 1
         return best
 
 

@@ -17,17 +17,21 @@ from __future__ import annotations
 import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import add_columns, documents, pick, ship_package
+from cohortlens.llm.common import add_columns, documents, pick, same, ship_package
 from cohortlens.llm.pieces import BLOCK
 from cohortlens.schema import safe_col
 
 FIT_DOCS = 4_000
+#: Lines of all documents of the fit together.
+FIT_LINES = 250_000
 FIT_ROUNDS = 120
 LEARNING_RATE = 0.1
 #: Weight decay of the line weights and of the transition weights.
@@ -259,33 +263,59 @@ def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for text, label in zip(*[c.to_pylist() for c in batch.columns]):
+        for place, text, label in zip(*[c.to_pylist() for c in batch.columns]):
             bins, length, _ = line_features([text or ""])
             yield pa.RecordBatch.from_arrays(
                 [
+                    pa.array([place], pa.int32()),
                     pa.array([label], pa.int32()),
                     pa.array([bins.tobytes()], pa.binary()),
                     pa.array([length.astype(np.float32).tobytes()], pa.binary()),
                 ],
-                ["label", "bins", "length"],
+                ["place", "label", "bins", "length"],
             )
 
 
+_ROW = ["draw", "id", "digest", "label"]
+
+
+def _drawn(rows: DataFrame) -> DataFrame:
+    """The rows (place, text, label) to learn from: at most FIT_DOCS, with at most FIT_LINES lines in all.
+
+    Rows are taken by a hash of the id, then the id and a hash of the text, those
+    left out whose lines would be too many; repeated rows count once.  So reruns,
+    and other partitionings, learn from the same rows in the same order.
+    """
+    spark = rows.sparkSession
+    text = F.coalesce(F.col("text"), F.lit(""))
+    keyed = rows.select(
+        F.xxhash64(F.lit("fit"), "id").alias("draw"), F.col("id").cast("string").alias("id"), F.xxhash64(text).alias("digest"), "label", "text"
+    )
+    lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    first = keyed.select(*_ROW, lines.alias("lines")).distinct().orderBy(*_ROW).limit(FIT_DOCS).collect()
+    chosen, left = [], FIT_LINES
+    for r in first:
+        if r.lines <= left:
+            left -= r.lines
+            chosen.append((len(chosen), *[r[c] for c in _ROW]))
+    named = spark.createDataFrame(chosen, "place int, draw_ bigint, id_ string, digest_ bigint, label_ int")
+    match = reduce(and_, [same(F.col(c), F.col(f"{c}_")) for c in _ROW])
+    return keyed.join(F.broadcast(named), match).dropDuplicates(["place"]).select("place", "text", "label")
+
+
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> LineCrf:
-    """Chain fitted on at most FIT_DOCS of the labelled rows (label 0 or 1; others are left out).
+    """Chain fitted on the labelled rows (label 0 or 1; others are left out), at most FIT_DOCS of them and FIT_LINES lines.
 
-    Without labelled rows every text scores 0.5; with labels of one kind only,
-    every text scores near that label.
+    The bound makes the fit a small job of the driver, which gets the line
+    features alone (some 30 bytes a line).  Without labelled rows every text
+    scores 0.5; with labels of one kind only, every text scores near that label.
     """
     ship_package(labelled.sparkSession)
     rows = labelled.select(
         safe_col(id_col).alias("id"), safe_col(text_col).cast("string").alias("text"), safe_col(label_col).cast("int").alias("label")
     ).filter("label in (0, 1)")
-    n = rows.count()
-    share = min(1.0, 1.2 * FIT_DOCS / max(1, n))
-    draw = F.pmod(F.xxhash64(F.lit("fit"), "id"), F.lit(1 << 20))
-    sample = rows.filter(draw < F.lit(round(share * (1 << 20)))).select("text", "label").limit(FIT_DOCS)
-    found = sample.mapInArrow(_feature_rows, "label int, bins binary, length binary").collect()
+    found = _drawn(rows).mapInArrow(_feature_rows, "place int, label int, bins binary, length binary").collect()
+    found.sort(key=lambda r: r.place)
     label = np.array([r.label for r in found], int)
     prior = float((label.sum() + 1) / (len(label) + 2))
     bins = [np.frombuffer(r.bins, np.uint8).reshape(-1, FEATURES) for r in found]

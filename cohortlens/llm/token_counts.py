@@ -2,9 +2,9 @@
 
 Tier one is a table of the most frequent pieces (white space and the word after
 it, so one or a few pre-tokens) and their token counts, at most TABLE_ENTRIES of
-at most PIECE_CHARS characters; that bounds what is broadcast.  The table is
-taken from a bounded sample of documents: it only decides how fast a piece is
-found, never its count.  Tier two is a bounded cache in each Python worker;
+at most PIECE_CHARS characters; that bounds what is broadcast.  The pieces are
+counted in a random sample of about SAMPLE_DOCS whole documents from all parts of
+the table: it only decides how fast a piece is found, never its count.  Tier two is a bounded cache in each Python worker;
 pieces in neither are encoded by the tokenizer library, a batch's together.  All
 of it happens where the row is: no piece is ever shuffled.
 """
@@ -29,7 +29,7 @@ from cohortlens.schema import safe_col
 
 TABLE_ENTRIES = 65_536
 PIECE_CHARS = 32
-#: Documents looked at for the table of frequent pieces.
+#: Documents looked at for the table of frequent pieces, on average.
 SAMPLE_DOCS = 4_096
 CACHE_ENTRIES = 300_000
 TOKEN_LIMIT = 512
@@ -56,29 +56,26 @@ def check_spec(spec: str) -> None:
         raise ValueError("needs a byte-level tokenizer without normalizer whose added tokens hold no white space")
 
 
-def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _piece_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
     for batch in batches:
         for text in batch.column(0).to_pylist():
             for block in blocks(text or ""):
-                counts.update(p for p in pieces(block) or [] if len(p) <= PIECE_CHARS)
-            if len(counts) > 8 * TABLE_ENTRIES:
-                counts = Counter(dict(counts.most_common(4 * TABLE_ENTRIES)))
-    top = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:TABLE_ENTRIES]
-    yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in top], pa.string())], ["piece"])
+                counts.update(p for p in pieces(block) or [] if len(p) <= PIECE_CHARS and "\0" not in p)
+    yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["piece", "n"])
 
 
 def frequent_lengths(texts: DataFrame, spec: str) -> tuple[str, bytes]:
     """Compact table of the frequent pieces: the pieces joined by NUL, and their token counts as 16-bit integers.
 
-    ``texts`` has one string column.  At most TABLE_ENTRIES pieces of a sample
-    of about SAMPLE_DOCS documents, counted in one task.
+    ``texts`` has one string column.  The TABLE_ENTRIES most frequent pieces of
+    a sample of about SAMPLE_DOCS documents: every row is drawn by itself, so all
+    files count alike; counts are summed in the tasks first.
     """
-    n = texts.count()
-    share = min(1.0, 2.0 * SAMPLE_DOCS / max(1, n))
-    sample = texts.sample(fraction=share, seed=7).limit(SAMPLE_DOCS)
-    rows = sample.mapInArrow(_frequent, "piece string").collect()  # at most TABLE_ENTRIES a task, one task
-    found = sorted({r.piece for r in rows if "\0" not in r.piece})[: 2 * TABLE_ENTRIES]
+    share = min(1.0, SAMPLE_DOCS / max(1, texts.count()))
+    counts = texts.sample(fraction=share, seed=7).mapInArrow(_piece_counts, "piece string, n bigint")
+    top = counts.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "piece").limit(TABLE_ENTRIES)
+    found = sorted(r.piece for r in top.select("piece").collect())
     return "\0".join(found), np.array(_lengths(_tokenizer(spec), found), np.uint16).tobytes()
 
 

@@ -123,6 +123,46 @@ def test_every_language_is_kept(spark, monkeypatch):
         langid.fit(docs)
 
 
+def test_mixture_and_set_against_plain_loops(spark):
+    """EM text by text in plain Python, and the penalised likelihood of every subset of four languages."""
+    from itertools import combinations
+
+    docs = small(spark)
+    model = langid.fit(docs)
+    by_lang = {r.lang: r.text for r in docs.filter("n_chars > 3000").orderBy("doc_id").collect()}
+    names = sorted(by_lang)
+    assert len(names) == 4 == len(model.languages)
+    held = [" ".join(by_lang[names[i]][:n] for i, n in parts) for parts in [[(0, 900)], [(0, 800), (1, 400)], [(2, 300), (3, 900)], [(0, 600), (1, 500), (2, 500)], [(1, 3000), (3, 45)], [(3, 40)]]]
+    grams = langid._counted(held)
+    table = np.full((4, langid.BUCKETS), 0.0) + model.least[:, None]
+    for b in range(langid.BUCKETS):
+        at = slice(model.edges[b], model.edges[b + 1])
+        table[model.lang[at], b] += model.more[at]
+
+    def em(buckets, counts, start, rounds):
+        shares = np.array(start)
+        for _ in range(rounds):
+            mix = [sum(shares[k] * table[k, b] for k in range(4)) for b in buckets]
+            fit = sum(c * np.log(m) for c, m in zip(counts, mix))
+            shares = np.array([sum(c * shares[k] * table[k, b] / m for b, c, m in zip(buckets, counts, mix)) for k in range(4)]) / sum(counts)
+        return shares, fit
+
+    got = model.shares(grams)
+    for (buckets, counts), row in zip(grams, got):
+        full, _ = em(buckets, counts, [0.25] * 4, langid.ROUNDS)
+        penalty = langid.PENALTY * 0.5 * np.log1p(counts.sum())
+        values = {}
+        for size in range(1, 5):
+            for some in combinations(range(4), size):
+                start = np.array([max(full[k], 1e-9) if k in some else 0.0 for k in range(4)])
+                found, fit = em(buckets, counts, start / start.sum(), langid.SET_ROUNDS if size > 1 else 1)
+                values[some] = (fit - penalty * (size - 1), found)
+        best = max(values, key=lambda s: values[s][0])
+        assert tuple(np.flatnonzero(row)) == best
+        assert row == pytest.approx(values[best][1] if len(best) > 1 else (np.arange(4) == best[0]).astype(float), abs=1e-9)
+    assert np.count_nonzero(got, 1).tolist()[:4] == [1, 2, 2, 3]
+
+
 def test_language_odd(odd_docs, no_docs):
     model = langid.fit(odd_docs)
     got = {r.doc_id: r for r in langid.identify(clash(odd_docs, "score"), model).collect()}
@@ -259,6 +299,19 @@ def test_long_texts_have_the_same_features(monkeypatch):
         assert np.array_equal(a, b)
 
 
+def test_quality_fit_does_not_depend_on_order(spark, monkeypatch):
+    """More labelled rows than the bounds, repeated ids and rows: the same fit from any partitioning."""
+    monkeypatch.setattr(line_crf, "FIT_DOCS", 40)
+    monkeypatch.setattr(line_crf, "FIT_LINES", 60)
+    rows = [(i % 70, "\n".join(f"line {j} of {i % 90}!" * (1 + i % 3) for j in range(i % 5 + 1)), i % 2) for i in range(300)]
+    docs = spark.createDataFrame(rows + rows[:50] + [(None, "a\nb", 1)] * 30, "doc_id int, text string, quality int")
+    fits = [line_crf.fit(docs.repartition(n)) for n in (1, 7)]
+    assert all(np.array_equal(getattr(fits[0], f), getattr(fits[1], f)) for f in vars(fits[0]))
+    drawn = line_crf._drawn(docs.select(F.col("doc_id").alias("id"), "text", F.col("quality").alias("label"))).collect()
+    assert 20 < len(drawn) <= 40 and sum(r.text.count("\n") + 1 for r in drawn) <= 60
+    assert sorted(r.place for r in drawn) == list(range(len(drawn))) and len({(r.text, r.label) for r in drawn}) > 10
+
+
 def test_quality_odd(spark, odd_docs, no_docs):
     crf = line_crf.fit(odd_docs.withColumn("quality", (F.col("doc_id") % 2).cast("int")))
     rows = line_crf.score(clash(odd_docs, "score"), crf).collect()
@@ -436,6 +489,26 @@ def test_three_ways_of_merging_agree():
         assert model.merge_short(w) == model.merge_long(w) == np.frombuffer(many[w], np.int32).tolist()
 
 
+def test_token_queries_against_the_library(spark):
+    t = library()
+    counted = {r.doc_id: r for r in token_counts.op7_token_counts(spark, SMALL_SF).collect()}
+    encoded = {r.doc_id: r for r in bpe.op9_bpe(spark, SMALL_SF).collect()}
+    docs = texts(spark)
+    assert set(counted) == set(encoded) == set(docs)
+    for d, text in docs.items():
+        ids = t.encode(text or "", add_special_tokens=False).ids
+        assert tuple(counted[d])[1:] == (len((text or "").encode()), len(ids), len(ids) > 512)
+        back = t.decode(ids, skip_special_tokens=False)
+        sha = [hashlib.sha256(x.encode()).hexdigest() for x in (",".join(map(str, ids)), back)]
+        assert (encoded[d].n_tokens, encoded[d].ids_sha256, encoded[d].decoded_sha256) == (len(ids), *sha)
+
+
+def test_frequent_pieces_come_from_all_files(spark):
+    docs = spark.range(40_000).selectExpr("concat('w', id DIV 10000, ' word rare', id) AS text").repartitionByRange(8, "text")
+    found = token_counts.frequent_lengths(docs, bpe.tokenizer_spec())[0].split("\0")
+    assert {"w0", "w1", "w2", "w3", " word"} <= set(found)
+
+
 def test_tokens_odd(odd_docs, no_docs):
     t = library()
     rows = bpe.encode_decode(clash(odd_docs, "ids", "Decoded")).collect()
