@@ -47,7 +47,7 @@ from cohortlens.plans import edge_views as E
 from cohortlens.plans.survey_job import run_survey_job
 from cohortlens.schema import ALL_NUMERIC, safe_col
 from cohortlens.session import scratch_path
-from cohortlens.sources import materialize, preview, published, read_csv, read_survey, write_csv, write_parquet
+from cohortlens.sources import materialize, preview, published, read_csv, read_csv_inferred, read_survey, write_csv, write_parquet
 
 DIGITS = 9
 # Profile statistics cover columns up to ~1e6 in magnitude (ids), where
@@ -228,7 +228,7 @@ def q_csv_declared(spark, sf_dir):
 def q_csv_inferred(spark, sf_dir):
     path = scratch_path(spark, "survey-csv")
     write_csv(survey(spark, sf_dir), path)
-    return read_csv(spark, path, schema=None)
+    return read_csv_inferred(spark, path, f"{path}-schema/columns.json")
 
 
 def q_parquet_roundtrip(spark, sf_dir):

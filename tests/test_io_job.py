@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortlens.plans.survey_job import OUTPUTS, run_survey_job
 from cohortlens.schema import SURVEY_SCHEMA
 from cohortlens.operators import ObservedRanges, clean_survey, minmax_scale
-from cohortlens.sources import drop_old_runs, published, read_csv, read_survey, write_parquet
+from cohortlens.sources import drop_old_runs, published, read_csv, read_csv_inferred, read_survey, write_parquet
 from cohortlens.schema import safe_col
 from tests.conftest import COHORT, SMALL_SF, survey_rows
 
@@ -42,6 +42,28 @@ def test_csv_declared_and_inferred(spark):
     assert (dict(inferred.dtypes)["id"], dict(inferred.dtypes)["Age"]) == ("int", "string")
 
 
+def test_inferred_schema_is_kept(spark, tmp_path):
+    """More data keeps the stored types, or raises by column name; nulls and narrower values fit."""
+    stored = str(tmp_path / "schema" / "columns.json")
+
+    def read(*lines):
+        path = tmp_path / f"{abs(hash(lines))}.csv"
+        path.write_text("\n".join(["id,when,x", *lines]) + "\n")
+        return read_csv_inferred(spark, str(path), stored)
+
+    first = read("1,2020-01-01,1.5", "2,2020-01-02,2")
+    kinds = first.dtypes
+    assert kinds == [("id", "int"), ("when", "date"), ("x", "double")]
+    assert read("7,,3", "8,,4").dtypes == kinds and read(",,", "3,2021-05-05,").dtypes == kinds  # x looks like an int, then like text
+    assert [r.x for r in read("7,,3").collect()] == [3.0]
+    with pytest.raises(ValueError, match=r"id \(1 not int\), x \(2 not double\)"):
+        read("5000000000,2020-01-01,a", "6,2020-01-01,b", "7,2020-01-01,1")
+    other = tmp_path / "other.csv"
+    other.write_text("id,x\n1,2\n")
+    with pytest.raises(ValueError, match="not the stored ones"):
+        read_csv_inferred(spark, str(other), stored)
+
+
 def test_large_ids_survive_csv(spark, monkeypatch):
     """The declared-CSV query keeps ids that need a bigint."""
     from cohortlens.plans import catalog
