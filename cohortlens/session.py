@@ -60,9 +60,29 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_scratch: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder for an intermediate table."""
-    return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete all intermediate tables this session has made so far; returns how many there were.
+
+    Results are lazy and read them: call this when what they were made for has
+    been written.  Tables of other sessions in the same folder stay.
+    """
+    sc = spark.sparkContext
+    paths = _scratch.pop(sc.applicationId, [])
+    dropped = 0
+    for path in paths:
+        where = sc._jvm.org.apache.hadoop.fs.Path(path)
+        dropped += where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+    return dropped
 
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -247,3 +247,18 @@ def test_package_goes_to_executors_of_a_cluster(monkeypatch, master, ships):
         import zipfile
 
         assert "cohortlens/operators/correlate.py" in zipfile.ZipFile(sent[0]).namelist()
+
+
+def test_scratch_tables_can_be_dropped(spark, monkeypatch):
+    """Only those of this session, and only what it made; others in the folder stay."""
+    from cohortlens import session
+    from cohortlens.sources import materialize
+
+    monkeypatch.setattr(session, "_scratch", {})
+    root = session.checkpoint_root(spark).removeprefix("file:")
+    write_parquet(spark.range(3), f"{root}/not-ours")
+    table = materialize(spark.range(5), "some")
+    assert table.count() == 5 and [d for d in os.listdir(root) if d.startswith("some-")]
+    session.scratch_path(spark, "never-written")
+    assert session.drop_scratch(spark) == 1 and session.drop_scratch(spark) == 0
+    assert not [d for d in os.listdir(root) if d.startswith("some-")] and "not-ours" in os.listdir(root)
