@@ -13,6 +13,7 @@ from cohortlens.operators.features import (
     one_hot,
 )
 from cohortlens.operators.flags import count_rows, high_risk, risk_rules, with_risk_reasons
+from cohortlens.operators.indicators import category_index, sparse_one_hot, top_values
 from cohortlens.operators.profile import describe_numeric, null_counts, quality_profile, value_counts
 from cohortlens.operators.summaries import (
     aggregations,
@@ -29,6 +30,7 @@ __all__ = [
     "ObservedRanges",
     "add_row_features",
     "aggregations",
+    "category_index",
     "cgpa_by_sleep",
     "city_degree_stats",
     "clean_survey",
@@ -53,9 +55,11 @@ __all__ = [
     "quality_profile",
     "risk_rules",
     "sleep_performance",
+    "sparse_one_hot",
     "strongest_with",
     "stress_by_demographics",
     "summarize",
+    "top_values",
     "value_counts",
     "with_risk_reasons",
 ]

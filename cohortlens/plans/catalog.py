@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from cohortlens import schema as S
 from cohortlens.operators import (
     add_row_features,
+    category_index,
     cgpa_by_sleep,
     city_degree_stats,
     clean_survey,
@@ -35,8 +36,10 @@ from cohortlens.operators import (
     parse_once,
     quality_profile,
     sleep_performance,
+    sparse_one_hot,
     strongest_with,
     stress_by_demographics,
+    top_values,
     value_counts,
     with_risk_reasons,
 )
@@ -266,6 +269,24 @@ def q_minmax_constant(spark, sf_dir):
     return out.select("id", *[f"{c}_normalized" for c in E.RANGES])
 
 
+def _categories(spark, sf_dir):
+    return E.view(lineitem(spark, sf_dir), E.CATEGORIES)
+
+
+def q_category_index(spark, sf_dir):
+    return category_index(_categories(spark, sf_dir), list(E.CATEGORIES))
+
+
+def q_one_hot_sparse(spark, sf_dir):
+    out = sparse_one_hot(_categories(spark, sf_dir), list(E.CATEGORIES))
+    places = F.array_join(F.col("indicators.indices").cast("array<string>"), ",")
+    return out.select("id", F.col("indicators.size").alias("n_categories"), places.alias("places"))
+
+
+def q_top_values(spark, sf_dir):
+    return top_values(_categories(spark, sf_dir), 7, list(E.CATEGORIES))
+
+
 def _job_rows(spark: SparkSession, paths: dict[str, str]) -> list[DataFrame]:
     """The job's outputs as rows (output, key1, key2, value1, value2)."""
     read = {name: spark.read.parquet(path) for name, path in paths.items()}
@@ -343,6 +364,9 @@ QUERIES: dict[str, Query] = {
     "corr_constant": q_corr_constant,
     "corr_pairwise_masked": q_corr_pairwise_masked,
     "minmax_constant": q_minmax_constant,
+    "category_index": q_category_index,
+    "one_hot_sparse": q_one_hot_sparse,
+    "top_values": q_top_values,
     "job_results": q_job_results,
     "job_features_partitioned": q_job_features_partitioned,
 }

@@ -63,6 +63,12 @@ RANGES = {
     "not_number": f"CASE WHEN l_linenumber = 3 THEN {NAN} ELSE CAST(l_quantity AS DOUBLE) END",
     "wide": "CAST(CASE l_linenumber WHEN 1 THEN -2000000000 WHEN 2 THEN 2000000000 ELSE l_linenumber END AS INTEGER)",
 }
+# A column of few values with a gap, one that grows with the table and has a value of two sevenths of the rows.
+CATEGORIES = {
+    "status": "CASE WHEN l_linenumber = 5 THEN NULL ELSE l_returnflag END",
+    "part": "CASE WHEN l_linenumber <= 2 THEN 'none' ELSE CAST(l_partkey AS STRING) END",
+    "order_no": "CAST(l_orderkey AS STRING)",
+}
 
 
 def columns_sql(columns: dict[str, str]) -> list[str]:

@@ -326,6 +326,33 @@ def _job_results_sql() -> str:
     return with_base(_union(parts))
 
 
+def _categories_sql(select: str) -> str:
+    """``select`` over the categories: edge (the rows), listed (column, value) and numbered (with positions)."""
+    listed = " UNION ALL ".join(f"SELECT {i} AS ord, '{c}' AS col, {c} AS val FROM edge" for i, c in enumerate(E.CATEGORIES))
+    return f"""
+WITH edge AS (SELECT l_orderkey * 8 + l_linenumber AS id, {", ".join(E.columns_sql(E.CATEGORIES))} FROM lineitem),
+listed AS ({listed}),
+numbered AS (
+  SELECT col, val, count(*) AS n, row_number() OVER (ORDER BY ord, val) - 1 AS position
+  FROM listed WHERE val IS NOT NULL GROUP BY ord, col, val)
+{select}"""
+
+
+CATEGORY_INDEX = 'SELECT col AS "column", val AS category, position, n AS n_rows FROM numbered'
+
+ONE_HOT_SPARSE = f"""
+SELECT id, (SELECT count(*) FROM numbered) AS n_categories,
+  concat_ws(',', {", ".join(f"{c}_p.position" for c in E.CATEGORIES)}) AS places
+FROM edge
+{" ".join(f"LEFT JOIN numbered {c}_p ON {c}_p.col = '{c}' AND {c}_p.val = edge.{c}" for c in E.CATEGORIES)}"""
+
+TOP_VALUES = """
+SELECT col AS "column", val AS "value", n AS "count", CAST(rank AS INTEGER) AS rank FROM (
+  SELECT col, val, count(*) AS n, row_number() OVER (PARTITION BY col ORDER BY count(*) DESC, val ASC NULLS LAST) AS rank
+  FROM listed GROUP BY col, val)
+WHERE rank <= 7"""
+
+
 def oracle_queries() -> dict[str, str]:
     minmax_cols = ["CGPA", "Study Satisfaction", "Work/Study Hours", "Financial Stress"]
     cities = [f"City{i}" for i in range(7)]
@@ -394,6 +421,9 @@ def oracle_queries() -> dict[str, str]:
         "corr_constant": _edge_pairs_sql(E.CONSTANT, zero=True),
         "corr_pairwise_masked": _edge_pairs_sql(E.MASKED, zero=False),
         "minmax_constant": MINMAX_CONSTANT,
+        "category_index": _categories_sql(CATEGORY_INDEX),
+        "one_hot_sparse": _categories_sql(ONE_HOT_SPARSE),
+        "top_values": _categories_sql(TOP_VALUES),
         "job_results": _job_results_sql(),
         "job_features_partitioned": with_base("SELECT * FROM features"),
         "preview_sorted": with_base(f"SELECT * FROM clean_ranges ORDER BY {order} LIMIT 20"),
