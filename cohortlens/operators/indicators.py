@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.schema import require_columns, safe_col
@@ -48,12 +48,13 @@ def category_index(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("task", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))  # one row a task
     names = F.array(*[F.lit(c) for c in cols])
-    return placed.withColumn("task", task).join(F.broadcast(offsets), "task").select(
+    numbered = placed.withColumn("task", task).join(F.broadcast(offsets), "task").select(
         names[F.col("ord")].alias("column"),
         "category",
         (F.col("offset") + F.col("id").bitwiseAND(F.lit((1 << 33) - 1))).alias("position"),
         "n_rows",
     )
+    return materialize(numbered, "category-index")
 
 
 def _positions(rows: DataFrame, key: str, found: str, entries: DataFrame, size: dict) -> DataFrame:
@@ -61,20 +62,21 @@ def _positions(rows: DataFrame, key: str, found: str, entries: DataFrame, size:
     table = entries.select(F.col("category").alias(key), F.col("position").alias(found), "n_rows")
     if size["n"] <= BROADCAST_CATEGORIES and size["bytes"] <= BROADCAST_BYTES:
         return rows.join(F.broadcast(table.drop("n_rows")), key, "left")
-    # Rows of hot categories find their position in a small broadcast table.  They and rows without a
-    # category then pass the shuffle join under keys that match nothing, spread by the task they come from.
+    # Rows of hot categories find their position in a small broadcast table.  They and rows without a category
+    # then pass the shuffle join under keys that match nothing, spread by the task they come from.  The key is a
+    # struct: two plain columns would let the planner drop the constant one and join all these rows by null.
     is_hot = F.col("n_rows") * HOT_SHARE >= F.lit(size["rows"])
     hot = table.where(is_hot).select(key, F.col(found).alias("hot"))
-    cold = table.where(~is_hot).select(F.col(key).alias("cold_key"), F.lit(-1).alias("cold_place"), F.col(found).alias("cold"))
+    cold = table.where(~is_hot).select(_place(F.lit(-1), F.col(key)).alias("want"), F.col(found).alias("cold"))
     looked = rows.join(F.broadcast(hot), key, "left").withColumn("task", F.spark_partition_id())
     settled = F.col(key).isNull() | F.col("hot").isNotNull()
-    spread = F.pmod(F.xxhash64("task"), F.lit(SPREAD)).cast("int")
-    looked = looked.withColumns(
-        {"want": F.when(~settled, F.col(key)), "place": F.when(settled, spread).otherwise(F.lit(-1))}
-    )
-    match = (F.col("want") == F.col("cold_key")) & (F.col("place") == F.col("cold_place"))
-    joined = looked.join(cold, match, "left").withColumn(found, F.coalesce("hot", "cold"))
-    return joined.select(*rows.columns, found)
+    spread = F.when(settled, F.pmod(F.xxhash64("task"), F.lit(SPREAD)).cast("int")).otherwise(F.lit(-1))
+    joined = looked.withColumn("want", _place(spread, F.when(~settled, F.col(key)))).join(cold, "want", "left")
+    return joined.withColumn(found, F.coalesce("hot", "cold")).select(*rows.columns, found)
+
+
+def _place(place: Column, key: Column) -> Column:
+    return F.struct(place.alias("place"), F.coalesce(key, F.lit("")).alias("key"))
 
 
 def sparse_one_hot(

@@ -105,6 +105,25 @@ def test_top_values_are_exact(spark, k, buckets):
         assert _found(df, k, c, buckets=buckets) == _top([r[i] for r in rows], k)
 
 
+def test_settled_rows_are_spread_in_the_shuffle_join(spark, monkeypatch):
+    """Rows of a hot category and nulls meet the index in many tasks, not in the one of a null key."""
+    monkeypatch.setattr(indicators, "BROADCAST_CATEGORIES", 0)
+    value = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.format_string("v%d", "id"))
+    df = spark.range(0, 6000, 1, 32).select("id", value.alias("c"))
+    index = category_index(df, ["c"])
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        out = sparse_one_hot(df, ["c"], index).withColumn("task", F.spark_partition_id())
+        tasks = {r["task"]: r["n"] for r in out.where("c is null or c = 'hot'").groupBy("task").agg(F.count("id").alias("n")).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(tasks.values()) == 4000 and len(tasks) >= 6 and max(tasks.values()) <= 1200
+
+
 def test_top_values_without_broadcast(spark, odd, monkeypatch):
     monkeypatch.setattr(indicators, "BROADCAST_CATEGORIES", 0)
     assert _found(odd, 3, "x.y") == _top([r[1] for r in ODD], 3)
