@@ -35,6 +35,7 @@ QUERIES = {
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL = {
     "op1_mix_sources": mixing.ORACLE_SQL,
+    "op3_substring_dedup": substring.ORACLE_SQL,
     "op5_exact_dedup": exact.ORACLE_SQL,
     "op11_top_products": inner_products.ORACLE_SQL,
     "op12_vector_codes": vector_codes.ORACLE_SQL,

@@ -391,3 +391,24 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(docs, carry=["doc_id"]).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
     )
+
+
+ORACLE_SQL = """
+WITH split AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS words FROM documents),
+spots AS (SELECT doc_id, words, unnest(generate_series(1, len(words) - 19)) AS pos FROM split WHERE len(words) >= 20),
+windows AS (SELECT doc_id, pos, sha256(array_to_string(words[pos : pos + 19], ' ')) AS window_hash FROM spots),
+firsts AS (SELECT window_hash, min(struct_pack(doc_id := doc_id, pos := pos)) AS first FROM windows GROUP BY window_hash),
+repeats AS (
+  SELECT w.doc_id, w.pos FROM windows w JOIN firsts f USING (window_hash)
+  WHERE f.first <> struct_pack(doc_id := w.doc_id, pos := w.pos)),
+covered AS (SELECT DISTINCT doc_id, pos + step AS pos FROM repeats, generate_series(0, 19) AS steps(step)),
+kept AS (
+  SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.pos) AS kept_text, count(*) AS n_kept
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS pos FROM split) w
+  ANTI JOIN covered c ON c.doc_id = w.doc_id AND c.pos = w.pos
+  GROUP BY w.doc_id)
+SELECT s.doc_id, len(s.words) AS n_words, len(s.words) - coalesce(k.n_kept, 0) AS n_removed,
+       sha256(coalesce(k.kept_text, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k ON k.doc_id = s.doc_id
+"""
