@@ -31,8 +31,11 @@ def components(links: DataFrame, rows: int | None = None) -> DataFrame:
 
     Alternates large and small stars until the links no longer change, a number
     of rounds that grows with the logarithm of the longest path; every round is
-    written to the shared scratch folder, so lineage stays short.  Two numbers a
-    round reach the driver.  ``rows``: about how many links there are, if known.
+    written to the shared scratch folder, so lineage stays short.  Three numbers a
+    round reach the driver: the links, and two sums of 64-bit hashes of them, which
+    repeat only when the links do.  Repeated links and links of a node with itself
+    change nothing; a link with a null end is left out; no links give no rows.
+    ``rows``: about how many links there are, if known.
     """
     edges = stage(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(),
@@ -41,7 +44,9 @@ def components(links: DataFrame, rows: int | None = None) -> DataFrame:
     )
     seen = None
     while True:
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long"))).first()
+        # Decimals, since a sum of 64-bit numbers may not fit one.
+        sums = [F.sum(F.xxhash64(*ends).cast("decimal(20,0)")) for ends in (("a", "b"), ("b", "a"))]
+        state = edges.agg(F.count(F.lit(1)), *sums).first()
         if state == seen or not state[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()

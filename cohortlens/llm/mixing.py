@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import WORD, bounded_broadcast, documents, pick, same, stage, without
+from cohortlens.llm.common import BROADCAST_ROWS, HOT_SHARE, WORD, bounded_broadcast, documents, pick, same, stage, without
 from cohortlens.schema import safe_col
 
 MAX_EPOCHS = 3.0
@@ -95,7 +95,25 @@ def _draw(seed: int, id_col: Column, text: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), tag)), 1, _DRAW_DIGITS), 16, 10).cast("long")
 
 
-def sampling_cuts(sizes: DataFrame, targets: DataFrame, n_sources: int) -> DataFrame:
+def hot_sources(sizes: DataFrame, n_sources: int) -> DataFrame | None:
+    """(hot): the at most HOT_SHARE sources with 1/HOT_SHARE of the rows or more; None if all sources may be broadcast."""
+    if n_sources <= BROADCAST_ROWS:
+        return None
+    counts = sizes.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return stage(counts.filter(F.col("n") * HOT_SHARE >= F.lit(sizes.count())).select(F.col("source").alias("hot")), "mix-hot")
+
+
+def _of_source(rows: DataFrame, table: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """Inner join of ``rows`` (source) with ``table``, at most one row a source ``s``; rows of hot sources are not shuffled."""
+    held = same(F.col("source"), F.col("s"))
+    if hot is None:
+        return rows.join(F.broadcast(table), held)
+    few = table.join(F.broadcast(hot), same(F.col("s"), F.col("hot")), "left_semi")
+    rest = rows.join(F.broadcast(hot), same(F.col("source"), F.col("hot")), "left_anti")
+    return rows.join(F.broadcast(few), held).unionByName(rest.join(table, held))
+
+
+def sampling_cuts(sizes: DataFrame, targets: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """(source, whole, cut, tie, need): every row is taken ``whole`` times, and once more where its draw is at most ``cut``.
 
     Where the fraction ends among several rows of one draw, that draw is ``tie``
@@ -115,8 +133,7 @@ def sampling_cuts(sizes: DataFrame, targets: DataFrame, n_sources: int) -> DataF
     upto = Window.partitionBy("source").orderBy("low").rowsBetween(Window.unboundedPreceding, 0)
 
     def within(width: int) -> DataFrame:
-        held = same(F.col("source"), F.col("s")) & (F.col("draw") >= F.col("low")) & (F.col("draw") < F.col("low") + width)
-        return sizes.join(bounded_broadcast(edge, n_sources), held)
+        return _of_source(sizes, edge, hot).filter((F.col("draw") >= F.col("low")) & (F.col("draw") < F.col("low") + width))
 
     for _ in range(LEVELS):
         rows, width = within(width), width // BUCKETS
@@ -212,10 +229,11 @@ def mix_sources(
     )
     targets = stage(source_targets(sizes, weights, max_epochs), "mix-targets")
     n_sources = targets.count()
-    cuts = sampling_cuts(sizes, targets, n_sources)
+    hot = hot_sources(sizes, n_sources)
+    cuts = sampling_cuts(sizes, targets, hot)
     plan = stage(
         targets.join(cuts.withColumnRenamed("source", "s"), same(F.col("source"), F.col("s"))).select(
-            F.col("source").alias("src"), "source_size", "target", "whole", "cut", "tie", "need"
+            "s", "source_size", "target", "whole", "cut", "tie", "need"
         ),
         "mix-plan",
     )
@@ -227,7 +245,7 @@ def mix_sources(
         word_count(text).alias("size"),
         _draw(seed, safe_col(id_col), text).alias("draw"),
     )
-    planned = rows.join(bounded_broadcast(plan, n_sources), same(F.col("source"), F.col("src")))
+    planned = _of_source(rows, plan, hot).drop("s")
     keep = [*names, "size", "source_size", "target", "whole"]
     once = F.when(F.col("draw") <= F.col("cut"), 1).otherwise(0)
     if plan.filter("tie is not null").isEmpty():

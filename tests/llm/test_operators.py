@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cohortlens.llm import bpe, exact, langid, line_crf, mixing, prefix_hash, sharding, simhash, substring, token_counts
+from cohortlens.llm import bpe, components, exact, langid, line_crf, mixing, prefix_hash, sharding, simhash, substring, token_counts
 from tests.conftest import SMALL_SF
 from tests.llm.conftest import PROSE, clash
 
@@ -77,6 +77,21 @@ def test_copies_never_exceed_the_epochs(spark, seed):
     assert {r.copies for r in got if r.source == "small"} == {3} and max(r.copies for r in got) == 3
 
 
+def test_mixing_of_more_sources_than_are_broadcast(spark, odd_docs, monkeypatch):
+    """With a hot source (null among them) and many rare ones: the result is that of the broadcast tables."""
+    sized = [(i, "w " * (1 + i % 7), None if i % 3 == 0 else "hot" if i % 3 == 1 else f"s{i % 97}") for i in range(900)]
+    docs = spark.createDataFrame([*sized, *[(None, "w " * 5, "hot")] * 40], "doc_id long, text string, source string")
+
+    def mixed(d):
+        return sorted(map(repr, mixing.mix_sources(d, carry=["doc_id", "source"]).collect()))
+
+    expected = [mixed(d) for d in (docs, odd_docs)]
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
+    for share in (10, 1):  # some sources hot, none
+        monkeypatch.setattr(mixing, "HOT_SHARE", share)
+        assert [mixed(d) for d in (docs, odd_docs)] == expected
+
+
 def test_mixing_odd(odd_docs, no_docs):
     got = mixing.mix_sources(clash(odd_docs, "size", "Target"))
     assert got.count() == 13 and got.columns == [*odd_docs.columns, "size", "source_size", "target", "copies", "taken"]
@@ -633,3 +648,27 @@ def test_sharding_query_and_odd(spark, odd_docs, no_docs):
     got = sharding.place(clash(odd_docs, "Slot"), "doc_id")
     assert got.columns == [*odd_docs.columns, "slot", "shard"] and got.count() == 13
     assert sharding.place(no_docs, "doc_id").count() == 0
+
+
+# --- components --------------------------------------------------------------
+
+
+def test_components_against_union_find(spark):
+    """Long paths, a hub, cycles, repeated links, links of a node with itself, and null ends."""
+    draw = np.random.default_rng(5)
+    links = [(i, i + 1) for i in range(100, 160)] + [(1000, i) for i in range(1001, 1200)] + [(7, 8), (8, 9), (9, 7), (7, 8)]
+    links += [tuple(int(x) for x in draw.integers(2000, 2300, 2)) for _ in range(150)] + [(5, 5), (6, 6)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    got = components.components(spark.createDataFrame([*links, (None, 3), (4, None)], "a long, b long"))
+    assert sorted((r.node, r.root) for r in got.collect()) == sorted((x, find(x)) for x in root)
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
