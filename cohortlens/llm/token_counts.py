@@ -1,12 +1,12 @@
 """Token counts by a map-side two-tier lookup (operator 7).
 
-Tier one is a table of the most frequent pieces (white space and the word after
-it, so one or a few pre-tokens) and their token counts, at most TABLE_ENTRIES of
-at most PIECE_CHARS characters; that bounds what is broadcast.  The pieces are
-counted in a random sample of about SAMPLE_DOCS whole documents from all parts of
-the table: it only decides how fast a piece is found, never its count.  Tier two is a bounded cache in each Python worker;
-pieces in neither are encoded by the tokenizer library, a batch's together.  All
-of it happens where the row is: no piece is ever shuffled.
+Tier one is a table of the frequent pieces (white space and the word after it, so
+one or a few pre-tokens) and their token counts, counted over all documents: every
+piece of at most PIECE_CHARS characters that is 1 / FREQUENT of them or more is in
+it, and at most 2 * FREQUENT are; that bounds what is broadcast.  Tier two is a
+bounded cache in each Python worker; pieces in neither are encoded by the tokenizer
+library, a batch's together.  All of it happens where the row is: no piece of a text
+is shuffled, only the counts of those frequent within a task.
 """
 
 from __future__ import annotations
@@ -23,14 +23,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.llm.bpe import tokenizer_spec
-from cohortlens.llm.common import add_columns, documents, pick, ship_package
+from cohortlens.llm.common import add_columns, documents, pick, ship_package, stage
 from cohortlens.llm.pieces import WorkerCache, blocks, by_blocks, pieces
 from cohortlens.schema import safe_col
 
-TABLE_ENTRIES = 65_536
+FREQUENT = 65_536
 PIECE_CHARS = 32
-#: Documents looked at for the table of frequent pieces, on average.
-SAMPLE_DOCS = 4_096
+#: Distinct pieces a task counts at once; beyond, it reports the frequent ones and counts anew.
+HELD_PIECES = 1 << 18
 CACHE_ENTRIES = 300_000
 TOKEN_LIMIT = 512
 
@@ -56,26 +56,40 @@ def check_spec(spec: str) -> None:
         raise ValueError("needs a byte-level tokenizer without normalizer whose added tokens hold no white space")
 
 
-def _piece_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _piece_counts(batches: Iterator[pa.RecordBatch], frequent: int, held: int) -> Iterator[pa.RecordBatch]:
+    """Counts of the pieces that are 1 / (2 * frequent) or more of those counted together; all of these under a null piece."""
     counts: Counter = Counter()
+
+    def reported() -> pa.RecordBatch:
+        total = sum(counts.values())
+        found = [(p, n) for p, n in counts.items() if 2 * frequent * n >= total and "\0" not in p]
+        counts.clear()
+        names, numbers = zip((None, total), *found)
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(numbers, pa.int64())], ["piece", "n"])
+
     for batch in batches:
         for text in batch.column(0).to_pylist():
             for block in blocks(text or ""):
-                counts.update(p for p in pieces(block) or [] if len(p) <= PIECE_CHARS and "\0" not in p)
-    yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["piece", "n"])
+                counts.update([p for p in pieces(block) or [] if len(p) <= PIECE_CHARS])
+                if len(counts) > held:
+                    yield reported()
+    if counts:
+        yield reported()
 
 
-def frequent_lengths(texts: DataFrame, spec: str) -> tuple[str, bytes]:
+def frequent_lengths(texts: DataFrame, spec: str, frequent: int = FREQUENT, held: int = HELD_PIECES) -> tuple[str, bytes]:
     """Compact table of the frequent pieces: the pieces joined by NUL, and their token counts as 16-bit integers.
 
-    ``texts`` has one string column.  The TABLE_ENTRIES most frequent pieces of
-    a sample of about SAMPLE_DOCS documents: every row is drawn by itself, so all
-    files count alike; counts are summed in the tasks first.
+    ``texts`` has one string column, all of which is counted.  What tasks leave
+    unreported of a piece is below 1 / (2 * frequent) of all pieces, so every
+    piece that is 1 / frequent of them reaches the bound here, which at most
+    2 * frequent can reach.
     """
-    share = min(1.0, SAMPLE_DOCS / max(1, texts.count()))
-    counts = texts.sample(fraction=share, seed=7).mapInArrow(_piece_counts, "piece string, n bigint")
-    top = counts.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "piece").limit(TABLE_ENTRIES)
-    found = sorted(r.piece for r in top.select("piece").collect())
+    partial = texts.mapInArrow(lambda batches: _piece_counts(batches, frequent, held), "piece string, n bigint")
+    partial = stage(partial, "frequent-pieces")
+    total = partial.filter("piece is null").agg(F.sum("n")).first()[0] or 0
+    counts = partial.filter("piece is not null").groupBy("piece").agg(F.sum("n").alias("n"))
+    found = sorted(r.piece for r in counts.filter(F.col("n") * F.lit(2 * frequent) >= F.lit(total)).select("piece").collect())
     return "\0".join(found), np.array(_lengths(_tokenizer(spec), found), np.uint16).tobytes()
 
 

@@ -524,6 +524,20 @@ def test_frequent_pieces_come_from_all_files(spark):
     assert {"w0", "w1", "w2", "w3", " word"} <= set(found)
 
 
+@pytest.mark.parametrize("frequent, held", [(20, 1 << 18), (20, 40), (200, 300)])
+def test_frequent_pieces_against_all_counts(spark, frequent, held):
+    from cohortlens.llm.pieces import pieces
+
+    counts = Counter(p for t in texts(spark).values() for p in pieces(t or "") or [] if len(p) <= token_counts.PIECE_CHARS)
+    total = sum(counts.values())
+    docs = small(spark).select("text").repartition(5)
+    joined, lengths = token_counts.frequent_lengths(docs, bpe.tokenizer_spec(), frequent, held)
+    found = joined.split("\0")
+    assert {p for p, n in counts.items() if n * frequent >= total} <= set(found)
+    assert len(found) <= 2 * frequent and all(counts[p] * 2 * frequent >= total for p in found)
+    assert np.frombuffer(lengths, np.uint16).tolist() == [len(library().encode(p, add_special_tokens=False).ids) for p in found]
+
+
 def test_tokens_odd(odd_docs, no_docs):
     t = library()
     rows = bpe.encode_decode(clash(odd_docs, "ids", "Decoded")).collect()
