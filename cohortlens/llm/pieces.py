@@ -82,6 +82,13 @@ class WorkerCache(dict):
             self.clear()
         self[key] = value
 
+    def held(self, key):
+        """The key's value, which stays among the young; None when neither generation holds it."""
+        value = self.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.remember(key, value)
+        return value
+
     def unknown(self, keys: set) -> set:
         """Those keys that neither generation holds."""
         return keys.difference(self).difference(self.old)

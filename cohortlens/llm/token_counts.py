@@ -32,6 +32,9 @@ PIECE_CHARS = 32
 #: Distinct pieces a task counts at once; beyond, it reports the frequent ones and counts anew.
 HELD_PIECES = 1 << 18
 CACHE_ENTRIES = 300_000
+#: Pieces encoded as one text.
+JOINED = 256
+_SPACE = " \t\n\v\f\r"
 TOKEN_LIMIT = 512
 
 
@@ -46,6 +49,27 @@ def _lengths(tokenizer, texts: list[str]) -> list[int]:
     return [len(e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+def piece_lengths(tokenizer, found: list[str]) -> list[int]:
+    """Token count of every piece.
+
+    Pieces of white space and a word are encoded as texts of JOINED pieces, since
+    no token runs from a word into the white space of the next piece; a token
+    belongs to the piece in which it starts.  All others, and long ones, are texts of their own.
+    """
+    lengths = np.zeros(len(found), np.int64)
+    alone = [i for i, p in enumerate(found) if not 0 < len(p) <= 2 * PIECE_CHARS or p[0] not in _SPACE or p[-1] in _SPACE]
+    lengths[alone] = _lengths(tokenizer, [found[i] for i in alone])
+    led = np.delete(np.arange(len(found)), alone)
+    runs = [led[i : i + JOINED] for i in range(0, len(led), JOINED)]
+    texts = [[found[i] for i in run] for run in runs]
+    encoded = tokenizer.encode_batch(["".join(t) for t in texts], add_special_tokens=False)
+    for run, text, e in zip(runs, texts, encoded):
+        ends = np.cumsum([len(p) for p in text])
+        starts = np.fromiter((a for a, _ in e.offsets), np.int64, len(e.ids))
+        lengths[run] = np.bincount(np.searchsorted(ends, starts, side="right"), minlength=len(run))
+    return lengths.tolist()
+
+
 def check_spec(spec: str) -> None:
     """Raise unless counting piece by piece equals counting whole texts: byte-level pre-tokens, texts not normalised."""
     parsed = json.loads(spec)
@@ -90,7 +114,7 @@ def frequent_lengths(texts: DataFrame, spec: str, frequent: int = FREQUENT, held
     total = partial.filter("piece is null").agg(F.sum("n")).first()[0] or 0
     counts = partial.filter("piece is not null").groupBy("piece").agg(F.sum("n").alias("n"))
     found = sorted(r.piece for r in counts.filter(F.col("n") * F.lit(2 * frequent) >= F.lit(total)).select("piece").collect())
-    return "\0".join(found), np.array(_lengths(_tokenizer(spec), found), np.uint16).tobytes()
+    return "\0".join(found), np.array(piece_lengths(_tokenizer(spec), found), np.uint16).tobytes()
 
 
 @functools.lru_cache(maxsize=2)
@@ -104,22 +128,15 @@ def _worker_tiers(shared: tuple[str, str, bytes]) -> tuple[object, dict[str, int
 
 def _count_blocks(texts: list[str], tokenizer, table: dict[str, int], cache: WorkerCache) -> list[int]:
     cuts = [pieces(t) for t in texts]
-    distinct = set().union(*[c for c in cuts if c]).difference(table)
-    new = [p for p in cache.unknown(distinct) if len(p) <= 2 * PIECE_CHARS]
-    for piece, n in zip(new, _lengths(tokenizer, new)):
-        cache.remember(piece, n)
-    large = [p for p in distinct if len(p) > 2 * PIECE_CHARS]
-    once = dict(zip(large, _lengths(tokenizer, large)))
-    tier_one = table.get
-    out = []
-    for cut, text in zip(cuts, texts):
-        if cut is None:  # other white space: the whole block at once
-            out.append(_lengths(tokenizer, [text])[0])
-        elif once:
-            out.append(sum([tier_one(p) or once.get(p) or cache[p] for p in cut]))
-        else:
-            out.append(sum([tier_one(p) or cache[p] for p in cut]))
-    return out
+    distinct = set().union(*[c for c in cuts if c])
+    known = {p: n for p in distinct if (n := table.get(p) or cache.held(p))}
+    new = list(distinct.difference(known))
+    for piece, n in zip(new, piece_lengths(tokenizer, new)):
+        known[piece] = n
+        if len(piece) <= 2 * PIECE_CHARS:
+            cache.remember(piece, n)
+    # A text with other white space is encoded whole.
+    return [_lengths(tokenizer, [text])[0] if cut is None else sum(map(known.__getitem__, cut)) for cut, text in zip(cuts, texts)]
 
 
 def _count_column(texts: pa.Array, shared: tuple[str, str, bytes]) -> pa.Array:

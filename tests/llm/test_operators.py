@@ -535,7 +535,21 @@ def test_frequent_pieces_against_all_counts(spark, frequent, held):
     found = joined.split("\0")
     assert {p for p, n in counts.items() if n * frequent >= total} <= set(found)
     assert len(found) <= 2 * frequent and all(counts[p] * 2 * frequent >= total for p in found)
-    assert np.frombuffer(lengths, np.uint16).tolist() == [len(library().encode(p, add_special_tokens=False).ids) for p in found]
+    plain = library()
+    assert np.frombuffer(lengths, np.uint16).tolist() == [len(plain.encode(p, add_special_tokens=False).ids) for p in found]
+
+
+def test_pieces_encoded_together():
+    tokenizer = token_counts._tokenizer(bpe.tokenizer_spec())
+    odd = ["a", " ", "\n\n", "  b", " \u4e2d\u6587", "\t\U0001f389x", " <|endoftext|>", " x<|endoftext|>y", "\n\n-", " don't", " 's"]
+    odd += ["", "\r\u0301x", " \u200dz", "  \x00q", "\v\f'll", " 1234", "\n" * 70 + "w", " " + "long" * 40]
+    plain = library()
+    want = [len(plain.encode(p, add_special_tokens=False).ids) for p in odd]
+    rng = np.random.default_rng(8)
+    for _ in range(30):
+        some = rng.integers(0, len(odd), size=600)
+        assert token_counts.piece_lengths(tokenizer, [odd[i] for i in some]) == [want[i] for i in some]
+    assert token_counts.piece_lengths(tokenizer, []) == []
 
 
 def test_tokens_odd(odd_docs, no_docs):
