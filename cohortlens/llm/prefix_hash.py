@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import HOT_SHARE, documents, pick, same, ship_package, stage
+from cohortlens.llm.common import HOT_SHARE, add_columns, documents, pick, same, ship_package, stage
 from cohortlens.schema import safe_col
 
 PRIME = (1 << 31) - 1
@@ -306,6 +306,55 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     )
 
 
+def _extension(text: str, start: int, other: str, other_start: int) -> int:
+    """Length of the longest common stretch of two whole texts from the two places, block by block."""
+    n = min(len(text) - start, len(other) - other_start)
+    for at in range(0, n, BLOCK):
+        size = min(BLOCK, n - at)
+        a, b = (PrefixHashes(code_points(t[i + at : i + at + size])) for t, i in ((text, start), (other, other_start)))
+        if (found := a.common_extension(0, b, 0)) < size:
+            return at + found
+    return max(n, 0)
+
+
+def _span_column(queries: pa.Array, _: object) -> pa.Array:
+    out = []
+    for q in queries.to_pylist():
+        text, start, other, other_start, length = q.values()
+        if None in (text, start, other, other_start) or not (0 <= start <= len(text) and 0 <= other_start <= len(other)):
+            out.append({"common": None, "equal": None})
+            continue
+        common = _extension(text, start, other, other_start)
+        out.append({"common": common, "equal": None if length is None or length < 0 else common >= length})
+    return pa.array(out, pa.struct([("common", pa.int64()), ("equal", pa.bool_())]))
+
+
+def compare_spans(
+    rows: DataFrame, text_col: str, start_col: str, other_col: str, other_start_col: str, length_col: str, carry: list[str] | None = None
+) -> DataFrame:
+    """``rows`` with ``common_length`` and ``spans_equal``: what two texts share from two places on.
+
+    A row holds two whole texts, a place in each (code points, from 0) and a
+    length.  ``common_length`` (long) is the longest common extension of the two
+    places, ``spans_equal`` whether the spans of that length are equal; a span
+    that ends beyond its text equals none.  Both are null when a text or place is
+    null or a place lies outside its text; ``spans_equal`` also when the length is
+    null or negative.  ``carry`` names the columns to return (default: all); input
+    columns named like the outputs are replaced.  Rows keep their number; an empty
+    table gives an empty result.  Nothing is shuffled.
+    """
+    outputs = ("common_length", "spans_equal")
+    carried = [c for c in (rows.columns if carry is None else carry) if c.lower() not in outputs]
+    query = F.struct(
+        safe_col(text_col).cast("string").alias("a"), safe_col(start_col).cast("long").alias("i"),
+        safe_col(other_col).cast("string").alias("b"), safe_col(other_start_col).cast("long").alias("j"),
+        safe_col(length_col).cast("long").alias("n"),
+    )
+    asked = rows.withColumn("__query", query)
+    found = add_columns(asked, "__query", carried, [_span_column], {"__found": "struct<common:bigint,equal:boolean>"}, None)
+    return found.select(*[safe_col(c) for c in carried], F.col("__found.common").alias(outputs[0]), F.col("__found.equal").alias(outputs[1]))
+
+
 def op6_prefix_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint, its edited text's, and how alike they and its neighbour's are."""
     return with_next(pick(documents(spark, sf_dir), doc_id="doc_id", text="text"))

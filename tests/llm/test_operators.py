@@ -376,6 +376,25 @@ def test_spans_and_extensions():
             assert x.common_extension(i, y, j) == want
 
 
+def test_compare_spans_against_plain_texts(spark):
+    rng = np.random.default_rng(5)
+    held = ["", "abracadabra", "abracadabra abra", "caf\u00e9 \U0001f389 caf\u00e9", "ab" * 400_000, "ab" * 399_999 + "ax"]
+    rows = []
+    for _ in range(80):
+        a, b = (held[i] for i in rng.integers(0, len(held), size=2))
+        rows.append((a, int(rng.integers(0, min(len(a), 30) + 1)), b, int(rng.integers(0, min(len(b), 30) + 1)), int(rng.integers(0, 9))))
+    rows += [(None, 0, "a", 0, 1), ("a", None, "a", 0, 1), ("a", 0, "a", 2, 1), ("a", -1, "a", 0, 1), ("a", 0, "a", 0, None), ("a", 0, "a", 0, -1)]
+    docs = spark.createDataFrame([(k, *r, "mine") for k, r in enumerate(rows)], "id int, a string, i int, b string, j int, n int, Spans_Equal string")
+    got = {r.id: (r.common_length, r.spans_equal) for r in prefix_hash.compare_spans(docs, "a", "i", "b", "j", "n", ["id", "Spans_Equal"]).collect()}
+    assert len(got) == len(rows)
+    for k, (a, i, b, j, n) in enumerate(rows[:80]):
+        x, y = a[i:], b[j:]
+        common = next((m for m, (c, d) in enumerate(zip(x, y)) if c != d), min(len(x), len(y)))
+        assert got[k] == (common, len(x) >= n and len(y) >= n and x[:n] == y[:n])
+    assert [got[k] for k in range(80, 86)] == [(None, None)] * 4 + [(1, None)] * 2
+    assert prefix_hash.compare_spans(docs.limit(0), "a", "i", "b", "j", "n").count() == 0
+
+
 def test_blocks_do_not_change_fingerprints(monkeypatch):
     long = " ".join(str(i * i) for i in range(400))
     whole, other = prefix_hash.Fingerprint(long), prefix_hash.Fingerprint(long[:900] + "!" + long[900:])
